@@ -1,16 +1,15 @@
 """Logical tables derived from the TPC-H-like test tables, at any scale factor.
 
 Aggregates run on the raw keys before joins, and year limits are ranges on the raw timestamp, so
-they reach the Parquet scan.
+they reach the Parquet scan. The raw schemas are declared, so opening a table runs no job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .plans import entity
 
@@ -19,13 +18,26 @@ MIN_DATE = dt.date(1998, 1, 1)
 LAST_FACT_YEAR = 1999
 ESTIMATE_YEARS = (1999, 2000, 2001)
 
+# Schemas of the raw tables.
+RAW = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
-def _id(prefix: str, key: Column, suffix: str) -> Column:
-    return F.concat(F.lit(prefix), key.cast("string"), F.lit(suffix))
 
-
-def _money_total(column: str) -> Column:
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+def _total(column: str) -> str:
+    """SQL for the exact sum of an amount with two decimals: whole cents, then a double."""
+    return f"sum(cast(round({column} * 100D) as bigint)) / 100D"
 
 
 class Tables:
@@ -34,47 +46,43 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.raw = cache(self._raw)
 
-    def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    def _raw(self, name: str) -> DataFrame:
+        return self.spark.read.schema(RAW[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def equity_holdings(self) -> DataFrame:
-        shares = self.raw("lineitem").groupBy("l_partkey").agg(
-            _money_total("l_quantity").alias("number_of_shares")
-        )
-        parts = self.raw("part").select(
-            "p_partkey",
-            F.when(F.col("p_type") == "ECONOMY", "Fund").otherwise("Equity").alias("instrument_type"),
+        shares = self.spark.sql(
+            f"""select l_partkey as p_partkey, {_total("l_quantity")} as number_of_shares
+                from {{lines}} group by l_partkey""",
+            lines=self.raw("lineitem"),
         )
-        return parts.join(shares, F.col("p_partkey") == F.col("l_partkey")).select(
-            "instrument_type", _id("p", F.col("l_partkey"), "-us").alias("symbol"), "number_of_shares"
+        return self.raw("part").join(shares, "p_partkey").selectExpr(
+            "if(p_type = 'ECONOMY', 'Fund', 'Equity') as instrument_type",
+            "'p' || p_partkey || '-us' as symbol",
+            "number_of_shares",
         )
 
     def lots(self, since: dt.date | None = None) -> DataFrame:
         """Customer lots; ``since`` limits the purchase date at the scan of the orders."""
         orders = self.raw("orders")
         if since is not None:
-            start = dt.datetime.combine(since, dt.time())
-            orders = orders.filter(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
-        priority = F.col("o_orderpriority")
-        account = (
-            F.when(priority.startswith("1"), "IRA")
-            .when(priority.startswith("2"), "401k")
-            .otherwise("Brokerage")
-        )
-        buyers = orders.select(
-            F.col("o_orderkey").alias("l_orderkey"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("date").alias("purchase_date"),
-            account.alias("account_type"),
-        )
-        price = (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(18,6)")
-        lines = self.raw("lineitem").select(
+            orders = orders.where(f"o_orderdate >= timestamp_ntz'{since.isoformat()}'")
+        buyers = orders.selectExpr(
+            "o_orderkey as l_orderkey",
+            "o_custkey as customer_id",
+            "cast(o_orderdate as date) as purchase_date",
+            """case when startswith(o_orderpriority, '1') then 'IRA'
+                    when startswith(o_orderpriority, '2') then '401k'
+                    else 'Brokerage' end as account_type""",
+        )
+        lines = self.raw("lineitem").selectExpr(
             "l_orderkey",
-            _id("P", F.col("l_partkey"), "").alias("ticker_symbol"),
-            F.col("l_quantity").cast("decimal(18,2)").alias("shares_held"),
-            F.round(price, 2).cast("decimal(18,2)").alias("cost_basis"),
+            "'P' || l_partkey as ticker_symbol",
+            "cast(l_quantity as decimal(18,2)) as shares_held",
+            "cast(round(cast(l_extendedprice / l_quantity as decimal(18,6)), 2) as decimal(18,2))"
+            " as cost_basis",
         )
         return lines.join(buyers, "l_orderkey").select(
             "customer_id", "ticker_symbol", "shares_held", "purchase_date", "cost_basis", "account_type"
@@ -86,85 +94,79 @@ class Tables:
 
     @cached_property
     def sym_ticker_region(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.raw("part").filter(key % 10 != 7).select(
-            _id("P", key, "-US").alias("ticker_region"), _id("S", key, "-R").alias("fsym_id")
+        return self.raw("part").where("p_partkey % 10 != 7").selectExpr(
+            "'P' || p_partkey || '-US' as ticker_region", "'S' || p_partkey || '-R' as fsym_id"
         )
 
     @cached_property
     def sec_map(self) -> DataFrame:
-        key = F.col("p_partkey")
-        suppliers = self.raw("supplier").agg(F.count("*")).scalar()
-        return self.raw("part").filter(key % 10 != 3).select(
-            _id("S", key, "-R").alias("fsym_id"),
-            _id("C", key % suppliers, "-E").alias("fsym_company_id"),
+        return self.spark.sql(
+            """select 'S' || p_partkey || '-R' as fsym_id,
+                      'C' || (p_partkey % (select count(*) from {suppliers})) || '-E'
+                          as fsym_company_id
+               from {parts} where p_partkey % 10 != 3""",
+            parts=self.raw("part"),
+            suppliers=self.raw("supplier"),
         )
 
     @cached_property
     def _yearly_sales(self) -> DataFrame:
-        end = F.lit(dt.datetime(LAST_FACT_YEAR + 1, 1, 1)).cast("timestamp_ntz")
-        lines = self.raw("lineitem").filter(
-            (F.col("l_shipdate") < end) & (F.col("l_suppkey") % 17 != 5)
+        """Sales and earnings factor per supplier and year.
+
+        Fundamentals and estimates both start here. The keys come back as aggregates, so a later
+        filter on them stays above the aggregation and both read the same shuffle: one scan, not two.
+        """
+        return self.spark.sql(
+            f"""select sk, yr, sales, (sk * 7 + yr * 3) % 41 - 8 as earned
+                from (select max(l_suppkey) as sk, max(year(l_shipdate)) as yr,
+                             {_total("l_extendedprice")} as sales
+                      from {{lines}}
+                      where l_shipdate < timestamp_ntz'{LAST_FACT_YEAR + 1}-01-01'
+                        and l_suppkey % 17 != 5
+                      group by l_suppkey, year(l_shipdate))""",
+            lines=self.raw("lineitem"),
         )
-        return lines.groupBy(
-            F.col("l_suppkey").alias("sk"), F.year("l_shipdate").alias("yr")
-        ).agg(_money_total("l_extendedprice").alias("sales"))
 
     @cached_property
     def ff_basic_af(self) -> DataFrame:
-        sk, yr, sales = F.col("sk"), F.col("yr"), F.col("sales")
-        earned = (sk * 7 + yr * 3) % 41 - 8
-        return self._yearly_sales.select(
-            _id("C", sk, "-E").alias("fsym_id"),
-            F.make_date(yr, F.lit(12), F.lit(31)).alias("DATE"),
-            sales.alias("FF_SALES"),
-            (sales * earned / 100.0).alias("FF_NET_INCOME"),
-            (sales * earned / 10_000_000.0).alias("FF_EPS_BASIC"),
-            (sales * 1.2).alias("FF_ASSETS"),
-            (sales * 0.4).alias("FF_GROSS_INC"),
-            F.when(sk % 25 == 1, F.lit(0.0)).otherwise(sales * 0.5).alias("FF_COM_EQ"),
-            (sales * ((sk + yr) % 31 - 5) / 100.0).alias("FF_FUNDS_OPER_GROSS"),
-            F.when(sk % 37 == 2, F.lit(None).cast("double"))
-            .otherwise(sales * (sk * 3 % 10) / 20.0)
-            .alias("FF_DEBT_ST"),
-            (sales * ((sk * 5 + yr) % 21) / 20.0).alias("FF_DEBT_LT"),
+        return self._yearly_sales.selectExpr(
+            "'C' || sk || '-E' as fsym_id",
+            "make_date(yr, 12, 31) as DATE",
+            "sales as FF_SALES",
+            "sales * earned / 100D as FF_NET_INCOME",
+            "sales * earned / 10000000D as FF_EPS_BASIC",
+            "sales * 1.2D as FF_ASSETS",
+            "sales * 0.4D as FF_GROSS_INC",
+            "if(sk % 25 = 1, 0D, sales * 0.5D) as FF_COM_EQ",
+            "sales * ((sk + yr) % 31 - 5) / 100D as FF_FUNDS_OPER_GROSS",
+            "if(sk % 37 = 2, null, sales * (sk * 3 % 10) / 20D) as FF_DEBT_ST",
+            "sales * ((sk * 5 + yr) % 21) / 20D as FF_DEBT_LT",
         )
 
     @cached_property
     def fe_basic_conh_af(self) -> DataFrame:
-        sk, yr = F.col("sk"), F.col("yr")
-        base = self._yearly_sales.filter((yr == LAST_FACT_YEAR) & (sk % 9 != 4))
-        base = base.withColumn(
-            "eps", F.col("sales") * ((sk * 7 + yr * 3) % 41 - 8) / 10_000_000.0
-        )
-        variants = [
-            F.struct(
-                F.lit(year).alias("fy"),
-                F.lit(item).alias("item"),
-                F.lit(scale).alias("k"),
-                F.lit(revision).alias("rev"),
-            )
+        variants = ", ".join(
+            f"struct({year} as fy, '{item}' as item, {scale}D as k, {revision} as rev)"
             for year in ESTIMATE_YEARS
-            for item, scale in (("EPS", 1.0), ("SALES", 1000.0))
+            for item, scale in (("EPS", 1), ("SALES", 1000))
             for revision in (1, 2)
-        ]
-        rows = base.select("sk", "eps", F.inline(F.array(*variants)))
-        fy, band = F.col("fy"), (sk % 8) / 20.0
-        rows = rows.withColumn(
-            "mean", F.col("eps") * (F.lit(1.0) + ((sk * 11 + fy) % 61 - 25) / 100.0) * F.col("k")
-        )
-        mean = F.col("mean")
-        return rows.select(
-            _id("C", sk, "-E").alias("fsym_id"),
-            F.col("item").alias("FE_ITEM"),
-            F.make_date(fy, F.lit(12), F.lit(31)).alias("FE_FP_END"),
-            mean.alias("FE_MEAN"),
-            (mean * 0.99).alias("FE_MEDIAN"),
-            (mean * (F.lit(1.0) + band)).alias("FE_HIGH"),
-            (mean * (F.lit(1.0) - band)).alias("FE_LOW"),
-            (F.abs("eps") * (sk % 8) / 40.0).alias("FE_STD_DEV"),
-            (sk * 13 % 25).cast("int").alias("FE_NUM_EST"),
-            F.when(F.col("rev") == 1, F.lit(dt.date(1999, 12, 15))).alias("CONS_END_DATE"),
+        )
+        return (
+            self._yearly_sales.where(f"yr = {LAST_FACT_YEAR} and sk % 9 != 4")
+            .selectExpr("sk", "sales * earned / 10000000D as eps", f"inline(array({variants}))")
+            .selectExpr("*", "eps * (1D + ((sk * 11 + fy) % 61 - 25) / 100D) * k as mean")
+            .selectExpr(
+                "'C' || sk || '-E' as fsym_id",
+                "item as FE_ITEM",
+                "make_date(fy, 12, 31) as FE_FP_END",
+                "mean as FE_MEAN",
+                "mean * 0.99D as FE_MEDIAN",
+                "mean * (1D + (sk % 8) / 20D) as FE_HIGH",
+                "mean * (1D - (sk % 8) / 20D) as FE_LOW",
+                "abs(eps) * (sk % 8) / 40D as FE_STD_DEV",
+                "cast(sk * 13 % 25 as int) as FE_NUM_EST",
+                "if(rev = 1, date'1999-12-15', null) as CONS_END_DATE",
+            )
         )
 
     @property
@@ -181,9 +183,7 @@ class Tables:
 
     @cached_property
     def sym_coverage(self) -> DataFrame:
-        names = self.raw("part").select(
-            _id("P", F.col("p_partkey"), "").alias("ticker"), F.col("p_name").alias("proper_name")
-        )
+        names = self.raw("part").selectExpr("'P' || p_partkey as ticker", "p_name as proper_name")
         return entity.adapt_coverage(self.sym_ticker_region, self.sec_map, names)
 
     @cached_property
@@ -196,49 +196,43 @@ class Tables:
 
     @cached_property
     def annual_financials(self) -> DataFrame:
-        facts = self.entity_facts.select(
-            "entity_id", "fiscal_year", F.col("sales").alias("revenue"), "net_income"
+        facts = self.entity_facts.selectExpr(
+            "entity_id", "fiscal_year", "sales as revenue", "net_income"
         )
         ids = self.sym_coverage.select("ticker", "entity_id")
         return ids.join(facts, "entity_id").select("ticker", "fiscal_year", "revenue", "net_income")
 
     @cached_property
     def transactions(self) -> DataFrame:
-        customers = self.raw("customer").select(
-            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("country_code")
+        customers = self.raw("customer").selectExpr(
+            "c_custkey as o_custkey", "c_nationkey as country_code"
         )
-        return self.raw("orders").join(customers, "o_custkey").select(
-            F.col("o_orderkey").alias("transaction_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_totalprice").alias("amount"),
+        return self.raw("orders").join(customers, "o_custkey").selectExpr(
+            "o_orderkey as transaction_id",
+            "o_custkey as customer_id",
+            "o_totalprice as amount",
             "country_code",
         )
 
     @cached_property
     def countries(self) -> DataFrame:
         regions = self.raw("region").withColumnRenamed("r_regionkey", "n_regionkey")
-        return self.raw("nation").join(regions, "n_regionkey").select(
-            F.col("n_nationkey").alias("code"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
+        return self.raw("nation").join(regions, "n_regionkey").selectExpr(
+            "n_nationkey as code", "n_name as country", "r_name as region"
         )
 
     @cached_property
     def sales(self) -> DataFrame:
-        return self.raw("lineitem").select(
-            F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("quantity")
-        )
+        return self.raw("lineitem").selectExpr("l_partkey as product_id", "l_quantity as quantity")
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.raw("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_type").alias("category"),
-            F.col("p_retailprice").alias("price"),
+        return self.raw("part").selectExpr(
+            "p_partkey as product_id", "p_type as category", "p_retailprice as price"
         )
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.raw("orders").select(
-            F.col("o_orderdate").alias("order_date"), F.col("o_totalprice").alias("total_amount")
+        return self.raw("orders").selectExpr(
+            "o_orderdate as order_date", "o_totalprice as total_amount"
         )
