@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+import math
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from foliospark.functions import metrics as M
+from foliospark.functions import numeric as N
+from foliospark.functions.symbols import normalize_symbol, strip_region
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+def num(x):
+    return F.lit(x).cast("double")
+
+
+def null():
+    return F.lit(None).cast("double")
+
+
+@pytest.mark.parametrize(
+    ("x", "digits", "wanted"),
+    [
+        (1.005, 2, 1.01),
+        (0.285, 2, 0.29),
+        (-1.005, 2, -1.01),
+        (2.5, 0, 3.0),
+        (1e30, 2, 1e30),
+        (None, 2, None),
+    ],
+)
+def test_half_up(spark, x, digits, wanted):
+    assert value(spark, N.half_up(num(x), digits)) == wanted
+
+
+def test_half_up_keeps_what_is_no_number(spark):
+    assert math.isnan(value(spark, N.half_up(num(float("nan")))))
+    assert value(spark, N.half_up(num(float("inf")))) == float("inf")
+
+
+@hypothesis_settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=200))
+def test_half_up_agrees_with_decimal(spark, cents):
+    xs = [c / 1000 for c in cents]
+    frame = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r.v for r in frame.select(N.half_up(F.col("x")).alias("v")).collect()]
+    wanted = [float(Decimal(repr(x)).quantize(Decimal("0.01"), ROUND_HALF_UP)) for x in xs]
+    assert got == wanted
+
+
+def test_sums_do_not_depend_on_partitioning(spark):
+    values = [(0.1 * i,) for i in range(1, 1001)]
+    totals = {
+        spark.createDataFrame(values, "x double")
+        .repartition(parts)
+        .agg(N.exact_sum(F.col("x")).alias("v"))
+        .first()["v"]
+        for parts in (1, 3, 7)
+    }
+    assert len(totals) == 1
+
+
+def test_aggregates_of_nothing(spark):
+    empty = spark.createDataFrame([], "x double, ok boolean")
+    row = empty.agg(
+        N.count_if(F.col("ok")).alias("n"),
+        N.sum_if(F.col("ok"), F.col("x")).alias("s"),
+        N.exact_avg(F.col("x")).alias("a"),
+    ).first()
+    assert tuple(row) == (None, None, None)
+
+
+def test_conditional_aggregates(spark):
+    frame = spark.createDataFrame([(1.0, True), (2.0, False), (4.0, None)], "x double, ok boolean")
+    row = frame.agg(
+        N.count_if(F.col("ok")).alias("n"),
+        N.sum_if(F.col("ok"), F.col("x")).cast("double").alias("s"),
+        N.rounded_avg(F.col("x")).alias("a"),
+    ).first()
+    assert tuple(row) == (1, 1.0, 2.33)
+
+
+def test_zero_denominators_give_null(spark):
+    assert value(spark, M.profit_margin_pct(num(5), num(0))) is None
+    assert value(spark, M.equity_ratio_pct(num(5), num(0))) is None
+    assert value(spark, M.cash_flow_margin_pct(num(5), num(0))) is None
+    assert value(spark, M.debt_to_equity(num(1), num(1), num(0))) is None
+    assert value(spark, M.eps_growth(num(0), num(1))) is None
+    assert value(spark, M.estimate_spread(num(2), num(1), num(0))) is None
+
+
+def test_ratios(spark):
+    assert value(spark, M.profit_margin_pct(num(1), num(3))) == 33.33
+    assert value(spark, M.equity_ratio_pct(num(1), num(8))) == 12.5
+    assert value(spark, M.debt_to_equity(num(1), num(2), num(7))) == 0.43
+    assert value(spark, M.debt_to_equity(num(1), num(2), num(7), None)) == 3 / 7
+    assert value(spark, M.debt_to_equity(null(), num(2), num(7))) is None
+    assert value(spark, M.total_debt(num(1), null())) is None
+    assert value(spark, N.millions(num(1_234_567))) == 1.23
+    assert value(spark, M.as_pct(M.estimate_spread(num(3), num(2), num(4)))) == 25.0
+
+
+def test_long_term_leverage_needs_two_positive_parts(spark):
+    assert value(spark, M.long_term_leverage(num(1), num(2))) == 0.5
+    assert value(spark, M.long_term_leverage(num(0), num(2))) is None
+    assert value(spark, M.long_term_leverage(num(1), num(-2))) is None
+
+
+def test_growth_guards(spark):
+    assert value(spark, M.eps_growth(num(-2), num(-1))) == -0.5
+    assert value(spark, M.eps_growth(num(-2), num(-1), "positive")) is None
+    assert value(spark, M.eps_growth(num(2), num(3), "positive")) == 0.5
+    with pytest.raises(ValueError, match="base_guard"):
+        M.eps_growth(num(1), num(1), "other")
+
+
+def test_earnings(spark):
+    assert value(spark, M.position_earnings(num(3), num(1.115))) == 3.35
+    assert value(spark, M.position_earnings(num(3), num(0.5), None)) == 1.5
+    assert value(spark, M.earnings_increase(num(10), num(1), num(1.5))) == 5.0
+    assert value(spark, M.position_value(num(10), num(2.5))) == 25.0
+
+
+@pytest.mark.parametrize(
+    ("growth", "margin", "leverage", "analysts", "wanted"),
+    [
+        (50.0, 40.0, 1.0, 12, 100.0),
+        (10.0, 10.0, 2.0, 5, 40.0),
+        (-5.0, -5.0, None, 10, 30.0),
+        (None, None, 1.0, 0, 20.0),
+        (30.0, 30.0, 1.99, 9, 98.0),
+        (10.0, 10.0, 1.0, None, None),
+    ],
+)
+def test_performance_score(spark, growth, margin, leverage, analysts, wanted):
+    score = M.performance_score(
+        num(growth), num(margin), num(leverage), F.lit(analysts).cast("int")
+    )
+    assert value(spark, score) == wanted
+
+
+@pytest.mark.parametrize(
+    ("symbol", "region", "wanted"),
+    [
+        ("aapl", "US", "AAPL-US"),
+        ("Aapl-us", "US", "AAPL-US"),
+        ("BRK-B", "US", "BRK-B-US"),
+        ("shop", "ca", "SHOP-CA"),
+        ("aapl", None, "AAPL"),
+        (None, "US", None),
+    ],
+)
+def test_normalize_symbol(spark, symbol, region, wanted):
+    assert value(spark, normalize_symbol(F.lit(symbol).cast("string"), region)) == wanted
+
+
+def test_strip_region_takes_only_the_suffix(spark):
+    assert value(spark, strip_region(F.lit("US-US-US"))) == "US-US"
+    assert value(spark, strip_region(F.lit("AAPL"))) == "AAPL"
