@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import coverage_status
 from ..functions.symbols import normalize_symbol
+from .skew import splittable
 
 
 def with_ticker(
@@ -81,7 +82,7 @@ def known_tickers(coverage: DataFrame, holdings: DataFrame) -> DataFrame:
 
 def unmatched_holdings(coverage: DataFrame, holdings: DataFrame) -> DataFrame:
     """Holdings without a reference row (anti join), one output row per holding."""
-    known = coverage.select(F.col("ticker").alias("ticker_symbol"))
+    known = splittable(coverage.select(F.col("ticker").alias("ticker_symbol")), "ticker_symbol")
     missing = holdings.select("ticker_symbol").join(known, "ticker_symbol", "left_anti")
     nothing = F.lit(None).cast("string")
     return missing.select(

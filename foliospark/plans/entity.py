@@ -203,7 +203,7 @@ def recent_holdings(holdings: DataFrame, coverage: DataFrame, *, since: dt.date)
     """Lots bought on or after a date, with their coverage row; filtered before the join."""
     recent = holdings.filter(F.col("purchase_date") >= F.lit(since))
     names = coverage.withColumn("ticker_symbol", F.col("ticker"))
-    return recent.join(names, "ticker_symbol")
+    return recent.join(splittable(names, "ticker_symbol"), "ticker_symbol")
 
 
 def positions_where(holdings: DataFrame, column: str, value: object) -> DataFrame:

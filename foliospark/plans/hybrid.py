@@ -15,7 +15,8 @@ from ..operators.temporal import split_by_date
 
 def _of_year(financials: DataFrame, fiscal_year: int) -> DataFrame:
     wanted = financials.filter(F.col("fiscal_year") == fiscal_year)
-    return wanted.withColumnRenamed("ticker", "ticker_symbol").drop("fiscal_year")
+    renamed = wanted.withColumnRenamed("ticker", "ticker_symbol").drop("fiscal_year")
+    return splittable(renamed, "ticker_symbol")
 
 
 def holdings_financials(holdings: DataFrame, financials: DataFrame, *, fiscal_year: int) -> DataFrame:
@@ -40,13 +41,9 @@ def top_investments(
 def customer_rollup(holdings: DataFrame, financials: DataFrame, *, fiscal_year: int) -> DataFrame:
     """Positions, value and loss-making positions per customer.
 
-    Lots shrink to one row per customer and ticker, financials to one per ticker, before they meet;
-    the counts multiply out to what the row-by-row join would give.
+    Financials shrink to one row per ticker first, with the number of rows they stand for, so the
+    join never multiplies lots; the counts give what the row-by-row join would.
     """
-    invested = M.position_value(F.col("shares_held"), F.col("cost_basis"))
-    lots = holdings.groupBy("customer_id", "ticker_symbol").agg(
-        F.count("*").alias("lots"), F.sum(invested).alias("invested")
-    )
     companies = (
         _of_year(financials, fiscal_year)
         .groupBy("ticker_symbol")
@@ -55,13 +52,15 @@ def customer_rollup(holdings: DataFrame, financials: DataFrame, *, fiscal_year:
             F.count(F.when(F.col("net_income") < 0, 1)).alias("losses"),
         )
     )
+    invested = M.position_value(F.col("shares_held"), F.col("cost_basis"))
+    lots = holdings.select("customer_id", "ticker_symbol", invested.alias("invested"))
     return (
         lots.join(splittable(companies, "ticker_symbol"), "ticker_symbol")
         .groupBy("customer_id")
         .agg(
-            F.sum(F.col("lots") * F.col("matches")).alias("positions"),
+            F.sum("matches").alias("positions"),
             F.sum(F.col("invested") * F.col("matches")).alias("portfolio_value"),
-            F.sum(F.col("lots") * F.col("losses")).alias("risk_count"),
+            F.sum("losses").alias("risk_count"),
         )
     )
 

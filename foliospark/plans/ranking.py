@@ -123,14 +123,17 @@ def by_priority(items: DataFrame) -> DataFrame:
     return items.orderBy(F.col("priority_rank"), *_largest_first("my_current_annual_earnings"))
 
 
-def stock_rankings(dashboard: DataFrame) -> DataFrame:
-    """Each position with its score out of 100."""
-    score = M.performance_score(
+def _score() -> Column:
+    return M.performance_score(
         F.col("projected_eps_growth_pct"),
         F.col("profit_margin_pct"),
         F.col("debt_to_equity_ratio"),
         F.col("num_analysts_covering"),
     )
+
+
+def stock_rankings(dashboard: DataFrame) -> DataFrame:
+    """Each position with its score out of 100."""
     return dashboard.select(
         "symbol",
         "shares_held",
@@ -139,7 +142,7 @@ def stock_rankings(dashboard: DataFrame) -> DataFrame:
         "profit_margin_pct",
         "debt_to_equity_ratio",
         "num_analysts_covering",
-        score.alias("performance_score"),
+        _score().alias("performance_score"),
         "risk_assessment",
         "action_recommendation",
     )
@@ -170,14 +173,21 @@ def earnings_waterfall(dashboard: DataFrame) -> DataFrame:
     return dashboard.select("symbol", "my_current_annual_earnings", "my_projected_annual_earnings")
 
 
-def performance_summary(dashboard: DataFrame, rankings: DataFrame, sort: bool = False) -> DataFrame:
-    """The dashboard joined to the published rankings by symbol.
+def performance_summary(
+    dashboard: DataFrame, rankings: DataFrame | None = None, sort: bool = False
+) -> DataFrame:
+    """Earnings, growth, labels and score of each position.
 
-    A score depends on the symbol alone, so the rankings shrink to one row per symbol and score
+    With ``rankings`` the score comes from that published table by symbol, without it from the same
+    row. A score depends on the symbol alone, so the rankings shrink to one row per symbol and score
     first: several lots of a symbol each get their score once and never pair up with each other.
     """
-    scores = rankings.select("symbol", "performance_score").distinct()
-    summary = dashboard.join(scores, "symbol").select(
+    if rankings is None:
+        scored = dashboard.withColumn("performance_score", _score())
+    else:
+        scores = rankings.select("symbol", "performance_score").distinct()
+        scored = dashboard.join(scores, "symbol")
+    summary = scored.select(
         "symbol",
         F.col("my_current_annual_earnings").alias("current_earnings"),
         F.col("my_projected_annual_earnings").alias("projected_earnings"),

@@ -54,6 +54,23 @@ def publish_table(
     return spark.table(name)
 
 
+def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
+    """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
+
+    ``fallback`` serves only sessions without that setting, such as local tests.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if folder is None:
+        raise LookupError("spark.checkpoint.dir is not set and no fallback folder was given")
+    return folder.rstrip("/")
+
+
+def snapshot(df: DataFrame, name: str, fallback: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back, so that later jobs start from files."""
+    folder = shared_folder(df.sparkSession, fallback)
+    return publish_table(df, name, path=f"{folder}/{name}")
+
+
 def refresh(spark: SparkSession, *names: str) -> None:
     """Forget cached files and metadata of tables or views that others have rewritten."""
     for name in names:

@@ -243,9 +243,14 @@ def _(t: Tables) -> DataFrame:
 
 
 @_register("q27_performance_summary")
+def _(t: Tables) -> DataFrame:
+    return ranking.performance_summary(dashboard(t), sort=True)
+
+
+@_register("q27_rankings_join")
 def _(t: Tables) -> DataFrame:
     frame = dashboard(t)
-    return ranking.performance_summary(frame, ranking.stock_rankings(frame), sort=True)
+    return ranking.performance_summary(frame, ranking.stock_rankings(frame))
 
 
 @_register("emoji_labels")

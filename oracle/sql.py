@@ -315,6 +315,13 @@ def shares(groups: str, label: str, as_name: str) -> str:
 LOTS = "customer_holdings h join coverage c on h.ticker_symbol = c.ticker"
 VALUE = "(shares_held * cost_basis)::double as position_value"
 
+PERFORMANCE_SUMMARY = """
+    select d.symbol, my_current_annual_earnings as current_earnings,
+           my_projected_annual_earnings as projected_earnings,
+           projected_eps_growth_pct as growth_rate, d.risk_assessment,
+           d.action_recommendation, performance_score
+    from dashboard d join rankings k on d.symbol = k.symbol"""
+
 ARTICLE_COLUMNS = "select * exclude (fiscal_date)"
 
 QUERIES = {
@@ -500,12 +507,8 @@ QUERIES = {
     "q25_stock_performance": STOCK_PERFORMANCE,
     "q26_earnings_waterfall": """
         select symbol, my_current_annual_earnings, my_projected_annual_earnings from dashboard""",
-    "q27_performance_summary": """
-        select d.symbol, my_current_annual_earnings as current_earnings,
-               my_projected_annual_earnings as projected_earnings,
-               projected_eps_growth_pct as growth_rate, d.risk_assessment,
-               d.action_recommendation, performance_score
-        from dashboard d join rankings k on d.symbol = k.symbol""",
+    "q27_performance_summary": PERFORMANCE_SUMMARY,
+    "q27_rankings_join": PERFORMANCE_SUMMARY,
     "q28_security_history": """
         select replace(ticker_region, '-US', '') as portfolio_ticker,
                ticker_region as ticker_region_format, sym.fsym_id as symbology_fsym_id,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliospark import queries as registered
 from foliospark.fixtures import Tables
-from foliospark.operators import temporal
+from foliospark.operators import resolve, temporal
 from foliospark.plans import enrich, entity, hybrid
 from foliospark.sources import introspect
 
@@ -182,19 +182,35 @@ def test_a_hot_ticker_is_split_in_the_entity_queries(spark, market, skew_sensiti
     assert yearly.count() == 20_000
 
 
-def test_a_hot_customer_and_ticker_shrink_before_the_rollup(spark, settings, no_broadcast, table):
-    """A third of the lots in one customer and ticker leave each task as a single row."""
-    lots = spark.range(0, 30_000, 1, 4).select(
+def test_a_hot_customer_and_ticker_in_the_rollup(spark, skew_sensitive, table):
+    """The hot ticker is split in the join, the hot customer is summed up before its shuffle."""
+    lots = spark.range(0, 60_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("customer_id"),
-        F.when(F.col("id") % 3 == 0, F.lit("A")).otherwise(F.lit("B")).alias("ticker_symbol"),
-        F.lit(2.0).alias("shares_held"),
+        F.when(F.col("id") % 3 == 0, F.lit("A"))
+        .otherwise(F.concat(F.lit("B"), F.col("id") % 40))
+        .alias("ticker_symbol"),
+        (F.xxhash64("id") % 100).cast("double").alias("shares_held"),
         F.lit(3.0).alias("cost_basis"),
     )
-    figures = table("annual_financials", [("A", 2023, 1.0, -1.0), ("B", 2023, 1.0, 1.0)])
+    names = ["A"] + [f"B{n}" for n in range(40)]
+    figures = table("annual_financials", [(n, 2023, 1.0, -1.0 if n == "A" else 1.0) for n in names])
     frame = hybrid.customer_rollup(lots, figures, fiscal_year=2023)
     rows = {r.customer_id: r for r in frame.collect()}
-    assert sum(r.positions for r in rows.values()) == 30_000
-    assert sum(r.risk_count for r in rows.values()) == 10_000
-    text = introspect.explain_text(frame, "simple")
-    join = text.index("SortMergeJoin")
-    assert "partial_count" in text[join:], "lots are counted below the join"
+    assert sum(r.positions for r in rows.values()) == 60_000
+    assert sum(r.risk_count for r in rows.values()) == 20_000
+    text = executed(frame)
+    assert re.search(r"SortMergeJoin\(skew=true\)", text)
+    above = text[: text.index("SortMergeJoin")]
+    assert "partial_sum" in above[above.index("Exchange hashpartitioning(customer_id") :]
+
+
+def test_a_hot_ticker_is_split_in_the_anti_join(spark, market, skew_sensitive):
+    lots = hot_lots(spark, "NONE", ["AAPL", "MSFT", "GOOGL", "LOSS"])
+    lots = lots.select(F.col("symbol").alias("ticker_symbol"))
+    names = market.sym.select(
+        F.regexp_replace("ticker_region", "-US", "").alias("ticker"), F.lit("n").alias("proper_name")
+    )
+    coverage = entity.adapt_coverage(market.sym, market.ff_map, names)
+    missing = resolve.unmatched_holdings(coverage, lots)
+    assert re.search(r"SortMergeJoin\(skew=true\)", executed(missing))
+    assert missing.count() == 20_000

@@ -129,8 +129,11 @@ def test_unknown_growth_is_an_underperformer(dashboard):
 def test_performance_summary_keeps_each_lot_once(market, table):
     lots = table("equity_holdings", [("Equity", "AAPL", 1.0), ("Equity", "AAPL", 2.0)])
     frame = enrich.portfolio_dashboard(lots, *market.core[1:], **DATES)
-    got = ranking.performance_summary(frame, ranking.stock_rankings(frame), sort=True).collect()
-    assert sorted((r.current_earnings, r.performance_score) for r in got) == [(4.0, 85.0), (8.0, 85.0)]
+    joined = ranking.performance_summary(frame, ranking.stock_rankings(frame), sort=True).collect()
+    in_place = ranking.performance_summary(frame, sort=True).collect()
+    for got in (joined, in_place):
+        pairs = sorted((r.current_earnings, r.performance_score) for r in got)
+        assert pairs == [(4.0, 85.0), (8.0, 85.0)]
 
 
 def test_top_earnings_and_waterfall(dashboard):

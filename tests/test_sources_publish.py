@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from conftest import AS_OF, MIN_DATE
@@ -250,3 +251,21 @@ def test_cached_releases_its_frames(spark):
         assert held.storageLevel.useMemory
         assert held.count() == 10
     assert not frame.storageLevel.useMemory
+
+
+def test_shared_folder_prefers_the_cluster_setting():
+    def session(folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder or default))
+
+    assert publish.shared_folder(session("s3://bucket/shared/"), "/local") == "s3://bucket/shared"
+    assert publish.shared_folder(session(None), "/local") == "/local"
+    with pytest.raises(LookupError, match="checkpoint"):
+        publish.shared_folder(session(None))
+
+
+def test_snapshot_reads_back_from_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "shared_folder", lambda session, fallback: fallback)
+    publish.snapshot(spark.range(4), "a", fallback=str(tmp_path))
+    again = publish.snapshot(spark.range(2), "a", fallback=str(tmp_path))
+    assert again.count() == 2
+    assert "Range" not in introspect.explain_text(again)
