@@ -20,7 +20,25 @@ SETTINGS: dict[str, str] = {
 }
 
 
-def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
+PARTITION_BYTES = 128 * 1024**2
+
+
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Partitions for the largest shuffle: about 128 MB each, and no fewer than the cores.
+
+    Adaptive execution merges the surplus for smaller shuffles but never splits a plain partition,
+    so size for the largest.
+    """
+    return max(cores, -(-shuffled_bytes // PARTITION_BYTES))
+
+
+def configured(
+    builder: SparkSession.Builder, shuffled_bytes: int | None = None, cores: int = 200
+) -> SparkSession.Builder:
+    """Apply the settings; with ``shuffled_bytes``, the size of the largest shuffle, also its width."""
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shuffled_bytes is not None:
+        wanted = shuffle_partitions(shuffled_bytes, cores)
+        builder = builder.config("spark.sql.shuffle.partitions", str(wanted))
     return builder

@@ -24,6 +24,122 @@ def times(condition: str) -> str:
     return f"sum(case when {condition} then 1 else 0 end)"
 
 
+def case(name: str, marks: list[str] | None = None) -> str:
+    """The labels of one rule set; ``marks`` go in front of them, in order, default last."""
+    *rules, (_, default) = RULES[name]
+    *fronts, last = marks or [""] * len(RULES[name])
+    branches = [
+        f"when {condition} then {literal(label, front)}"
+        for (condition, label), front in zip(rules, fronts)
+    ]
+    return f"case {' '.join(branches)} else {literal(default, last)} end"
+
+
+def literal(label: object, front: str) -> str:
+    return f"'{front}{label}'" if isinstance(label, str) else str(label)
+
+
+# Conditions and labels, first match first, the default last.
+RULES: dict[str, list[tuple[str, object]]] = {
+    "health": [
+        ("net_income < 0", "Unprofitable"),
+        ("debt_to_equity > 2.5", "High Leverage Risk"),
+        ("profit_margin_pct < 5", "Low Margin"),
+        ("profit_margin_pct > 15 and debt_to_equity < 1.5", "Strong"),
+        ("", "Healthy"),
+    ],
+    "signal": [
+        ("fe_num_est < 3", "Low Coverage - Limited Data"),
+        ("(fe_high - fe_low) / nullif(fe_mean, 0) > 0.5", "High Uncertainty - Divergent Views"),
+        ("fe_mean > 0", "Positive Outlook - Profitable Expected"),
+        ("", "Negative Outlook - Losses Expected"),
+    ],
+    "recommendation": [
+        ("net_income < 0", "SELL - Company Unprofitable"),
+        ("debt_to_equity > 2.5", "SELL - Excessive Leverage Risk"),
+        ("growth < -0.15", "SELL - Declining Earnings Expected"),
+        ("growth > 0.20", "STRONG BUY - High Growth Expected"),
+        ("growth > 0.05", "BUY - Positive Growth Expected"),
+        ("growth > -0.10", "HOLD - Flat Growth"),
+        ("", "HOLD - Monitor Closely"),
+    ],
+    "level": [
+        ("net_income < 0 or debt_to_equity > 2.5", "High Risk"),
+        ("profit_margin_pct < 3 or debt_to_equity > 1.5", "Medium Risk"),
+        ("", "Low Risk"),
+    ],
+    "rating": [
+        ("w > 0.30", "HIGH RISK - Consider Rebalancing"),
+        ("w > 0.15", "MEDIUM RISK - Monitor Closely"),
+        ("g > 10 and m > 10", "EXCELLENT - Strong Growth Portfolio"),
+        ("", "HEALTHY - Well Positioned"),
+    ],
+    "risk": [
+        ("net_income < 0", "High Risk - Unprofitable"),
+        ("debt_to_equity > 2.5", "High Risk - Excessive Debt"),
+        ("growth < -0.15", "Medium Risk - Declining Earnings"),
+        ("profit_margin_pct < 3", "Medium Risk - Low Margins"),
+        ("profit_margin_pct > 15 and debt_to_equity < 1.5", "Low Risk - Strong Fundamentals"),
+        ("", "Low Risk"),
+    ],
+    "action": [
+        ("net_income < 0", "SELL - Company Losing Money"),
+        ("growth < -0.15", "SELL - Earnings Declining"),
+        ("growth > 0.20", "STRONG BUY - High Growth Expected"),
+        ("growth > 0.05", "BUY - Positive Growth"),
+        ("growth > -0.10", "HOLD - Stable"),
+        ("", "HOLD - Monitor"),
+    ],
+    "priority": [
+        ("action like '%SELL%'", "URGENT - Consider Selling"),
+        ("risk like '%High%'", "REVIEW - High Risk"),
+        ("growth_pct > 25", "OPPORTUNITY - Strong Growth"),
+        ("action like '%STRONG BUY%'", "OPPORTUNITY - Consider Buying More"),
+        ("", "MONITOR - Stable"),
+    ],
+    "rank": [
+        ("action like '%SELL%'", 1),
+        ("risk like '%High%'", 2),
+        ("growth_pct > 25", 3),
+        ("", 4),
+    ],
+    "category": [
+        ("risk like '%High%'", "High Risk"),
+        ("risk like '%Medium%'", "Medium Risk"),
+        ("", "Low Risk"),
+    ],
+    "group": [
+        ("action like '%STRONG BUY%'", "Strong Buy"),
+        ("action like '%BUY%'", "Buy"),
+        ("action like '%SELL%'", "Sell"),
+        ("", "Hold"),
+    ],
+    "tier": [
+        ("growth_pct > 15", "Top Performer"),
+        ("growth_pct > 5", "Above Average"),
+        ("growth_pct > -5", "Stable"),
+        ("", "Underperformer"),
+    ],
+    "leverage": [
+        ("debt_to_equity_ratio > 2", "High Risk"),
+        ("debt_to_equity_ratio > 1", "Medium Risk"),
+        ("", "Low Risk"),
+    ],
+    "leverage_action": [
+        ("growth_pct > 15 and debt_to_equity_ratio < 1", "Strong Buy"),
+        ("growth_pct > 10", "Buy More"),
+        ("growth_pct < -10", "Consider Selling"),
+        ("debt_to_equity_ratio > 2", "Review - High Debt"),
+        ("", "Hold"),
+    ],
+    "growth": [
+        ("growth > 0.15", "Strong Buy"),
+        ("growth > 0.05", "Buy"),
+        ("growth > -0.05", "Hold"),
+        ("", "Sell"),
+    ],
+}
+
 AS_OF = "date '2000-06-30'"
 SINCE = "date '1998-01-01'"
 
@@ -157,19 +273,8 @@ STEPS = {
                {r("shares_held * forward_eps")} as my_projected_annual_earnings,
                {r("shares_held * (forward_eps - current_eps)")} as my_expected_earnings_increase,
                growth_pct as projected_eps_growth_pct,
-               case when net_income < 0 then 'High Risk - Unprofitable'
-                    when debt_to_equity > 2.5 then 'High Risk - Excessive Debt'
-                    when growth < -0.15 then 'Medium Risk - Declining Earnings'
-                    when profit_margin_pct < 3 then 'Medium Risk - Low Margins'
-                    when profit_margin_pct > 15 and debt_to_equity < 1.5
-                        then 'Low Risk - Strong Fundamentals'
-                    else 'Low Risk' end as risk_assessment,
-               case when net_income < 0 then 'SELL - Company Losing Money'
-                    when growth < -0.15 then 'SELL - Earnings Declining'
-                    when growth > 0.20 then 'STRONG BUY - High Growth Expected'
-                    when growth > 0.05 then 'BUY - Positive Growth'
-                    when growth > -0.10 then 'HOLD - Stable'
-                    else 'HOLD - Monitor' end as action_recommendation
+               {case('risk')} as risk_assessment,
+               {case('action')} as action_recommendation
         from held join profile using (ticker_region)""",
     "rankings": f"""
         select symbol, shares_held, my_current_annual_earnings as annual_earnings_contribution,
@@ -183,23 +288,22 @@ STEPS = {
                            else num_analysts_covering * 2 end)''', 0)} as performance_score,
                risk_assessment, action_recommendation
         from dashboard""",
+    "labels": """
+        select symbol as item, risk_assessment as risk, action_recommendation as action,
+               projected_eps_growth_pct as growth_pct, my_current_annual_earnings
+        from dashboard""",
     "risk_groups": f"""
-        select case when risk_assessment like '%High%' then 'High Risk'
-                    when risk_assessment like '%Medium%' then 'Medium Risk'
-                    else 'Low Risk' end as risk_category,
+        select {case('category')} as risk_category,
                count(*) as num_stocks,
                {total("my_current_annual_earnings")} as total_earnings,
-               {r(mean("projected_eps_growth_pct"))} as avg_growth_rate
-        from dashboard group by 1""",
+               {r(mean("growth_pct"))} as avg_growth_rate
+        from labels group by 1""",
     "action_groups": f"""
-        select case when action_recommendation like '%STRONG BUY%' then 'Strong Buy'
-                    when action_recommendation like '%BUY%' then 'Buy'
-                    when action_recommendation like '%SELL%' then 'Sell'
-                    else 'Hold' end as recommendation,
+        select {case('group')} as recommendation,
                count(*) as num_stocks,
                {total("my_current_annual_earnings")} as current_earnings_impact,
-               {r(mean("projected_eps_growth_pct"))} as avg_expected_growth
-        from dashboard group by 1""",
+               {r(mean("growth_pct"))} as avg_expected_growth
+        from labels group by 1""",
     "article_rows": """
         select symbol, number_of_shares as shares_held, instrument_type, fiscal_date,
                ff_eps_basic as eps_current, ff_net_income as net_income, ff_sales as revenue,
@@ -217,24 +321,14 @@ STEPS = {
         join sec_map on sym.fsym_id = sec_map.fsym_id
         join ff on ff.fsym_id = sec_map.fsym_company_id
         left join expected on expected.ticker_region = sym.ticker_region""",
-    "article": """
-        select *,
-               case when debt_to_equity_ratio > 2 then 'High Risk'
-                    when debt_to_equity_ratio > 1 then 'Medium Risk'
-                    else 'Low Risk' end as risk_assessment,
-               case when projected_eps_growth_pct > 15 and debt_to_equity_ratio < 1 then 'Strong Buy'
-                    when projected_eps_growth_pct > 10 then 'Buy More'
-                    when projected_eps_growth_pct < -10 then 'Consider Selling'
-                    when debt_to_equity_ratio > 2 then 'Review - High Debt'
-                    else 'Hold' end as action_recommendation
-        from article_rows""",
+    "article": f"""
+        select * exclude (growth_pct),
+               {case('leverage')} as risk_assessment,
+               {case('leverage_action')} as action_recommendation
+        from (select *, projected_eps_growth_pct as growth_pct from article_rows)""",
     "article_latest": """
         select * from article
         qualify row_number() over (partition by symbol order by fiscal_date desc) = 1""",
-    "labels": """
-        select symbol as item, risk_assessment as risk, action_recommendation as action,
-               projected_eps_growth_pct as growth_pct
-        from dashboard""",
 }
 
 PRELUDE = "with " + ",\n".join(
@@ -275,34 +369,23 @@ OVERVIEW = f"""
            {r(mean("debt_to_equity_ratio"))} as avg_leverage
     from dashboard"""
 
-PRIORITY = """case when action like '%SELL%' then '{a}URGENT - Consider Selling'
-    when risk like '%High%' then '{b}REVIEW - High Risk'
-    when growth_pct > 25 then '{c}OPPORTUNITY - Strong Growth'
-    when action like '%STRONG BUY%' then '{d}OPPORTUNITY - Consider Buying More'
-    else '{e}MONITOR - Stable' end"""
-PLAIN = dict.fromkeys("abcde", "")
-
-RANK = """case when action like '%SELL%' then 1 when risk like '%High%' then 2
-    when growth_pct > 25 then 3 else 4 end"""
-
 PRESSING = """(action_recommendation like '%SELL%' or action_recommendation like '%STRONG BUY%'
     or risk_assessment like '%High%' or projected_eps_growth_pct > 20)"""
 
-TIER = """case when projected_eps_growth_pct > 15 then '{a}Top Performer'
-    when projected_eps_growth_pct > 5 then '{b}Above Average'
-    when projected_eps_growth_pct > -5 then '{c}Stable'
-    else '{d}Underperformer' end"""
+TAGGED = """(select *, risk_assessment as risk, action_recommendation as action,
+                 projected_eps_growth_pct as growth_pct from dashboard)"""
+
+
+def action_items(extra: str = "") -> str:
+    return f"""
+        select {LISTING}, {case('priority')} as priority_action {extra}
+        from {TAGGED} where {PRESSING}"""
 
-ACTION_ITEMS = f"""
-    select {LISTING}, {PRIORITY.format(**PLAIN)} as priority_action {{extra}}
-    from (select *, risk_assessment as risk, action_recommendation as action,
-                 projected_eps_growth_pct as growth_pct
-          from dashboard where {PRESSING})"""
 
 STOCK_PERFORMANCE = f"""
     select symbol, shares_held, my_current_annual_earnings, my_projected_annual_earnings,
-           projected_eps_growth_pct, profit_margin_pct, {TIER.format(**PLAIN)} as performance_tier
-    from dashboard"""
+           projected_eps_growth_pct, profit_margin_pct, {case('tier')} as performance_tier
+    from {TAGGED}"""
 
 
 def shares(groups: str, label: str, as_name: str) -> str:
@@ -347,11 +430,7 @@ QUERIES = {
                {r("shares_held * current_eps")} as my_share_of_earnings,
                profit_margin_pct, equity_ratio_pct, debt_to_equity,
                {r("operating_cash_flow / 1000000e0")} as operating_cf_millions,
-               case when net_income < 0 then 'Unprofitable'
-                    when debt_to_equity > 2.5 then 'High Leverage Risk'
-                    when profit_margin_pct < 5 then 'Low Margin'
-                    when profit_margin_pct > 15 and debt_to_equity < 1.5 then 'Strong'
-                    else 'Healthy' end as financial_health
+               {case('health')} as financial_health
         from held join reported using (ticker_region)""",
     "q06_holdings_estimates": f"""
         select symbol, shares_held, fe_fp_end as fiscal_period_end, fe_mean as eps_consensus,
@@ -362,11 +441,7 @@ QUERIES = {
                {r("shares_held * fe_low")} as my_worst_case_earnings,
                {r("fe_std_dev")} as eps_std_deviation,
                {r("(fe_high - fe_low) / nullif(fe_mean, 0) * 100e0")} as estimate_spread_pct,
-               case when fe_num_est < 3 then 'Low Coverage - Limited Data'
-                    when (fe_high - fe_low) / nullif(fe_mean, 0) > 0.5
-                        then 'High Uncertainty - Divergent Views'
-                    when fe_mean > 0 then 'Positive Outlook - Profitable Expected'
-                    else 'Negative Outlook - Losses Expected' end as analyst_signal
+               {case('signal')} as analyst_signal
         from held
         join sym on held.ticker_region = sym.ticker_region
         join sec_map on sym.fsym_id = sec_map.fsym_id
@@ -383,16 +458,8 @@ QUERIES = {
                {r("shares_held * forward_eps")} as my_projected_earnings_share,
                {r("shares_held * (forward_eps - current_eps)")} as my_expected_earnings_growth,
                growth_pct as eps_growth_pct,
-               case when net_income < 0 then 'SELL - Company Unprofitable'
-                    when debt_to_equity > 2.5 then 'SELL - Excessive Leverage Risk'
-                    when growth < -0.15 then 'SELL - Declining Earnings Expected'
-                    when growth > 0.20 then 'STRONG BUY - High Growth Expected'
-                    when growth > 0.05 then 'BUY - Positive Growth Expected'
-                    when growth > -0.10 then 'HOLD - Flat Growth'
-                    else 'HOLD - Monitor Closely' end as investment_recommendation,
-               case when net_income < 0 or debt_to_equity > 2.5 then 'High Risk'
-                    when profit_margin_pct < 3 or debt_to_equity > 1.5 then 'Medium Risk'
-                    else 'Low Risk' end as risk_level
+               {case('recommendation')} as investment_recommendation,
+               {case('level')} as risk_level
         from held join profile using (ticker_region)""",
     "q08_join_trace": f"""
         , chain as (
@@ -446,10 +513,7 @@ QUERIES = {
         )
         select 'My Portfolio' as portfolio_name, * exclude (g, m, w),
                {r("g")} as avg_eps_growth_pct, {r("m")} as avg_profit_margin_pct,
-               case when w > 0.30 then 'HIGH RISK - Consider Rebalancing'
-                    when w > 0.15 then 'MEDIUM RISK - Monitor Closely'
-                    when g > 10 and m > 10 then 'EXCELLENT - Strong Growth Portfolio'
-                    else 'HEALTHY - Well Positioned' end as portfolio_health_rating
+               {case('rating')} as portfolio_health_rating
         from totals""",
     "q11_deep_dive": f"""
         , past as (
@@ -499,7 +563,7 @@ QUERIES = {
                my_current_annual_earnings, risk_assessment
         from dashboard where profit_margin_pct > 15 and debt_to_equity_ratio < 1.5""",
     "q19_portfolio_summary": PORTFOLIO_SUMMARY,
-    "q20_action_items": ACTION_ITEMS.format(extra=f", {RANK} as priority_rank"),
+    "q20_action_items": action_items(f", {case('rank')} as priority_rank"),
     "q21_stock_rankings": "select * from rankings",
     "q22_portfolio_overview": OVERVIEW,
     "q23_risk_distribution": "select * from risk_groups",
@@ -543,16 +607,17 @@ QUERIES = {
         from {LOTS} join entity_eps e on c.entity_id = e.entity_id
         where fiscal_year = 2000""",
     "q32_portfolio_outlook": f"""
-        select customer_id, ticker_symbol, proper_name, {VALUE}, eps_basic as eps_actual,
-               mean_estimate as eps_estimate,
-               {r("(mean_estimate - eps_basic) / nullif(eps_basic, 0) * 100e0")} as eps_growth_pct,
-               case when (mean_estimate - eps_basic) / nullif(eps_basic, 0) > 0.15 then 'Strong Buy'
-                    when (mean_estimate - eps_basic) / nullif(eps_basic, 0) > 0.05 then 'Buy'
-                    when (mean_estimate - eps_basic) / nullif(eps_basic, 0) > -0.05 then 'Hold'
-                    else 'Sell' end as recommendation
-        from {LOTS}
-        join entity_facts f on c.entity_id = f.entity_id and f.fiscal_year = 1999
-        join entity_eps e on c.entity_id = e.entity_id and e.fiscal_year = 2000""",
+        , outlook as (
+            select customer_id, ticker_symbol, proper_name, {VALUE}, eps_basic as eps_actual,
+                   mean_estimate as eps_estimate,
+                   (mean_estimate - eps_basic) / nullif(eps_basic, 0) as growth
+            from {LOTS}
+            join entity_facts f on c.entity_id = f.entity_id and f.fiscal_year = 1999
+            join entity_eps e on c.entity_id = e.entity_id and e.fiscal_year = 2000
+        )
+        select * exclude (growth), {r("growth * 100e0")} as eps_growth_pct,
+               {case('growth')} as recommendation
+        from outlook""",
     "q33_holdings_financials": """
         select customer_id, ticker_symbol, shares_held::double as shares_held, revenue, net_income
         from customer_holdings join annual_financials on ticker_symbol = ticker
@@ -621,7 +686,7 @@ QUERIES = {
         order by performance_score desc nulls last, annual_earnings_contribution desc nulls last,
                  symbol
         limit 15""",
-    "d7_action_items": ACTION_ITEMS.format(extra=""),
+    "d7_action_items": action_items(),
     "d8_top_earnings": """
         select symbol, my_current_annual_earnings as current_earnings,
                my_projected_annual_earnings as projected_earnings
@@ -642,11 +707,11 @@ QUERIES = {
             from dashboard
         )
         select symbol,
-               {TIER.format(a="🚀 ", b="📈 ", c="➡️ ", d="📉 ")} as performance_tier,
+               {case("tier", ["🚀 ", "📈 ", "➡️ ", "📉 "])} as performance_tier,
                case when pressing then risk end as risk_assessment,
                case when pressing then action end as action_recommendation,
                case when pressing
-                    then {PRIORITY.format(a="🔴 ", b="🟡 ", c="🟢 ", d="💰 ", e="⚪ ")}
+                    then {case("priority", ["🔴 ", "🟡 ", "🟢 ", "💰 ", "⚪ "])}
                     end as priority_action
         from marked""",
     "normalize_symbol": """
@@ -691,37 +756,21 @@ QUERIES = {
         select upper(symbol) as item,
                if(sym.fsym_id is null, 'NOT FOUND', 'FOUND') as label
         from equity_holdings left join sym on upper(symbol) = ticker_region""",
-    "classify_financial_health": """
+    "classify_financial_health": f"""
         select ticker_region as item,
-               case when net_income < 0 then 'Unprofitable'
-                    when debt_to_equity > 2.5 then 'High Leverage Risk'
-                    when profit_margin_pct < 5 then 'Low Margin'
-                    when profit_margin_pct > 15 and debt_to_equity < 1.5 then 'Strong'
-                    else 'Healthy' end as label
+               {case('health')} as label
         from profile""",
     "classify_analyst_signal": f"""
         select fsym_id || '@' || fe_fp_end as item,
-               case when fe_num_est < 3 then 'Low Coverage - Limited Data'
-                    when (fe_high - fe_low) / nullif(fe_mean, 0) > 0.5
-                        then 'High Uncertainty - Divergent Views'
-                    when fe_mean > 0 then 'Positive Outlook - Profitable Expected'
-                    else 'Negative Outlook - Losses Expected' end as label
+               {case('signal')} as label
         from fe where fe_item = 'EPS' and cons_end_date is null and fe_fp_end >= {AS_OF}""",
-    "classify_investment_recommendation": """
+    "classify_investment_recommendation": f"""
         select ticker_region as item,
-               case when net_income < 0 then 'SELL - Company Unprofitable'
-                    when debt_to_equity > 2.5 then 'SELL - Excessive Leverage Risk'
-                    when growth < -0.15 then 'SELL - Declining Earnings Expected'
-                    when growth > 0.20 then 'STRONG BUY - High Growth Expected'
-                    when growth > 0.05 then 'BUY - Positive Growth Expected'
-                    when growth > -0.10 then 'HOLD - Flat Growth'
-                    else 'HOLD - Monitor Closely' end as label
+               {case('recommendation')} as label
         from profile""",
-    "classify_risk_level": """
+    "classify_risk_level": f"""
         select ticker_region as item,
-               case when net_income < 0 or debt_to_equity > 2.5 then 'High Risk'
-                    when profit_margin_pct < 3 or debt_to_equity > 1.5 then 'Medium Risk'
-                    else 'Low Risk' end as label
+               {case('level')} as label
         from profile""",
     "classify_portfolio_health_rating": f"""
         , weights as (
@@ -733,60 +782,34 @@ QUERIES = {
             group by instrument_type
         )
         select instrument_type as item,
-               case when w > 0.30 then 'HIGH RISK - Consider Rebalancing'
-                    when w > 0.15 then 'MEDIUM RISK - Monitor Closely'
-                    when g > 10 and m > 10 then 'EXCELLENT - Strong Growth Portfolio'
-                    else 'HEALTHY - Well Positioned' end as label
+               {case('rating')} as label
         from weights""",
-    "classify_risk_assessment": """
+    "classify_risk_assessment": f"""
         select ticker_region as item,
-               case when net_income < 0 then 'High Risk - Unprofitable'
-                    when debt_to_equity > 2.5 then 'High Risk - Excessive Debt'
-                    when growth < -0.15 then 'Medium Risk - Declining Earnings'
-                    when profit_margin_pct < 3 then 'Medium Risk - Low Margins'
-                    when profit_margin_pct > 15 and debt_to_equity < 1.5
-                        then 'Low Risk - Strong Fundamentals'
-                    else 'Low Risk' end as label
+               {case('risk')} as label
         from profile""",
-    "classify_action_recommendation": """
+    "classify_action_recommendation": f"""
         select ticker_region as item,
-               case when net_income < 0 then 'SELL - Company Losing Money'
-                    when growth < -0.15 then 'SELL - Earnings Declining'
-                    when growth > 0.20 then 'STRONG BUY - High Growth Expected'
-                    when growth > 0.05 then 'BUY - Positive Growth'
-                    when growth > -0.10 then 'HOLD - Stable'
-                    else 'HOLD - Monitor' end as label
+               {case('action')} as label
         from profile""",
-    "classify_priority_action": f"select item, {PRIORITY.format(**PLAIN)} as label from labels",
-    "classify_priority_rank": f"select item, {RANK} as label from labels",
-    "classify_risk_category": """
-        select item, case when risk like '%High%' then 'High Risk'
-                          when risk like '%Medium%' then 'Medium Risk'
-                          else 'Low Risk' end as label
+    "classify_priority_action": f"select item, {case('priority')} as label from labels",
+    "classify_priority_rank": f"select item, {case('rank')} as label from labels",
+    "classify_risk_category": f"""
+        select item, {case('category')} as label
         from labels""",
-    "classify_recommendation_group": """
-        select item, case when action like '%STRONG BUY%' then 'Strong Buy'
-                          when action like '%BUY%' then 'Buy'
-                          when action like '%SELL%' then 'Sell'
-                          else 'Hold' end as label
+    "classify_recommendation_group": f"""
+        select item, {case('group')} as label
         from labels""",
-    "classify_performance_tier": f"""
-        select symbol as item, {TIER.format(**PLAIN)} as label from dashboard""",
+    "classify_performance_tier": f"select item, {case('tier')} as label from labels",
     "classify_leverage_risk": "select symbol as item, risk_assessment as label from article_latest",
     "classify_growth_and_leverage_action": """
         select symbol as item, action_recommendation as label from article_latest""",
-    "classify_growth_recommendation": """
+    "classify_growth_recommendation": f"""
         select ticker_region as item,
-               case when growth > 0.15 then 'Strong Buy' when growth > 0.05 then 'Buy'
-                    when growth > -0.05 then 'Hold' else 'Sell' end as label
+               {case('growth')} as label
         from profile""",
 }
 
 
-def _finish(body: str) -> str:
-    """Queries that open with a comma add common table expressions of their own."""
-    text = body.strip()
-    return f"{PRELUDE}\n{text}"
-
-
-ORACLE: dict[str, str] = {name: _finish(body) for name, body in QUERIES.items()}
+# Queries that open with a comma add common table expressions of their own.
+ORACLE: dict[str, str] = {name: f"{PRELUDE}\n{body.strip()}" for name, body in QUERIES.items()}

@@ -9,6 +9,7 @@ from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from foliospark import session
 from foliospark.functions import metrics as M
 from foliospark.functions import numeric as N
 from foliospark.functions.symbols import normalize_symbol, strip_region
@@ -167,3 +168,8 @@ def test_normalize_symbol(spark, symbol, region, wanted):
 def test_strip_region_takes_only_the_suffix(spark):
     assert value(spark, strip_region(F.lit("US-US-US"))) == "US-US"
     assert value(spark, strip_region(F.lit("AAPL"))) == "AAPL"
+
+
+def test_shuffle_width_follows_the_data():
+    assert session.shuffle_partitions(0, 8) == 8
+    assert session.shuffle_partitions(session.PARTITION_BYTES * 10 + 1, 8) == 11
