@@ -17,7 +17,7 @@ def share_pct(count_col: str, digits: int = 1) -> Column:
 
 
 def share_of_total(
-    df: DataFrame, count_col: str, label_col: str, label_as: str, unit: str = "stocks"
+    df: DataFrame, count_col: str, label_col: str, label_as: str = "share_label", unit: str = "stocks"
 ) -> DataFrame:
     """Adds ``pct_of_portfolio`` and a text such as ``"Buy: 12 stocks (8.3%)"``."""
     share = share_pct(count_col)

@@ -25,7 +25,7 @@ def join_trace(
     sec_map: DataFrame,
     facts: DataFrame,
     *,
-    min_date: dt.date,
+    min_date: dt.date | None = None,
     region: str | None = "US",
 ) -> DataFrame:
     """Joined rows and distinct symbols that survive each left-join step.
@@ -34,10 +34,10 @@ def join_trace(
     per key first and only the counts are joined. One pass gives all four steps, and a key with a
     great many rows never fans out.
     """
-    fact_rows = (
-        facts.filter(F.col("DATE") >= F.lit(min_date))
-        .groupBy(F.col("fsym_id").alias("fsym_company_id"))
-        .agg(F.count("*").alias("facts"))
+    if min_date is not None:
+        facts = facts.filter(F.col("DATE") >= F.lit(min_date))
+    fact_rows = facts.groupBy(F.col("fsym_id").alias("fsym_company_id")).agg(
+        F.count("*").alias("facts")
     )
     map_rows = (
         sec_map.filter(F.col("fsym_company_id").isNotNull())

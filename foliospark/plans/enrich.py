@@ -1,7 +1,8 @@
 """Holdings enriched with fundamentals and consensus estimates.
 
 Everything that depends on the company alone is computed once per ticker; the holdings then meet
-that profile in a single join. All frames come back unsorted: sort where a person reads them.
+that profile in a single join. Frames come back unsorted unless ``sort=True`` asks for the reading
+order: a global sort runs the join below it a second time to sample its ranges.
 """
 
 from __future__ import annotations
@@ -163,6 +164,7 @@ def holdings_fundamentals(
     instrument_type: str = "Equity",
     region: str | None = "US",
     rules: R.RuleSet | None = None,
+    sort: bool = False,
 ) -> DataFrame:
     """Each position with its company's latest annual figures and a health label."""
     reported = latest_fundamentals(sym, ff_map, ff, min_date=min_date)
@@ -171,7 +173,7 @@ def holdings_fundamentals(
         "financial_health", (rules or R.financial_health()).column()
     )
     held = positions(holdings, instrument_type, region)
-    return _attach(held, reported).select(
+    frame = _attach(held, reported).select(
         "symbol",
         "shares_held",
         F.col("fiscal_date").alias("latest_fiscal_date"),
@@ -185,6 +187,7 @@ def holdings_fundamentals(
         F.col("operating_cf_mm").alias("operating_cf_millions"),
         "financial_health",
     )
+    return frame.orderBy(F.desc("shares_held"), "symbol") if sort else frame
 
 
 def holdings_estimates(
@@ -199,6 +202,7 @@ def holdings_estimates(
     instrument_type: str = "Equity",
     region: str | None = "US",
     rules: R.RuleSet | None = None,
+    sort: bool = False,
 ) -> DataFrame:
     """Each position with every valid estimate whose period ends within the horizon."""
     mean, high, low = F.col("FE_MEAN"), F.col("FE_HIGH"), F.col("FE_LOW")
@@ -227,7 +231,7 @@ def holdings_estimates(
     )
     by_ticker = securities(sym, fe_map).drop("fsym_id").join(outlook, "fsym_company_id")
     shares = F.col("shares_held")
-    return (
+    frame = (
         positions(holdings, instrument_type, region)
         .join(by_ticker, "ticker_region")
         .select(
@@ -247,6 +251,7 @@ def holdings_estimates(
             "analyst_signal",
         )
     )
+    return frame.orderBy(F.desc("shares_held"), "fiscal_period_end", "symbol") if sort else frame
 
 
 def investment_analysis(
@@ -263,6 +268,7 @@ def investment_analysis(
     region: str | None = "US",
     recommendation: R.RuleSet | None = None,
     risk: R.RuleSet | None = None,
+    sort: bool = False,
 ) -> DataFrame:
     """Fundamentals and the next estimate side by side, with a recommendation and a risk level."""
     profile = ticker_profile(sym, ff_map, ff, fe_map, fe, as_of=as_of, min_date=min_date)
@@ -273,7 +279,7 @@ def investment_analysis(
         }
     )
     shares, now, ahead = F.col("shares_held"), F.col("current_eps"), F.col("forward_eps")
-    return _attach(positions(holdings, instrument_type, region), profile).select(
+    frame = _attach(positions(holdings, instrument_type, region), profile).select(
         "symbol",
         "shares_held",
         F.col("fiscal_date").alias("latest_fiscal_date"),
@@ -293,6 +299,7 @@ def investment_analysis(
         "investment_recommendation",
         "risk_level",
     )
+    return frame.orderBy(F.desc("shares_held"), "symbol") if sort else frame
 
 
 def portfolio_dashboard(
@@ -424,6 +431,7 @@ def deep_dive(
     symbol: str | None = None,
     instrument_type: str = "Equity",
     region: str | None = "US",
+    sort: bool = False,
 ) -> DataFrame:
     """Year-by-year history of a holding against each of its forward periods.
 
@@ -462,7 +470,7 @@ def deep_dive(
         outlook.drop("fsym_company_id"), "ticker_region", "left"
     )
     shares, then, later = F.col("shares_held"), F.col("historical_eps"), F.col("forward_eps")
-    return _attach(held, timeline).select(
+    frame = _attach(held, timeline).select(
         "symbol",
         "shares_held",
         "fiscal_date",
@@ -482,3 +490,4 @@ def deep_dive(
         M.position_earnings(shares, later).alias("my_projected_annual_earnings"),
         M.as_pct(M.eps_growth(then, later)).alias("eps_growth_pct"),
     )
+    return frame.orderBy(F.desc("fiscal_year"), "estimate_period", "symbol") if sort else frame

@@ -7,7 +7,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import ranking, rollup
@@ -25,6 +25,18 @@ def publish_sql_view(spark: SparkSession, name: str, text: str) -> str:
     return name
 
 
+def _partitioned(df: DataFrame, columns: Sequence[str]) -> DataFrameWriter:
+    """Overwriting Parquet writer.
+
+    With partition columns, rows are gathered by them first, so each value gets few files; adaptive
+    execution splits a value that holds too much for one task.
+    """
+    if not columns:
+        return df.write.mode("overwrite").format("parquet")
+    gathered = df.hint("rebalance", *columns)
+    return gathered.write.mode("overwrite").format("parquet").partitionBy(*columns)
+
+
 def publish_table(
     df: DataFrame,
     name: str,
@@ -44,9 +56,7 @@ def publish_table(
     if stamp:
         moment = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
         df = df.withColumn("last_updated", moment)
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    writer = _partitioned(df, partition_by)
     if path is not None:
         writer.save(path)
         return spark.read.parquet(path)
@@ -119,8 +129,5 @@ def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
 
 def share_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Write a Parquet snapshot for another workspace to read by path."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    _partitioned(df, partition_by).save(path)
     return path

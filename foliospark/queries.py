@@ -123,26 +123,23 @@ def _(t: Tables) -> DataFrame:
 @_register("q05_holdings_fundamentals")
 def _(t: Tables) -> DataFrame:
     held, sym, ff_map, ff, _, _ = t.core
-    frame = enrich.holdings_fundamentals(held, sym, ff_map, ff, min_date=MIN_DATE)
-    return frame.orderBy(F.desc("shares_held"), "symbol")
+    return enrich.holdings_fundamentals(held, sym, ff_map, ff, min_date=MIN_DATE)
 
 
 @_register("q06_holdings_estimates")
 def _(t: Tables) -> DataFrame:
     held, sym, _, _, fe_map, fe = t.core
-    frame = enrich.holdings_estimates(held, sym, fe_map, fe, as_of=AS_OF, horizon_days=365)
-    return frame.orderBy(F.desc("shares_held"), "fiscal_period_end", "symbol")
+    return enrich.holdings_estimates(held, sym, fe_map, fe, as_of=AS_OF, horizon_days=365)
 
 
 @_register("q07_investment_analysis")
 def _(t: Tables) -> DataFrame:
-    return enrich.investment_analysis(*t.core, **DATES).orderBy(F.desc("shares_held"), "symbol")
+    return enrich.investment_analysis(*t.core, **DATES)
 
 
 @_register("q11_deep_dive")
 def _(t: Tables) -> DataFrame:
-    years = enrich.deep_dive(*t.core, **DATES)
-    return years.orderBy(F.desc("fiscal_year"), "estimate_period", "symbol")
+    return enrich.deep_dive(*t.core, **DATES)
 
 
 @_register("q12_portfolio_dashboard")
@@ -244,7 +241,7 @@ def _(t: Tables) -> DataFrame:
 
 @_register("q27_performance_summary")
 def _(t: Tables) -> DataFrame:
-    return ranking.performance_summary(dashboard(t), sort=True)
+    return ranking.performance_summary(dashboard(t))
 
 
 @_register("q27_rankings_join")
@@ -280,7 +277,7 @@ for _number, _name in enumerate(datasets.DATASETS, 1):
 def _(t: Tables) -> DataFrame:
     return doubles(
         entity.portfolio_fundamentals(
-            t.customer_holdings, t.sym_coverage, t.entity_facts, fiscal_year=FACTS_YEAR, sort=True
+            t.customer_holdings, t.sym_coverage, t.entity_facts, fiscal_year=FACTS_YEAR
         )
     )
 
@@ -298,7 +295,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     return doubles(
         entity.portfolio_estimates(
-            t.customer_holdings, t.sym_coverage, t.entity_eps, fiscal_year=ESTIMATE_YEAR, sort=True
+            t.customer_holdings, t.sym_coverage, t.entity_eps, fiscal_year=ESTIMATE_YEAR
         )
     )
 
@@ -307,12 +304,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     return doubles(
         entity.portfolio_outlook(
-            t.customer_holdings,
-            t.sym_coverage,
-            t.entity_facts,
-            t.entity_eps,
-            **ENTITY_YEARS,
-            sort=True,
+            t.customer_holdings, t.sym_coverage, t.entity_facts, t.entity_eps, **ENTITY_YEARS
         )
     )
 

@@ -15,7 +15,7 @@ KINDS: dict[str, T.DataType] = {
     "bigint": T.LongType(),
     "double": T.DoubleType(),
     "date": T.DateType(),
-    "money": T.DecimalType(18, 2),
+    "money": T.DecimalType(18, 4),  # holdings come with two or four decimals
 }
 
 

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..schemas import conform
+
 JDBC_CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 MASK = "*****"
 
@@ -131,11 +133,13 @@ def read_federated(
     options: Mapping[str, object] | None = None,
     partition: Partitioning | None = None,
     fetch_size: int = 10_000,
+    logical: str | None = None,
 ) -> DataFrame:
     """Scan an external table, with the columns and the filter sent to the database.
 
     ``table`` is a catalog name unless ``options`` give a connection. Without ``partition`` the
-    whole scan is one task: give a range for any table beyond a few million rows.
+    whole scan is one task: give a range for any table beyond a few million rows. ``logical`` brings
+    the rows to the declared schema of that table, whatever the letter case at the source.
     """
     if options is None:
         if partition is not None:
@@ -149,6 +153,8 @@ def read_federated(
         rows = reader.load()
     if predicate is not None:
         rows = rows.filter(predicate)
+    if logical is not None:
+        rows = conform(rows, logical)
     return rows if columns is None else rows.select(*columns)
 
 

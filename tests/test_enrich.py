@@ -183,3 +183,23 @@ def test_deep_dive(market):
     everything = enrich.deep_dive(*market.core, **DATES).collect()
     assert [r for r in everything if r.symbol == "PLAIN"][0].forward_eps is None
     assert sorted(map(str, (r for r in everything if r.symbol == "aapl"))) == sorted(map(str, one))
+
+
+def test_reading_order(market):
+    held, sym, ff_map, ff, fe_map, fe = market.core
+    facts = enrich.holdings_fundamentals(held, sym, ff_map, ff, min_date=MIN_DATE, sort=True)
+    by_size = ["aapl", "GOOGL", "MSFT-US", "DEBT", "LOSS", "PLAIN", "ZERO"]
+    assert [r.symbol for r in facts.collect()] == by_size
+    analysis = enrich.investment_analysis(*market.core, **DATES, sort=True)
+    assert [r.symbol for r in analysis.collect()] == by_size
+    ahead = enrich.holdings_estimates(
+        held, sym, fe_map, fe, as_of=AS_OF, horizon_days=None, sort=True
+    ).collect()
+    assert [(r.symbol, r.fiscal_period_end.year) for r in ahead[:3]] == [
+        ("aapl", 2024),
+        ("aapl", 2025),
+        ("GOOGL", 2024),
+    ]
+    years = enrich.deep_dive(*market.core, **DATES, sort=True).collect()
+    keys = [(-r.fiscal_year, r.estimate_period or DAY(1, 1, 1)) for r in years]
+    assert keys == sorted(keys)

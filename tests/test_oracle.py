@@ -63,3 +63,22 @@ def test_every_branch_is_hit_at_the_middle_scale(spark):
     assert frame.filter("debt_to_equity_ratio is null").count() == 87
     assert frame.filter("forward_eps is null").count() == 142
     frame.unpersist()
+
+
+def test_matched_and_unmatched_make_up_the_holdings(spark):
+    queries = entry_points.queries()
+    matched = queries["semi_matched"](spark, SMALL)
+    missing = queries["anti_unmatched"](spark, SMALL)
+    everything = Tables(spark, SMALL).equity_holdings.select("symbol")
+    assert matched.intersect(missing).count() == 0
+    assert matched.unionByName(missing).exceptAll(everything).count() == 0
+    assert matched.count() + missing.count() == everything.count()
+
+
+def test_distributions_add_up(spark):
+    queries = entry_points.queries()
+    rows = queries["q12_portfolio_dashboard"](spark, SMALL).count()
+    for name in ("d2_risk_distribution", "d3_action_distribution"):
+        groups = queries[name](spark, SMALL).collect()
+        assert sum(r.num_stocks for r in groups) == rows
+        assert abs(sum(r.pct_of_portfolio for r in groups) - 100) <= 0.2

@@ -51,7 +51,9 @@ def test_no_python_no_cross_join_no_forced_broadcast(tables, name):
     assert "hint" not in text.lower(), "broadcasts are left to measured sizes"
 
 
-@pytest.mark.parametrize("name", ["q12_portfolio_dashboard", "q30_portfolio_fundamentals", "q33_customer_rollup"])
+@pytest.mark.parametrize(
+    "name", ["q12_portfolio_dashboard", "q30_portfolio_fundamentals", "q33_customer_rollup"]
+)
 def test_nothing_needs_a_broadcast(tables, no_broadcast, name):
     text = executed(registered.BUILDERS[name](tables))
     assert "BroadcastExchange" not in text
@@ -123,7 +125,8 @@ def test_top_k_never_sorts_everything(tables):
 
 
 def test_published_frames_are_not_sorted(tables):
-    for name in ("q12_portfolio_dashboard", "q21_stock_rankings", "q25_stock_performance", "d7_action_items"):
+    names = ("q12_portfolio_dashboard", "q21_stock_rankings", "q25_stock_performance")
+    for name in (*names, "d7_action_items", "q05_holdings_fundamentals", "q30_portfolio_fundamentals"):
         text = introspect.explain_text(registered.BUILDERS[name](tables), "simple")
         assert "rangepartitioning" not in text
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -124,6 +125,14 @@ def test_read_federated_by_name_filters_and_projects(spark, market):
         spark, "federated_holdings", ["symbol"], "instrument_type = 'Fund'"
     )
     assert [tuple(r) for r in got.collect()] == [("MSFT",)]
+    spark.sql(
+        """create or replace temp view upper_holdings as
+           select instrument_type as INSTRUMENT_TYPE, symbol as SYMBOL,
+                  cast(number_of_shares as decimal(12,2)) as NUMBER_OF_SHARES, 1 as EXTRA
+           from federated_holdings"""
+    )
+    got = federated.read_federated(spark, "upper_holdings", logical="equity_holdings")
+    assert got.schema.simpleString() == schemas.SCHEMAS["equity_holdings"].simpleString()
     with pytest.raises(ValueError, match="connection options"):
         federated.read_federated(
             spark, "federated_holdings", partition=federated.Partitioning("x", 0, 1, 2)
@@ -226,6 +235,27 @@ def test_partitioned_facts_prune_by_year(spark, tmp_path, market):
     assert one_year.count() == 8
 
 
+def test_partitioned_writes_split_a_hot_value(spark, settings, tmp_path):
+    """Two thirds of the rows fall in one year: several tasks write it, other years have one file.
+
+    Years that share the hot year's shuffle partition are split along with it.
+    """
+    settings(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__optimizeSkewsInRebalancePartitions__enabled="true",
+    )
+    rows = spark.range(0, 90_000, 1, 9).select(
+        F.when(F.col("id") % 3 > 0, 2023).otherwise(F.col("id") % 7).cast("int").alias("year"),
+        F.xxhash64("id").alias("a"),
+    )
+    path = publish.share_snapshot(rows, str(tmp_path / "hot"), ["year"])
+    files = {part.name: len(list(part.glob("*.parquet"))) for part in Path(path).glob("year=*")}
+    assert files["year=2023"] > 3
+    assert sorted(files.values())[0] == 1
+    assert sum(files.values()) < 9 * len(files), "fewer than one file per task and year"
+    assert spark.read.parquet(path).count() == 90_000
+
+
 def test_publish_portfolio(spark, market):
     frame = enrich.portfolio_dashboard(*market.core, **DATES)
     moment = dt.datetime(2024, 6, 30, 12)
