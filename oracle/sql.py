@@ -21,7 +21,7 @@ def mean(expression: str) -> str:
 
 
 def times(condition: str) -> str:
-    return f"sum(case when {condition} then 1 else 0 end)"
+    return f"sum(case when {condition} then 1 else 0 end)::bigint"
 
 
 def case(name: str, marks: list[str] | None = None) -> str:
@@ -629,10 +629,10 @@ QUERIES = {
         where fiscal_year = 1999
         order by investment desc, customer_id, ticker_symbol, revenue, net_income
         limit 20""",
-    "q33_customer_rollup": """
+    "q33_customer_rollup": f"""
         select customer_id, count(*) as positions,
                sum(shares_held * cost_basis)::double as portfolio_value,
-               sum(case when net_income < 0 then 1 else 0 end) as risk_count
+               {times("net_income < 0")} as risk_count
         from customer_holdings join annual_financials on ticker_symbol = ticker
         where fiscal_year = 1999
         group by customer_id""",
