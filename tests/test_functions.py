@@ -71,6 +71,31 @@ def test_sums_do_not_depend_on_partitioning(spark):
     assert len(totals) == 1
 
 
+@pytest.mark.parametrize(
+    "numbers",
+    [
+        [0.1, 0.2, -0.3, 1.005, 1e-9],
+        [1234.56, -0.01, 0.29, 8.07],
+        [1 / 3, 2 / 3],
+        [1e15 + 0.5, 9.99e12, 1e13, 0.07],
+        [None, None],
+        [None, 4.35],
+    ],
+)
+def test_exact_sum_agrees_with_decimal(spark, numbers):
+    frame = spark.createDataFrame([(x,) for x in numbers], "x double")
+    got = frame.agg(N.exact_sum(F.col("x")).alias("v")).first()["v"]
+    known = [Decimal(repr(x)).quantize(Decimal("1e-10"), ROUND_HALF_UP) for x in numbers if x is not None]
+    assert got == (sum(known) if known else None) or abs(got - sum(known)) <= Decimal("1e-9")
+
+
+def test_cents_add_up_exactly(spark):
+    cents = [(c * 7919 % 10_000_019 - 5_000_000) for c in range(20_000)]
+    frame = spark.createDataFrame([(c / 100,) for c in cents], "x double")
+    got = frame.agg(N.exact_sum(F.col("x")).alias("v")).first()["v"]
+    assert got == Decimal(sum(cents)) / 100
+
+
 def test_aggregates_of_nothing(spark):
     empty = spark.createDataFrame([], "x double, ok boolean")
     row = empty.agg(
