@@ -156,6 +156,7 @@ def linked(bits: np.ndarray, ends: np.ndarray, radius: int = RADIUS) -> np.ndarr
     left = np.zeros(lanes, np.int64)  # rows behind it in its key
     left[:n] = ends - np.arange(n) - 1
     most = left.reshape(-1, 64).max(axis=1)
+    size = ends - np.searchsorted(ends, ends)  # of each row's key
     lane = np.arange(lanes).reshape(-1, 64)
     counters = radius.bit_length()
     for d in range(1, int(most.max()) + 1):
@@ -193,8 +194,7 @@ def linked(bits: np.ndarray, ends: np.ndarray, radius: int = RADIUS) -> np.ndarr
         a = words[found[which]] * 64 + offset
         b = a + d
         near = np.bitwise_count(bits[a] ^ bits[b]) <= radius
-        rows = np.flatnonzero(np.repeat(most >= d, 64)[:n])
-        connect(label, a[near], b[near], rows)
+        connect(label, a[near], b[near], np.flatnonzero(size > d))
     return label
 
 
