@@ -4,9 +4,10 @@ The normalised texts are dealt to ranges whose splitters Spark samples, and each
 it does not fit), so equal texts lie next to each other. A window then compares each whole text with its neighbours: a
 run of equals is one group, its first row the one to stay.
 
-A group of any size is spread: the sort key is the text and a salt from the row's key, of about the square root of the
-rows, so a hot text fills many runs in many ranges. The runs of a group are then combined by the digest of their text:
-a run, not a row, is what a group sends there.
+The sort key is the start of the text, a salt and the whole text. Splitters are drawn from the first two, so what the driver
+gets for them is short however long the texts are. The salt comes from the row's key and has about as many values as
+the square root of the rows, so a hot text, or a start that many texts share, fills many runs in many ranges. The runs of
+a group are then combined by the digest of their text: a run, not a row, is what a group sends there.
 
 Of equal texts the row with the most code points in its original text stays, then the smallest key; a null key comes
 after all others. Of rows equal in both, one stays. Null counts as empty, and empty texts are equal to one another. An empty
@@ -24,6 +25,7 @@ from foliospark.llm.common import checkpointed, chosen, identified
 
 WHITE = " \t\n\x0b\x0c\r"
 RANGE_ROWS = 20_000
+START_CHARS = 64
 
 
 def normalised(text: str | Column) -> Column:
@@ -47,8 +49,10 @@ def runs(docs: DataFrame, key: str, text: str, rows: int, carried: list[str]) ->
         normalised(text).alias("content"),
         F.pmod(F.xxhash64(F.lit(1), F.col(key)), F.lit(salts(rows))).cast("int").alias("salt"),
         *carried,
-    ).repartitionByRange(parts, "content", "salt")
-    run = Window.partitionBy("content", "salt")
+    )
+    ranged = ranged.withColumn("start", F.substring("content", 1, START_CHARS))
+    ranged = ranged.repartitionByRange(parts, "start", "salt")
+    run = Window.partitionBy("start", "salt", "content")
     first = run.orderBy(F.desc("chars"), F.asc_nulls_last("key"))
     return ranged.select(
         "key",
