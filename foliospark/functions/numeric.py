@@ -11,12 +11,8 @@ EXACT = "decimal(38,10)"
 
 
 def half_up(value: Column, digits: int = 2) -> Column:
-    """Round half away from zero on the decimal value of a number, as a double.
-
-    Values beyond decimal(38,10), infinities and NaN fall back to Spark's own double rounding.
-    """
-    exact = F.round(value.try_cast(EXACT), digits).cast("double")
-    return F.coalesce(exact, F.round(value.cast("double"), digits))
+    """Spark's ROUND: half away from zero on the shortest decimal form of a double, as a double."""
+    return F.round(value.cast("double"), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -32,28 +28,46 @@ def millions(value: Column, digits: int = 2) -> Column:
     return half_up(value / F.lit(1_000_000.0), digits)
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of a double as a decimal: the order in which partial sums meet does not change it.
+def _totals(value: Column) -> tuple[Column, Column]:
+    """The sum as a decimal of what a decimal can hold, and as a double of the rest; NULL where there is none.
 
-    Whole cents, which most amounts are, add up as integers; only other values go through the far
-    slower conversion to decimal(38,10).
+    Whole cents, which most amounts are, add up as integers; other values go through the far slower
+    conversion to decimal(38,10). The rest are NaN, infinities, values beyond that type and values
+    it would take to zero.
     """
     value = value.cast("double")
+    exact = value.try_cast(EXACT)
+    held = exact.isNotNull() & ((exact != 0) | (value == 0))
     cents = F.floor(value * F.lit(100.0) + F.lit(0.5))
-    whole = (F.abs(value) < F.lit(1e13)) & (cents / F.lit(100.0) == value)
+    whole = held & (F.abs(value) < F.lit(1e13)) & (cents / F.lit(100.0) == value)
     in_cents = F.sum(F.when(whole, cents).cast("decimal(20,0)")) * F.lit(Decimal("0.01"))
-    others = F.sum(F.when(~whole, value.cast(EXACT)))
-    return F.coalesce(in_cents + others, in_cents, others)
+    others = F.try_sum(F.when(held & ~whole, exact))
+    overflown = (F.count(F.when(held & ~whole, 1)) > 0) & others.isNull()
+    rest = F.sum(F.when(~held, value))
+    total = F.when(~overflown, F.coalesce(in_cents + others, in_cents, others))
+    return total, F.when(overflown, F.sum(value)).otherwise(rest)
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of a double, as a double: the order in which partial sums meet does not change it.
+
+    Each value counts to ten decimal places. NaN, infinities and values a decimal cannot hold are
+    added as doubles, so they show in the result as in Spark's own sum.
+    """
+    total, rest = _totals(value)
+    return F.coalesce(total.cast("double") + rest, total.cast("double"), rest)
 
 
 def money_sum(value: Column, digits: int = 2) -> Column:
     """Rounded total of an amount, as a double."""
-    return F.round(exact_sum(value), digits).cast("double")
+    total, rest = _totals(value)
+    both = F.round(total.cast("double") + rest, digits)
+    return F.coalesce(both, F.round(total, digits).cast("double"), F.round(rest, digits))
 
 
 def exact_avg(value: Column) -> Column:
     """Mean as an exact total over the number of non-NULL values; NULL when there are none."""
-    return ratio(exact_sum(value).cast("double"), F.count(value))
+    return ratio(exact_sum(value), F.count(value))
 
 
 def rounded_avg(value: Column, digits: int = 2) -> Column:

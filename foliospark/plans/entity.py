@@ -86,7 +86,7 @@ def portfolio_fundamentals(
 ) -> DataFrame:
     """Lots with company name, position value and the figures of one fiscal year."""
     year = annual_facts(facts, fiscal_year).select("entity_id", "sales", "net_income", "eps_basic")
-    company = _named(coverage).join(year, "entity_id")
+    company = splittable(_named(coverage).join(year, "entity_id"), "ticker_symbol")
     lots = holdings.join(company, "ticker_symbol").select(
         "customer_id",
         "ticker_symbol",
@@ -111,7 +111,7 @@ def portfolio_estimates(
         "low_estimate",
         F.col("num_estimates").alias("analyst_count"),
     )
-    company = _named(coverage).join(year, "entity_id")
+    company = splittable(_named(coverage).join(year, "entity_id"), "ticker_symbol")
     lots = holdings.join(company, "ticker_symbol").select(
         "customer_id",
         "ticker_symbol",
@@ -135,7 +135,7 @@ def _company_outlook(
     ahead = annual_eps(eps, estimate_year).select(
         "entity_id", F.col("mean_estimate").alias("eps_estimate")
     )
-    return _named(coverage).join(past.join(ahead, "entity_id"), "entity_id")
+    return _named(coverage).join(splittable(past.join(ahead, "entity_id"), "entity_id"), "entity_id")
 
 
 def portfolio_outlook(

@@ -15,13 +15,13 @@ from ..operators.temporal import split_by_date
 
 def _of_year(financials: DataFrame, fiscal_year: int) -> DataFrame:
     wanted = financials.filter(F.col("fiscal_year") == fiscal_year)
-    renamed = wanted.withColumnRenamed("ticker", "ticker_symbol").drop("fiscal_year")
-    return splittable(renamed, "ticker_symbol")
+    return wanted.withColumnRenamed("ticker", "ticker_symbol").drop("fiscal_year")
 
 
 def holdings_financials(holdings: DataFrame, financials: DataFrame, *, fiscal_year: int) -> DataFrame:
     """Lots with revenue and net income of one fiscal year."""
-    return holdings.join(_of_year(financials, fiscal_year), "ticker_symbol").select(
+    companies = splittable(_of_year(financials, fiscal_year), "ticker_symbol")
+    return holdings.join(companies, "ticker_symbol").select(
         "customer_id", "ticker_symbol", "shares_held", "revenue", "net_income"
     )
 
@@ -31,7 +31,8 @@ def top_investments(
 ) -> DataFrame:
     """The k largest lots by invested amount."""
     invested = M.position_value(F.col("shares_held"), F.col("cost_basis"))
-    lots = holdings.join(_of_year(financials, fiscal_year), "ticker_symbol").select(
+    companies = splittable(_of_year(financials, fiscal_year), "ticker_symbol")
+    lots = holdings.join(companies, "ticker_symbol").select(
         "customer_id", "ticker_symbol", invested.alias("investment"), "revenue", "net_income"
     )
     order = ["customer_id", "ticker_symbol", "revenue", "net_income"]

@@ -60,24 +60,29 @@ def publish_table(
     if path is not None:
         writer.save(path)
         return spark.read.parquet(path)
-    writer.saveAsTable(name)
+    _replace_table(spark, writer, name)
     return spark.table(name)
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
+def _replace_table(spark: SparkSession, writer: DataFrameWriter, name: str) -> None:
+    """Write beside the table and take its place only when all is written, so a failed run leaves it as it was."""
+    staged = f"{name}__new"
+    writer.saveAsTable(staged)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
 
-    ``fallback`` serves only sessions without that setting, such as local tests.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        raise LookupError("spark.checkpoint.dir is not set and no fallback folder was given")
+        raise LookupError("spark.checkpoint.dir is not set")
     return folder.rstrip("/")
 
 
-def snapshot(df: DataFrame, name: str, fallback: str | None = None) -> DataFrame:
+def snapshot(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so that later jobs start from files."""
-    folder = shared_folder(df.sparkSession, fallback)
+    folder = shared_folder(df.sparkSession)
     return publish_table(df, name, path=f"{folder}/{name}")
 
 
@@ -90,7 +95,11 @@ def refresh(spark: SparkSession, *names: str) -> None:
 def publish_portfolio(
     dashboard: DataFrame, prefix: str, loaded_at: dt.datetime | None = None, emoji: bool = False
 ) -> dict[str, str]:
-    """The daily job: the dashboard is computed once and everything else reads its snapshot."""
+    """The daily job: the dashboard is computed once and everything else reads its snapshot.
+
+    All results are tables under the full prefix, catalog and schema included, so that other sessions
+    read them and portfolios with unlike prefixes stand side by side.
+    """
 
     def name(part: str) -> str:
         return f"{prefix}{part}"
@@ -102,18 +111,16 @@ def publish_portfolio(
     items = ranking.action_items(snapshot, emoji=emoji, with_rank=True)
     publish_table(items, name("action_items"), loaded_at, stamp=True)
     publish_table(ranking.stock_rankings(snapshot), name("stock_rankings"))
-    views: Mapping[str, Callable[[DataFrame], DataFrame]] = {
+    derived: Mapping[str, Callable[[DataFrame], DataFrame]] = {
         "portfolio_overview": rollup.portfolio_overview,
         "risk_distribution": rollup.risk_distribution,
         "action_distribution": rollup.action_distribution,
         "stock_performance": lambda df: ranking.stock_performance(df, emoji=emoji),
     }
-    for part, build in views.items():
-        publish_view(build(snapshot), name(part).rpartition(".")[2])
+    for part, build in derived.items():
+        publish_table(build(snapshot), name(part))
     tables = ("portfolio_dashboard", "portfolio_summary", "action_items", "stock_rankings")
-    return {part: name(part) for part in tables} | {
-        part: name(part).rpartition(".")[2] for part in views
-    }
+    return {part: name(part) for part in (*tables, *derived)}
 
 
 @contextlib.contextmanager

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,7 +168,7 @@ def _(t: Tables) -> DataFrame:
 
 @_register("q13_dashboard_listing")
 def _(t: Tables) -> DataFrame:
-    view = publish.publish_view(dashboard(t), "foliospark_dashboard")
+    view = publish.publish_view(dashboard(t), f"foliospark_dashboard_{uuid4().hex}")
     columns = ", ".join(ranking.LISTING)
     return sql_query(
         t.spark, f"select {columns} from {view} order by my_current_annual_earnings desc, symbol"

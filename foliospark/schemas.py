@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,7 +115,10 @@ def validate_schema(df: DataFrame, table: str) -> DataFrame:
 
 
 def conform(df: DataFrame, table: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """The declared columns only, renamed from known aliases and cast to the declared types."""
+    """The declared columns only, renamed from known aliases and cast to the declared types.
+
+    An amount with more decimals than its declared type keeps is refused when it is read, not rounded.
+    """
     names = {name.lower(): target for name, target in {**ALIASES, **(aliases or {})}.items()}
     have = {name.lower() for name in df.columns}
     for column in df.columns:
@@ -123,6 +126,21 @@ def conform(df: DataFrame, table: str, aliases: Mapping[str, str] | None = None)
         if target is not None and target.lower() not in have:
             df = df.withColumnRenamed(column, target)
     validate_schema(df, table)
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields]
-    )
+    return df.select(*[_cast(df, field) for field in SCHEMAS[table].fields])
+
+
+def _cast(df: DataFrame, field: T.StructField) -> Column:
+    source = F.col(field.name)
+    value = source.cast(field.dataType)
+    wanted, actual = field.dataType, df.select(source).schema.fields[0].dataType
+    if isinstance(wanted, T.DecimalType) and not _fits(actual, wanted):
+        lossless = source.isNull() | (value.cast(actual) == source)
+        message = f"{field.name} has a value that {wanted.simpleString()} cannot keep"
+        value = F.when(lossless, value).otherwise(F.raise_error(F.lit(message)))
+    return value.alias(field.name)
+
+
+def _fits(actual: T.DataType, wanted: T.DecimalType) -> bool:
+    if isinstance(actual, T.DecimalType):
+        return actual.scale <= wanted.scale and actual.precision - actual.scale <= wanted.precision - wanted.scale
+    return isinstance(actual, (T.ByteType, T.ShortType, T.IntegerType))

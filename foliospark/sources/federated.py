@@ -109,8 +109,16 @@ def resolve_options(spark: SparkSession, options: Mapping[str, object]) -> dict[
     }
 
 
+# Option names whose values are never shown.
+CREDENTIAL = re.compile(r"(?i)password|passphrase|secret|token|key|credential|pwd")
+
+
 def register_federated(
-    spark: SparkSession, name: str, options: Mapping[str, object], push_aggregates: bool = True
+    spark: SparkSession,
+    name: str,
+    options: Mapping[str, object],
+    push_aggregates: bool = True,
+    fetch_size: int = 10_000,
 ) -> str:
     """Make a database readable as catalog ``name``: ``spark.table("name.schema.table")``.
 
@@ -119,6 +127,7 @@ def register_federated(
     prefix = f"spark.sql.catalog.{name}"
     spark.conf.set(prefix, JDBC_CATALOG)
     settings = {"pushDownAggregate": str(push_aggregates).lower(), "pushDownLimit": "true"}
+    settings["fetchsize"] = str(fetch_size)
     for key, value in {**settings, **resolve_options(spark, options)}.items():
         spark.conf.set(f"{prefix}.{key}", value)
     return name
@@ -142,9 +151,8 @@ def read_federated(
     the rows to the declared schema of that table, whatever the letter case at the source.
     """
     if options is None:
-        if partition is not None:
-            raise ValueError("a partitioned read needs connection options, not a catalog table")
-        rows = spark.table(table)
+        ranges = {} if partition is None else partition.options()
+        rows = spark.read.options(**ranges).table(table)
     else:
         reader = spark.read.format("jdbc").options(**resolve_options(spark, options))
         reader = reader.option("dbtable", table).option("fetchsize", fetch_size)
@@ -166,7 +174,7 @@ def describe_sources(spark: SparkSession) -> DataFrame:
         if not key.startswith(prefix):
             continue
         name, _, option = key[len(prefix):].partition(".")
-        hidden = option.lower() in {"user", "password"} or "secret" in option.lower()
+        hidden = option.lower() == "user" or CREDENTIAL.search(option)
         shown = MASK if hidden else _without_credentials(value)
         rows.append((name, option or "implementation", shown))
     return spark.createDataFrame(rows, "source string, option string, value string")
@@ -174,5 +182,5 @@ def describe_sources(spark: SparkSession) -> DataFrame:
 
 def _without_credentials(text: str) -> str:
     """Masks user and password given inside a URL."""
-    text = re.sub(r"(?i)((?:user|password|pwd|uid)=)[^;&]*", rf"\g<1>{MASK}", text)
+    text = re.sub(r"(?i)((?:user|uid|[a-z_]*(?:password|passphrase|secret|token|key|credential|pwd)[a-z_]*)=)[^;&]*", rf"\g<1>{MASK}", text)
     return re.sub(r"//[^/@\s]+@", f"//{MASK}@", text)

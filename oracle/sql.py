@@ -8,8 +8,8 @@ from __future__ import annotations
 
 
 def r(expression: str, digits: int = 2) -> str:
-    """Half-up rounding on the decimal value, as a double."""
-    return f"round(({expression})::decimal(38,10), {digits})::double"
+    """Half-up rounding on the shortest decimal form of a double, as a double."""
+    return f"round(({expression})::double::varchar::decimal(38,17), {digits})::double"
 
 
 def total(expression: str) -> str:

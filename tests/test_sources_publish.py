@@ -133,10 +133,7 @@ def test_read_federated_by_name_filters_and_projects(spark, market):
     )
     got = federated.read_federated(spark, "upper_holdings", logical="equity_holdings")
     assert got.schema.simpleString() == schemas.SCHEMAS["equity_holdings"].simpleString()
-    with pytest.raises(ValueError, match="connection options"):
-        federated.read_federated(
-            spark, "federated_holdings", partition=federated.Partitioning("x", 0, 1, 2)
-        )
+
 
 
 # Managed tables, ingestion, introspection.
@@ -271,9 +268,44 @@ def test_publish_portfolio(spark, market):
     text = introspect.explain_text(spark.table(names["portfolio_overview"]), "extended")
     assert "Window" not in text, "views read the snapshot and do not recompute the dashboard"
     assert publish.publish_portfolio(frame, "daily_", moment) == names, "the job can run again"
-    for part in ("portfolio_dashboard", "portfolio_summary", "action_items", "stock_rankings"):
-        spark.sql(f"drop table {names[part]}")
+    for table in names.values():
+        spark.sql(f"drop table {table}")
+
 
+def test_portfolios_of_two_schemas_stand_side_by_side(spark, market):
+    frame = enrich.portfolio_dashboard(*market.core, **DATES)
+    for schema in ("book_a", "book_b"):
+        spark.sql(f"create schema {schema}")
+    first = publish.publish_portfolio(frame, "book_a.my_")
+    second = publish.publish_portfolio(frame.limit(5), "book_b.my_")
+    other = spark.newSession()
+    assert other.table(first["portfolio_overview"]).first().total_stocks == 7
+    assert other.table(second["portfolio_overview"]).first().total_stocks == 5
+    for schema in ("book_a", "book_b"):
+        spark.sql(f"drop schema {schema} cascade")
+
+
+def test_a_failed_publication_leaves_the_table(spark):
+    publish.publish_table(spark.range(3), "kept_table")
+    with pytest.raises(Exception, match="no luck"):
+        publish.publish_table(spark.range(5).select(F.raise_error(F.lit("no luck")).alias("id")), "kept_table")
+    assert spark.table("kept_table").count() == 3
+    publish.publish_table(spark.table("kept_table").filter("id > 0"), "kept_table")
+    assert spark.table("kept_table").count() == 2
+    spark.sql("drop table kept_table")
+
+
+def test_amounts_are_refused_rather_than_rounded(spark):
+    def lots(shares):
+        columns = "customer_id bigint, ticker_symbol string, shares_held {}, purchase_date date, cost_basis double, account_type string"
+        kind = "double" if isinstance(shares, float) else "decimal(20,6)"
+        return schemas.conform(spark.createDataFrame([(1, "A", shares, None, 1.25, "x")], columns.format(kind)), "customer_holdings")
+
+    assert lots(Decimal("0.1234")).first().shares_held == Decimal("0.1234")
+    assert lots(0.1234).first().shares_held == Decimal("0.1234")
+    for shares in (Decimal("0.123456"), 0.123456):
+        with pytest.raises(Exception, match="shares_held has a value"):
+            lots(shares).collect()
 
 def test_cached_releases_its_frames(spark):
     frame = spark.range(10)
@@ -287,15 +319,39 @@ def test_shared_folder_prefers_the_cluster_setting():
     def session(folder):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder or default))
 
-    assert publish.shared_folder(session("s3://bucket/shared/"), "/local") == "s3://bucket/shared"
-    assert publish.shared_folder(session(None), "/local") == "/local"
+    assert publish.shared_folder(session("s3://bucket/shared/")) == "s3://bucket/shared"
     with pytest.raises(LookupError, match="checkpoint"):
         publish.shared_folder(session(None))
 
 
 def test_snapshot_reads_back_from_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(publish, "shared_folder", lambda session, fallback: fallback)
-    publish.snapshot(spark.range(4), "a", fallback=str(tmp_path))
-    again = publish.snapshot(spark.range(2), "a", fallback=str(tmp_path))
+    monkeypatch.setattr(publish, "shared_folder", lambda session: str(tmp_path))
+    publish.snapshot(spark.range(4), "a")
+    again = publish.snapshot(spark.range(2), "a")
     assert again.count() == 2
     assert "Range" not in introspect.explain_text(again)
+
+
+def test_partition_options_reach_the_reader_of_a_catalog_table():
+    seen = {}
+
+    class Reader:
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def table(self, name):
+            return name
+
+    ranges = federated.Partitioning("id", 0, 1000, 8)
+    session = SimpleNamespace(read=Reader())
+    assert federated.read_federated(session, "books.trading.lots", partition=ranges) == "books.trading.lots"
+    assert seen == ranges.options()
+
+
+def test_credentials_of_any_name_are_masked(spark):
+    shown = {"accessToken": "a1", "pem_private_key": "b2", "passphrase": "c3", "awsCredential": "d4", "fetchsize": "7"}
+    federated.register_federated(spark, "masked_source", {"url": "jdbc:x://h/db?apiToken=e5", **shown})
+    rows = {r.option: r.value for r in federated.describe_sources(spark).collect() if r.source == "masked_source"}
+    assert all(rows[name] == federated.MASK for name in shown if name != "fetchsize")
+    assert "e5" not in rows["url"] and rows["fetchsize"] == "7"
