@@ -34,6 +34,7 @@ from foliospark.llm.licenses import words_of
 
 HASH_BITS = 31
 BEGINNINGS = range(3, 9)
+SHARED = 0x2A5A5A5A  # marks the hash of a beginning that two words share
 MOST_SAMPLED = 10_000
 REMEMBERED = 200_000
 
@@ -41,7 +42,7 @@ REMEMBERED = 200_000
 @dataclass(frozen=True)
 class Settings:
     factors: int = 8
-    least_texts: int = 4
+    least_texts: int = 8
     linear_epochs: int = 20
     epochs: int = 20
     batch: int = 256
@@ -59,8 +60,8 @@ def hashed(term: bytes) -> int:
 def terms_of_word(word: bytes) -> tuple[list[int], list[int]]:
     """Hashes of the word and, marked, of its beginnings; and those the beginnings get where two words share them."""
     text = word.decode(errors="replace")
-    begun = [b"^" + text[:size].encode() for size in BEGINNINGS if size < len(text)]
-    return [hashed(word), *map(hashed, begun)], [hashed(b"^" + term) for term in begun]
+    begun = [hashed(b"^" + text[:size].encode()) for size in BEGINNINGS if size < len(text)]
+    return [hashed(word), *begun], [term ^ SHARED for term in begun]
 
 
 def terms_of(text: bytes) -> set[int]:
@@ -73,8 +74,9 @@ def gathered(words: Iterable[tuple[list[int], list[int]]]) -> set[int]:
     once: set[int] = set()
     for own, shared in words:
         found.update(own)
-        found.update(once.intersection(shared))
-        once.update(shared)
+        if shared:
+            found.update(once.intersection(shared))
+            once.update(shared)
     return found
 
 
