@@ -5,8 +5,10 @@ the adjacent pairs whose union is a piece, ordered by the piece's score and then
 merged and its new neighbours enter, until none is left. Symbols that are no piece fall back to their UTF-8 bytes.
 
 No piece of such a vocabulary has a mark behind another character (checked when it is loaded), so no merge crosses
-the start of a run of marks: a text is the sequence of its runs of marks with the word that follows. Each distinct one
-is worked out once and remembered, up to ``REMEMBERED`` of them in a task's worker.
+the start of a run of marks: a text is the sequence of its runs of marks with the word that follows. For the same
+reason such a segment is cut between characters that no piece has side by side, mostly punctuation from words. Distinct
+segments and parts are worked out once and remembered, up to ``REMEMBERED`` of them and as many of the period before
+in a task's worker.
 
 Some rows of each Arrow batch (every ``check_every``-th, the first included) are held against the sentencepiece
 library, ids and decoded text; a difference ends the job. Null and empty texts have no ids and decode to the empty
@@ -15,11 +17,11 @@ text. Rows are encoded one by one, so repeated rows and null ids each get their
 
 from __future__ import annotations
 
-import heapq
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from heapq import heapify, heappop, heappush
+from operator import add
 
 import public_tokenizers
 import sentencepiece
@@ -31,10 +33,15 @@ from foliospark.llm.common import schema_of, text_function
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 CHECK_EVERY = 256
 IDS = "n_tokens long, ids array<int>, decoded string"
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+Part = tuple[tuple[int, ...], bytes, bytes]
+#: A heap pays off for more symbols than this.
+FEW = 32
+#: Behind every order of a pair.
+NEVER = 1 << 62
 
 
 class Vocabulary:
@@ -58,66 +65,109 @@ class Vocabulary:
         self.bytes = [piece.replace(MARK, " ").encode() for piece in pieces]
         for value, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([value])
-        self.known: dict[str, tuple[list[int], bytes, bytes]] = {}
+        self.together = {pair for piece in self.ids for pair in map(add, piece, piece[1:])}
+        # What this period worked out, and the one before. The first is never replaced, only emptied.
+        self.known: dict[str, Part] = {}
+        self.older: dict[str, Part] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merge pairs in the agenda's order. An entry is the pair's order and its left place in one number."""
         order = self.order
         n = len(symbols)
         following, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda, unions = [], {}
-        for i in range(n - 1):
-            union = symbols[i] + symbols[i + 1]
-            if union in order:
-                entry = order[union] + i
-                agenda.append(entry)
-                unions[entry] = union
-        heapq.heapify(agenda)
+        unions = map(add, symbols, symbols[1:])
+        agenda = [order[union] + i for i, union in enumerate(unions) if union in order]
+        heapify(agenda)
         while agenda:
-            entry = heapq.heappop(agenda)
+            entry = heappop(agenda)
             left = entry & 0xFFFFFFFF
             right = following[left]
+            if right >= n:
+                continue
             # An entry is out of date if its pair has changed since; what it should have been is in its place.
-            if right >= n or not symbols[left] or symbols[left] + symbols[right] != unions[entry]:
+            union = symbols[left] + symbols[right]
+            if order.get(union, -1) + left != entry:
                 continue
-            symbols[left] = unions[entry]
-            symbols[right] = ""
+            symbols[left], symbols[right] = union, ""
             end = following[left] = following[right]
+            following[right] = n
             if end < n:
                 before[end] = left
-                union = symbols[left] + symbols[end]
-                if union in order:
-                    new = order[union] + left
-                    unions[new] = union
-                    heapq.heappush(agenda, new)
+                ahead = union + symbols[end]
+                if ahead in order:
+                    heappush(agenda, order[ahead] + left)
             start = before[left]
             if start >= 0:
-                union = symbols[start] + symbols[left]
-                if union in order:
-                    new = order[union] + start
-                    unions[new] = union
-                    heapq.heappush(agenda, new)
+                behind = symbols[start] + union
+                if behind in order:
+                    heappush(agenda, order[behind] + start)
         return [symbol for symbol in symbols if symbol]
 
-    def segment(self, text: str) -> tuple[list[int], bytes, bytes]:
-        """Ids of a segment, the same as decimal numbers with a comma behind each, and what they decode to."""
+    def merged_few(self, symbols: list[str]) -> list[str]:
+        """The same for few symbols: the agenda holds each pair's order in the pair's place, its best is looked for."""
+        order = self.order
+        agenda = [order.get(union, NEVER) for union in map(add, symbols, symbols[1:])]
+        while agenda and (best := min(agenda)) != NEVER:
+            left = agenda.index(best)
+            union = symbols[left] = symbols[left] + symbols.pop(left + 1)
+            del agenda[left]
+            if left < len(agenda):
+                agenda[left] = order.get(union + symbols[left + 1], NEVER)
+            if left:
+                agenda[left - 1] = order.get(symbols[left - 1] + union, NEVER)
+        return symbols
+
+    def part(self, text: str) -> Part:
+        """Ids of a part, the same as decimal numbers with a comma behind each, and what they decode to."""
         ids: list[int] = []
-        for piece in self.merged(list(text)):
+        for piece in (self.merged_few if len(text) <= FEW else self.merged)(list(text)):
             found = self.ids.get(piece)
             ids.extend([found] if found is not None else [self.byte_ids[b] for b in piece.encode()])
-        numbers = b"".join(b"%d," % i for i in ids)
-        result = ids, numbers, b"".join([self.bytes[i] for i in ids])
+        return tuple(ids), b"".join([b"%d," % i for i in ids]), b"".join([self.bytes[i] for i in ids])
+
+    def cut(self, text: str) -> list[str]:
+        """A segment in parts that no merge can join: two characters that no piece has side by side stay apart."""
+        together, pairs = self.together, list(map(add, text, text[1:]))
+        if together.issuperset(pairs):
+            return [text]
+        cuts = [i for i, pair in enumerate(pairs, 1) if pair not in together]
+        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
+
+    def remembered(self, text: str) -> Part | None:
+        """A result of this or of the last period, the latter taken over."""
+        found = self.known.get(text)
+        if found is None and (found := self.older.get(text)) is not None:
+            self.remember(text, found)
+        return found
+
+    def remember(self, text: str, result: Part) -> None:
         if len(self.known) >= REMEMBERED:
+            self.older = self.known.copy()
             self.known.clear()
         self.known[text] = result
-        return result
 
-    def encoded(self, text: str) -> Iterator[tuple[list[int], bytes, bytes]]:
+    def segment(self, text: str) -> Part:
+        """As ``part``, for a segment that is not among this period's."""
+        if (found := self.remembered(text)) is not None:
+            return found
+        results = []
+        for cut in self.cut(text):
+            if (result := self.remembered(cut)) is None:
+                result = self.part(cut)
+                self.remember(cut, result)
+            results.append(result)
+        if len(results) == 1:
+            return results[0]
+        ids, numbers, decoded = zip(*results)
+        joined = tuple([i for some in ids for i in some]), b"".join(numbers), b"".join(decoded)
+        self.remember(text, joined)
+        return joined
+
+    def encoded(self, text: str) -> list[Part]:
         if not text:
-            return
-        known = self.known
-        for part in SEGMENT.findall(MARK + text.replace(" ", MARK)):
-            yield known.get(part) or self.segment(part)
+            return []
+        known, segment = self.known, self.segment
+        return [known.get(part) or segment(part) for part in SEGMENT.findall(MARK + text.replace(" ", MARK))]
 
     def encode(self, text: str) -> list[int]:
         return [i for ids, _, _ in self.encoded(text) for i in ids]
@@ -158,7 +208,7 @@ def pieces(
         records = []
         for n, data in enumerate(texts):
             text = data.decode()
-            parts = list(words.encoded(text))
+            parts = words.encoded(text)
             decoded = b"".join([part[2] for part in parts])
             decoded = decoded[1:] if decoded[:1] == b" " else decoded
             size = sum([len(part[0]) for part in parts])

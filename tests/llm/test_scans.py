@@ -209,8 +209,17 @@ def test_a_difference_from_the_library_ends_the_job():
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 2)
     own = pieces.Vocabulary(public_tokenizers.path(pieces.MODEL))
-    text = "one two three one four two three one"
-    assert own.encode(text) == library().encode(text) and len(own.known) <= 2
+    text = "one, two three one four, two three one."
+    assert own.encode(text) == library().encode(text) and len(own.known) <= 2 and len(own.older) <= 2
+
+
+@given(st.text(alphabet=st.sampled_from("▁aeinorstüß.,-1中"), min_size=1, max_size=90))
+@hypothesis_settings(max_examples=300, deadline=None)
+def test_both_agendas_merge_alike(text):
+    own = pieces.vocabulary(public_tokenizers.path(pieces.MODEL))
+    merged = own.merged(list(text))
+    assert own.merged_few(list(text)) == merged
+    assert [piece for part in own.cut(text) for piece in own.merged(list(part))] == merged
 
 
 # Toxicity
