@@ -15,8 +15,6 @@ from .plans import entity
 
 AS_OF = dt.date(2000, 6, 30)
 MIN_DATE = dt.date(1998, 1, 1)
-LAST_FACT_YEAR = 1999
-ESTIMATE_YEARS = (1999, 2000, 2001)
 
 # Schemas of the raw tables.
 RAW = {
@@ -110,26 +108,39 @@ class Tables:
         )
 
     @cached_property
-    def _yearly_sales(self) -> DataFrame:
-        """Sales and earnings factor per supplier and year.
+    def fe_sec_map(self) -> DataFrame:
+        """The map of the estimates, with gaps of its own, so that some companies have no estimate."""
+        return self.sec_map.where("cast(substring_index(substr(fsym_id, 2), '-', 1) as bigint) % 9 != 4")
+
+    def _yearly_sales(self, year: int | None = None) -> DataFrame:
+        """Sales and earnings factor per supplier and year; ``year`` is a range at the scan.
 
         Fundamentals and estimates both start here. The keys come back as aggregates, so a later
         filter on them stays above the aggregation and both read the same shuffle: one scan, not two.
         """
+        within = "true"
+        if year is not None:
+            within = (
+                f"l_shipdate >= timestamp_ntz'{year}-01-01'"
+                f" and l_shipdate < timestamp_ntz'{year + 1}-01-01'"
+            )
         return self.spark.sql(
             f"""select sk, yr, sales, (sk * 7 + yr * 3) % 41 - 8 as earned
                 from (select max(l_suppkey) as sk, max(year(l_shipdate)) as yr,
                              {_total("l_extendedprice")} as sales
                       from {{lines}}
-                      where l_shipdate < timestamp_ntz'{LAST_FACT_YEAR + 1}-01-01'
-                        and l_suppkey % 17 != 5
+                      where {within}
                       group by l_suppkey, year(l_shipdate))""",
             lines=self.raw("lineitem"),
         )
 
     @cached_property
     def ff_basic_af(self) -> DataFrame:
-        return self._yearly_sales.selectExpr(
+        return self.facts()
+
+    def facts(self, year: int | None = None) -> DataFrame:
+        """Fundamentals of all years, or of one."""
+        return self._yearly_sales(year).selectExpr(
             "'C' || sk || '-E' as fsym_id",
             "make_date(yr, 12, 31) as DATE",
             "sales as FF_SALES",
@@ -145,15 +156,20 @@ class Tables:
 
     @cached_property
     def fe_basic_conh_af(self) -> DataFrame:
+        return self.estimates()
+
+    def estimates(self, year: int | None = None) -> DataFrame:
+        """Estimates for all fiscal years, or for one; each starts from the year before."""
         variants = ", ".join(
-            f"struct({year} as fy, '{item}' as item, {scale}D as k, {revision} as rev)"
-            for year in ESTIMATE_YEARS
+            f"struct('{item}' as item, {scale}D as k, {revision} as rev)"
             for item, scale in (("EPS", 1), ("SALES", 1000))
             for revision in (1, 2)
         )
         return (
-            self._yearly_sales.where(f"yr = {LAST_FACT_YEAR} and sk % 9 != 4")
-            .selectExpr("sk", "sales * earned / 10000000D as eps", f"inline(array({variants}))")
+            self._yearly_sales(None if year is None else year - 1)
+            .selectExpr(
+                "sk", "yr + 1 as fy", "sales * earned / 10000000D as eps", f"inline(array({variants}))"
+            )
             .selectExpr("*", "eps * (1D + ((sk * 11 + fy) % 61 - 25) / 100D) * k as mean")
             .selectExpr(
                 "'C' || sk || '-E' as fsym_id",
@@ -177,7 +193,7 @@ class Tables:
             self.sym_ticker_region,
             self.sec_map,
             self.ff_basic_af,
-            self.sec_map,
+            self.fe_sec_map,
             self.fe_basic_conh_af,
         )
 
@@ -186,17 +202,14 @@ class Tables:
         names = self.raw("part").selectExpr("'P' || p_partkey as ticker", "p_name as proper_name")
         return entity.adapt_coverage(self.sym_ticker_region, self.sec_map, names)
 
-    @cached_property
-    def entity_facts(self) -> DataFrame:
-        return entity.adapt_facts(self.ff_basic_af)
+    def entity_facts(self, year: int | None = None) -> DataFrame:
+        return entity.adapt_facts(self.facts(year))
 
-    @cached_property
-    def entity_eps(self) -> DataFrame:
-        return entity.adapt_eps(self.fe_basic_conh_af)
+    def entity_eps(self, year: int | None = None) -> DataFrame:
+        return entity.adapt_eps(self.estimates(year))
 
-    @cached_property
-    def annual_financials(self) -> DataFrame:
-        facts = self.entity_facts.selectExpr(
+    def annual_financials(self, year: int | None = None) -> DataFrame:
+        facts = self.entity_facts(year).selectExpr(
             "entity_id", "fiscal_year", "sales as revenue", "net_income"
         )
         ids = self.sym_coverage.select("ticker", "entity_id")

@@ -74,9 +74,17 @@ def rounded_avg(value: Column, digits: int = 2) -> Column:
     return half_up(exact_avg(value), digits)
 
 
-def count_if(condition: Column) -> Column:
-    """Rows for which the condition holds: NULL on an empty input, as SUM(CASE ...) gives."""
-    return F.sum(F.when(condition, 1).otherwise(0))
+def weighted_avg(value: Column, weight: Column) -> Column:
+    """``exact_avg`` of rows that each stand for ``weight`` equal ones."""
+    return ratio(exact_sum(value * weight), F.sum(F.when(value.isNotNull(), weight)))
+
+
+def count_if(condition: Column, weight: Column | None = None) -> Column:
+    """Rows for which the condition holds: NULL on an empty input, as SUM(CASE ...) gives.
+
+    With ``weight`` each row stands for that many.
+    """
+    return F.sum(F.when(condition, F.lit(1) if weight is None else weight).otherwise(0))
 
 
 def sum_if(condition: Column, value: Column) -> Column:

@@ -98,6 +98,16 @@ def _label_inputs(dashboard: DataFrame) -> DataFrame:
     )
 
 
+def _pressing(min_growth_pct: float) -> Column:
+    risk, action = F.col("risk_assessment"), F.col("action_recommendation")
+    return (
+        action.contains("SELL")
+        | action.contains("STRONG BUY")
+        | risk.contains("High")
+        | (F.col("projected_eps_growth_pct") > min_growth_pct)
+    )
+
+
 def action_items(
     dashboard: DataFrame, min_growth_pct: float = 20, emoji: bool = False, with_rank: bool = False
 ) -> DataFrame:
@@ -105,15 +115,8 @@ def action_items(
 
     ``with_rank`` adds ``priority_rank``, the coarser key that readers sort the list by.
     """
-    risk, action = F.col("risk_assessment"), F.col("action_recommendation")
-    pressing = (
-        action.contains("SELL")
-        | action.contains("STRONG BUY")
-        | risk.contains("High")
-        | (F.col("projected_eps_growth_pct") > min_growth_pct)
-    )
     extra = [R.priority_rank().column()] if with_rank else []
-    return _label_inputs(dashboard.filter(pressing)).select(
+    return _label_inputs(dashboard.filter(_pressing(min_growth_pct))).select(
         *LISTING, R.priority_action().column(emoji), *extra
     )
 
@@ -169,6 +172,18 @@ def stock_performance(dashboard: DataFrame, emoji: bool = False) -> DataFrame:
     )
 
 
+def position_labels(dashboard: DataFrame, min_growth_pct: float = 20, emoji: bool = False) -> DataFrame:
+    """Each position with its tier and, where it calls for action, its risk, action and priority labels."""
+    pressing = _pressing(min_growth_pct)
+    return _label_inputs(dashboard).select(
+        "symbol",
+        R.performance_tier().column(emoji),
+        F.when(pressing, F.col("risk_assessment")).alias("risk_assessment"),
+        F.when(pressing, F.col("action_recommendation")).alias("action_recommendation"),
+        F.when(pressing, R.priority_action().column(emoji)).alias("priority_action"),
+    )
+
+
 def earnings_waterfall(dashboard: DataFrame) -> DataFrame:
     return dashboard.select("symbol", "my_current_annual_earnings", "my_projected_annual_earnings")
 

@@ -11,15 +11,14 @@ from ..functions import metrics as M
 from ..functions import rules as R
 from ..functions.numeric import (
     count_if,
-    exact_avg,
     exact_sum,
     half_up,
     money_sum,
     ratio,
     rounded_avg,
     sum_if,
+    weighted_avg,
 )
-from ..operators.skew import splittable
 from .enrich import positions, ticker_profile
 
 
@@ -41,14 +40,19 @@ def portfolio_risk_summary(
 ) -> DataFrame:
     """One row of totals, averages, risk counts and an overall rating.
 
-    Leverage is tested unrounded here, growth and margin as rounded percentages.
+    Leverage is tested unrounded here, growth and margin as rounded percentages. Shares and lots are
+    added up per symbol before the join, which then meets one row per symbol, however many lots a
+    symbol has; counts and averages weigh by lots.
     """
     profile = ticker_profile(
         sym, ff_map, ff, fe_map, fe, as_of=as_of, min_date=min_date, per="company"
     )
     held = positions(holdings, instrument_type, region)
-    shares = F.col("shares_held")
-    rows = held.join(splittable(profile, "ticker_region"), "ticker_region").withColumns(
+    held = held.groupBy("symbol", "ticker_region").agg(
+        exact_sum(F.col("shares_held")).alias("shares_held"), F.count("*").alias("lots")
+    )
+    shares, lots = F.col("shares_held"), F.col("lots")
+    rows = held.join(profile, "ticker_region").withColumns(
         {
             "now": M.position_earnings(shares, F.col("current_eps"), None),
             "ahead": M.position_earnings(shares, F.col("forward_eps"), None),
@@ -62,15 +66,15 @@ def portfolio_risk_summary(
         money_sum(F.col("now")).alias("total_current_annual_earnings"),
         money_sum(F.col("ahead")).alias("total_projected_annual_earnings"),
         M.portfolio_growth_pct(F.col("now"), F.col("ahead")).alias("portfolio_growth_rate_pct"),
-        exact_avg(growth).alias("mean_growth_pct"),
-        exact_avg(margin).alias("mean_margin_pct"),
-        rounded_avg(leverage).alias("avg_debt_to_equity"),
-        count_if(income < 0).alias("unprofitable_companies"),
-        count_if(leverage > 2.5).alias("high_leverage_companies"),
-        count_if(growth < -10).alias("declining_earnings_companies"),
-        count_if(F.col("operating_cash_flow") < 0).alias("negative_cash_flow_companies"),
-        count_if(growth > 20).alias("high_growth_stocks"),
-        count_if((margin > 15) & (leverage < 1.5)).alias("quality_stocks"),
+        weighted_avg(growth, lots).alias("mean_growth_pct"),
+        weighted_avg(margin, lots).alias("mean_margin_pct"),
+        half_up(weighted_avg(leverage, lots)).alias("avg_debt_to_equity"),
+        count_if(income < 0, lots).alias("unprofitable_companies"),
+        count_if(leverage > 2.5, lots).alias("high_leverage_companies"),
+        count_if(growth < -10, lots).alias("declining_earnings_companies"),
+        count_if(F.col("operating_cash_flow") < 0, lots).alias("negative_cash_flow_companies"),
+        count_if(growth > 20, lots).alias("high_growth_stocks"),
+        count_if((margin > 15) & (leverage < 1.5), lots).alias("quality_stocks"),
         ratio(
             sum_if(at_risk, shares).cast("double"), exact_sum(shares).cast("double")
         ).alias("at_risk_weight"),

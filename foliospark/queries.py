@@ -253,11 +253,7 @@ def _(t: Tables) -> DataFrame:
 
 @_register("emoji_labels")
 def _(t: Tables) -> DataFrame:
-    frame = dashboard(t, emoji=True)
-    tiers = ranking.stock_performance(frame, emoji=True).select("symbol", "performance_tier")
-    items = ranking.action_items(frame, emoji=True)
-    labels = items.select("symbol", "risk_assessment", "action_recommendation", "priority_action")
-    return tiers.join(labels, "symbol", "left")
+    return ranking.position_labels(dashboard(t, emoji=True), emoji=True)
 
 
 # Datasets for a dashboard front end.
@@ -278,7 +274,7 @@ for _number, _name in enumerate(datasets.DATASETS, 1):
 def _(t: Tables) -> DataFrame:
     return doubles(
         entity.portfolio_fundamentals(
-            t.customer_holdings, t.sym_coverage, t.entity_facts, fiscal_year=FACTS_YEAR
+            t.customer_holdings, t.sym_coverage, t.entity_facts(FACTS_YEAR), fiscal_year=FACTS_YEAR
         )
     )
 
@@ -287,7 +283,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     return doubles(
         entity.top_positions(
-            t.customer_holdings, t.sym_coverage, t.entity_facts, t.entity_eps, **ENTITY_YEARS
+            t.customer_holdings, t.sym_coverage, t.entity_facts(FACTS_YEAR), t.entity_eps(ESTIMATE_YEAR), **ENTITY_YEARS
         )
     )
 
@@ -296,7 +292,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     return doubles(
         entity.portfolio_estimates(
-            t.customer_holdings, t.sym_coverage, t.entity_eps, fiscal_year=ESTIMATE_YEAR
+            t.customer_holdings, t.sym_coverage, t.entity_eps(ESTIMATE_YEAR), fiscal_year=ESTIMATE_YEAR
         )
     )
 
@@ -305,7 +301,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     return doubles(
         entity.portfolio_outlook(
-            t.customer_holdings, t.sym_coverage, t.entity_facts, t.entity_eps, **ENTITY_YEARS
+            t.customer_holdings, t.sym_coverage, t.entity_facts(FACTS_YEAR), t.entity_eps(ESTIMATE_YEAR), **ENTITY_YEARS
         )
     )
 
@@ -338,12 +334,12 @@ def _(t: Tables) -> DataFrame:
 
 @_register("q40_annual_facts")
 def _(t: Tables) -> DataFrame:
-    return entity.annual_facts(t.entity_facts, FACTS_YEAR)
+    return entity.annual_facts(t.entity_facts(FACTS_YEAR), FACTS_YEAR)
 
 
 @_register("q40_annual_eps")
 def _(t: Tables) -> DataFrame:
-    return entity.annual_eps(t.entity_eps, ESTIMATE_YEAR)
+    return entity.annual_eps(t.entity_eps(ESTIMATE_YEAR), ESTIMATE_YEAR)
 
 
 # Hybrid patterns.
@@ -353,7 +349,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     return doubles(
         hybrid.holdings_financials(
-            t.customer_holdings, t.annual_financials, fiscal_year=FACTS_YEAR
+            t.customer_holdings, t.annual_financials(FACTS_YEAR), fiscal_year=FACTS_YEAR
         )
     )
 
@@ -361,14 +357,14 @@ def _(t: Tables) -> DataFrame:
 @_register("q33_top_investments")
 def _(t: Tables) -> DataFrame:
     return doubles(
-        hybrid.top_investments(t.customer_holdings, t.annual_financials, fiscal_year=FACTS_YEAR)
+        hybrid.top_investments(t.customer_holdings, t.annual_financials(FACTS_YEAR), fiscal_year=FACTS_YEAR)
     )
 
 
 @_register("q33_customer_rollup")
 def _(t: Tables) -> DataFrame:
     return doubles(
-        hybrid.customer_rollup(t.customer_holdings, t.annual_financials, fiscal_year=FACTS_YEAR)
+        hybrid.customer_rollup(t.customer_holdings, t.annual_financials(FACTS_YEAR), fiscal_year=FACTS_YEAR)
     )
 
 

@@ -169,11 +169,14 @@ TABLES = {
         select 'S' || p_partkey || '-R' as fsym_id,
                'C' || (p_partkey % (select count(*) from supplier)) || '-E' as fsym_company_id
         from part where p_partkey % 10 <> 3""",
+    "fe_sec_map": """
+        select 'S' || p_partkey || '-R' as fsym_id,
+               'C' || (p_partkey % (select count(*) from supplier)) || '-E' as fsym_company_id
+        from part where p_partkey % 10 <> 3 and p_partkey % 9 <> 4""",
     "yearly": """
         select l_suppkey as sk, year(l_shipdate) as yr,
                sum(l_extendedprice::decimal(18,2))::double as sales
         from lineitem
-        where year(l_shipdate) <= 1999 and l_suppkey % 17 <> 5
         group by all""",
     "ff": """
         select 'C' || sk || '-E' as fsym_id,
@@ -190,12 +193,11 @@ TABLES = {
         from yearly""",
     "fe": """
         with base as (
-            select sk, sales * ((7 * sk + 3 * yr) % 41 - 8) / 10000000e0 as eps
-            from yearly where yr = 1999 and sk % 9 <> 4
+            select sk, yr + 1 as fy, sales * ((7 * sk + 3 * yr) % 41 - 8) / 10000000e0 as eps
+            from yearly
         ), estimate as (
             select *, eps * (1e0 + ((11 * sk + fy) % 61 - 25) / 100e0) * k as m
             from base,
-                 (values (1999), (2000), (2001)) y(fy),
                  (values ('EPS', 1e0), ('SALES', 1000e0)) i(item, k),
                  (values (1), (2)) v(rev)
         )
@@ -252,8 +254,8 @@ STEPS = {
                fe_num_est as analysts,
                {r("(fe_high - fe_low) / nullif(fe_mean, 0) * 100e0")} as spread_pct
         from sym
-        join sec_map on sym.fsym_id = sec_map.fsym_id
-        join fe on fe.fsym_id = sec_map.fsym_company_id
+        join fe_sec_map on sym.fsym_id = fe_sec_map.fsym_id
+        join fe on fe.fsym_id = fe_sec_map.fsym_company_id
         where fe_item = 'EPS' and cons_end_date is null and fe_fp_end >= {AS_OF}
         qualify row_number() over (partition by ticker_region order by fe_fp_end) = 1""",
     "profile": f"""
@@ -444,8 +446,8 @@ QUERIES = {
                {case('signal')} as analyst_signal
         from held
         join sym on held.ticker_region = sym.ticker_region
-        join sec_map on sym.fsym_id = sec_map.fsym_id
-        join fe on fe.fsym_id = sec_map.fsym_company_id
+        join fe_sec_map on sym.fsym_id = fe_sec_map.fsym_id
+        join fe on fe.fsym_id = fe_sec_map.fsym_company_id
         where fe_item = 'EPS' and cons_end_date is null
           and fe_fp_end between {AS_OF} and {AS_OF} + 365""",
     "q07_investment_analysis": f"""
@@ -522,7 +524,7 @@ QUERIES = {
             join ff on ff.fsym_id = fsym_company_id where fiscal_date >= {SINCE}
         ), future as (
             select ticker_region, fe.* exclude (fsym_id) from sym
-            join sec_map on sym.fsym_id = sec_map.fsym_id
+            join fe_sec_map on sym.fsym_id = fe_sec_map.fsym_id
             join fe on fe.fsym_id = fsym_company_id
             where fe_item = 'EPS' and cons_end_date is null and fe_fp_end >= {AS_OF}
         )

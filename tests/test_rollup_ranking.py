@@ -39,6 +39,27 @@ def test_risk_summary(market):
     }
 
 
+def test_risk_summary_counts_each_lot(market):
+    """Three lots of each symbol: sums and counts triple, means and the number of holdings stay."""
+    once = rollup.portfolio_risk_summary(*market.core, **DATES).first().asDict()
+    held, *rest = market.core
+    lots = held.unionByName(held).unionByName(held)
+    thrice = rollup.portfolio_risk_summary(lots, *rest, **DATES).first().asDict()
+    for name, value in once.items():
+        tripled = name.startswith("total_current") or name.startswith("total_projected")
+        tripled = tripled or name.endswith(("companies", "stocks"))
+        assert thrice[name] == (pytest.approx(3 * value) if tripled else value), name
+
+
+def test_labels_of_several_lots_do_not_pair_up(dashboard):
+    twice = dashboard.unionByName(dashboard)
+    labels = ranking.position_labels(twice)
+    assert labels.count() == twice.count()
+    items = ranking.action_items(twice).select("symbol", "priority_action")
+    pressing = labels.filter("priority_action is not null").select("symbol", "priority_action")
+    assert sorted(pressing.collect()) == sorted(items.collect()) != []
+
+
 def test_risk_summary_of_nothing(market):
     row = rollup.portfolio_risk_summary(market.holdings.limit(0), *market.core[1:], **DATES).first()
     assert row.total_holdings == 0
