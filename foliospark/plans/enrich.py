@@ -366,13 +366,19 @@ def leverage_dashboard(
     *,
     as_of: dt.date,
     latest_only: bool = False,
+    estimates: str = "next",
     region: str | None = "US",
     rules: tuple[R.RuleSet, R.RuleSet] | None = None,
 ) -> DataFrame:
     """The article form of the dashboard: unrounded figures, long-term leverage, growth only on a
     positive base, every instrument type and every annual row (or the latest with ``latest_only``),
     each with the next estimate.
+
+    ``estimates="all"`` gives each annual row every valid estimate of its ticker, past periods
+    included: one row per year and period, which annual data keeps few.
     """
+    if estimates not in ("next", "all"):
+        raise ValueError(f"estimates must be 'next' or 'all', not {estimates!r}")
     risk, action = rules or (R.leverage_risk(), R.growth_and_leverage_action())
     values = ("FF_EPS_BASIC", "FF_NET_INCOME", "FF_SALES", "FF_GROSS_INC", "FF_DEBT_LT", "FF_COM_EQ")
     if latest_only:
@@ -386,7 +392,12 @@ def leverage_dashboard(
                 "fsym_company_id",
             )
         )
-    expected = next_estimates(sym, fe_map, fe, as_of=as_of).select("ticker_region", "FE_MEAN")
+    if estimates == "next":
+        expected = next_estimates(sym, fe_map, fe, as_of=as_of)
+    else:
+        valid = current_estimates(fe, "EPS", None).withColumnRenamed("fsym_id", "fsym_company_id")
+        expected = securities(sym, fe_map).drop("fsym_id").join(valid, "fsym_company_id")
+    expected = expected.select("ticker_region", "FE_MEAN")
     growth = M.eps_growth(F.col("FF_EPS_BASIC"), F.col("FE_MEAN"), base_guard="positive")
     profile = (
         annual.join(splittable(expected, "ticker_region"), "ticker_region", "left")

@@ -158,6 +158,11 @@ def _(t: Tables) -> DataFrame:
     return enrich.leverage_dashboard(*t.core, as_of=AS_OF, latest_only=True)
 
 
+@_register("q29_leverage_dashboard_all_estimates")
+def _(t: Tables) -> DataFrame:
+    return enrich.leverage_dashboard(*t.core, as_of=AS_OF, estimates="all")
+
+
 # Rollups, listings and rankings of the dashboard.
 
 

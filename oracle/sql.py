@@ -228,6 +228,31 @@ TABLES = {
         from coverage join entity_facts using (entity_id)""",
 }
 
+def article(estimates: str) -> str:
+    """The article's dashboard over one relation of estimates per ticker. Its formulas."""
+    return f"""
+        select * exclude (growth_pct),
+               {case('leverage')} as risk_assessment,
+               {case('leverage_action')} as action_recommendation
+        from (select *, projected_eps_growth_pct as growth_pct from (
+            select symbol, number_of_shares as shares_held, instrument_type, fiscal_date,
+                   ff_eps_basic as eps_current, ff_net_income as net_income, ff_sales as revenue,
+                   ff_gross_inc as gross_income,
+                   number_of_shares * ff_eps_basic as my_current_annual_earnings,
+                   forward_eps as consensus_eps_estimate,
+                   number_of_shares * forward_eps as my_projected_annual_earnings,
+                   case when ff_eps_basic > 0
+                        then (forward_eps - ff_eps_basic) / ff_eps_basic * 100e0
+                        end as projected_eps_growth_pct,
+                   case when ff_debt_lt > 0 and ff_com_eq > 0
+                        then ff_debt_lt / ff_com_eq end as debt_to_equity_ratio
+            from equity_holdings
+            join sym on upper(symbol) = sym.ticker_region
+            join sec_map on sym.fsym_id = sec_map.fsym_id
+            join ff on ff.fsym_id = sec_map.fsym_company_id
+            left join {estimates} e on e.ticker_region = sym.ticker_region))"""
+
+
 # Shared steps.
 
 GROWTH = "(forward_eps - current_eps) / nullif(current_eps, 0)"
@@ -306,28 +331,14 @@ STEPS = {
                {total("my_current_annual_earnings")} as current_earnings_impact,
                {r(mean("growth_pct"))} as avg_expected_growth
         from labels group by 1""",
-    "article_rows": """
-        select symbol, number_of_shares as shares_held, instrument_type, fiscal_date,
-               ff_eps_basic as eps_current, ff_net_income as net_income, ff_sales as revenue,
-               ff_gross_inc as gross_income,
-               number_of_shares * ff_eps_basic as my_current_annual_earnings,
-               forward_eps as consensus_eps_estimate,
-               number_of_shares * forward_eps as my_projected_annual_earnings,
-               case when ff_eps_basic > 0
-                    then (forward_eps - ff_eps_basic) / ff_eps_basic * 100e0
-                    end as projected_eps_growth_pct,
-               case when ff_debt_lt > 0 and ff_com_eq > 0
-                    then ff_debt_lt / ff_com_eq end as debt_to_equity_ratio
-        from equity_holdings
-        join sym on upper(symbol) = sym.ticker_region
-        join sec_map on sym.fsym_id = sec_map.fsym_id
-        join ff on ff.fsym_id = sec_map.fsym_company_id
-        left join expected on expected.ticker_region = sym.ticker_region""",
-    "article": f"""
-        select * exclude (growth_pct),
-               {case('leverage')} as risk_assessment,
-               {case('leverage_action')} as action_recommendation
-        from (select *, projected_eps_growth_pct as growth_pct from article_rows)""",
+    "every_estimate": """
+        select ticker_region, fe_mean as forward_eps
+        from sym
+        join fe_sec_map on sym.fsym_id = fe_sec_map.fsym_id
+        join fe on fe.fsym_id = fe_sec_map.fsym_company_id
+        where fe_item = 'EPS' and cons_end_date is null""",
+    "article": article("expected"),
+    "article_all": article("every_estimate"),
     "article_latest": """
         select * from article
         qualify row_number() over (partition by symbol order by fiscal_date desc) = 1""",
@@ -586,6 +597,7 @@ QUERIES = {
         where fiscal_date >= date '1995-01-01'
         qualify row_number() over (partition by ticker_region order by fiscal_date desc) <= 3""",
     "q29_leverage_dashboard": f"{ARTICLE_COLUMNS} from article",
+    "q29_leverage_dashboard_all_estimates": f"{ARTICLE_COLUMNS} from article_all",
     "q29_leverage_dashboard_latest": f"{ARTICLE_COLUMNS} from article_latest",
     "q30_portfolio_fundamentals": f"""
         select customer_id, ticker_symbol, proper_name, shares_held::double as shares_held, {VALUE},

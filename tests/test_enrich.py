@@ -168,6 +168,15 @@ def test_leverage_dashboard(market):
     assert latest.count() == 8
 
 
+def test_leverage_dashboard_with_all_estimates(market):
+    rows = enrich.leverage_dashboard(*market.core, as_of=AS_OF, estimates="all").collect()
+    aapl = sorted((r.eps_current, r.consensus_eps_estimate) for r in rows if r.symbol == "aapl")
+    assert aapl == [(now, ahead) for now in (1.0, 3.0, 4.0) for ahead in (4.1, 5.0, 6.0)]
+    assert [r.consensus_eps_estimate for r in rows if r.symbol == "PLAIN"] == [None]
+    with pytest.raises(ValueError, match="estimates"):
+        enrich.leverage_dashboard(*market.core, as_of=AS_OF, estimates="some")
+
+
 def test_deep_dive(market):
     one = enrich.deep_dive(*market.core, **DATES, symbol="aapl").collect()
     assert sorted((r.fiscal_year, r.estimate_period.year) for r in one) == [
