@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from foliospark.llm import content_sort, mixing, pieces, queries, sharding, simhash, url_rules
+from foliospark.llm import content_sort, mixing, near_copies, pieces, queries, sharding, simhash, url_rules
 from foliospark.llm.common import documents, new_path
 from foliospark.llm.oracle import ORACLE
 from tests.llm.conftest import SCHEMA
@@ -416,6 +416,57 @@ def test_a_chain_is_one_component(spark):
     assert found == {**{i: 0 for i in range(201)}, 400: 400, 450: 400, 500: 400}
 
 
+# Near copies
+
+
+def plain_shingles(text):
+    words = words_of(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_near_copies(rows):
+    """For each group of ids, by a comparison of all pairs of whole sets."""
+    sets = [plain_shingles(row.text) for row in rows]
+    label = list(range(len(rows)))
+
+    def root(n):
+        while label[n] != n:
+            n = label[n]
+        return n
+
+    for i, one in enumerate(sets):
+        for j, two in enumerate(sets[:i]):
+            if one == two or 5 * len(one & two) >= 4 * len(one | two):
+                label[root(i)] = root(j)
+    return len({root(n) for n in range(len(rows))}), [root(n) for n in range(len(rows))]
+
+
+@pytest.mark.parametrize("frequent", [1, 4])
+def test_near_copies_equal_all_pairs_at_a_similarity_of_four_fifths(spark, monkeypatch, frequent):
+    monkeypatch.setattr(near_copies, "FREQUENT", frequent)
+    random = Random(11)
+    rows = []
+    for group in range(12):
+        words = [f"g{group}w{random.randrange(500)}" for _ in range(random.choice([6, 40, 150]))]
+        for _ in range(12):
+            copy = list(words) + ["a", "common", "line", "at", "the", "end", "of", "each", "text"]
+            for _ in range(random.randrange(4)):
+                copy[random.randrange(len(copy))] = f"x{random.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy), "en", "s", 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    taken = docs.collect()
+    count, label = plain_near_copies(taken)
+    wanted = {min(r.doc_id for r, own in zip(taken, label) if own == each) for each in set(label)}
+    assert {row.doc_id for row in near_copies.one_of_each(docs).collect()} == wanted and 12 < count < 144
+    assert {row.doc_id for row in corpus_pipeline.near(spark, docs, FOLDER).collect()} == wanted
+
+
+def test_near_copies_take_any_rows(docs, empty):
+    kept = near_copies.one_of_each(docs)
+    assert kept.columns == docs.columns and kept.count() == plain_near_copies(docs.collect())[0]
+    assert near_copies.one_of_each(empty).collect() == []
+
+
 # Pipeline
 
 
