@@ -41,12 +41,35 @@ TEMPLATES = (
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc0", "no rights reserved released under the cc0 public domain dedication"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("reserved", "all rights reserved"),
     ("no-warranty", "the software is provided as is without warranty of any kind express or implied"),
+    # Short notices. Of four words or fewer none may be missing, so each has a word that tells the licenses apart.
+    ("mit", "released under mit license"),
+    ("mit", "licensed under mit license"),
+    ("mit", "distributed under mit license"),
+    ("mit", "available under mit license"),
+    ("mit", "subject to mit license"),
+    ("apache-2.0", "apache license 2 0"),
+    ("bsd", "released under bsd license"),
+    ("bsd", "licensed under bsd license"),
+    ("bsd", "distributed under bsd license"),
+    ("isc", "released under isc license"),
+    ("isc", "licensed under isc license"),
+    ("isc", "distributed under isc license"),
+    ("mpl-2.0", "mozilla public license 2"),
+    ("cc-by", "creative commons attribution license"),
+    ("cc-by-nc", "cc by nc"),
+    ("cc-by-nc", "creative commons attribution noncommercial"),
+    ("cc-by-sa", "cc by sa"),
+    ("cc-by-sa", "creative commons attribution sharealike"),
+    ("cc-by-nd", "cc by nd"),
+    ("cc-by-nd", "creative commons attribution noderivatives"),
+    ("cc0", "released under cc0"),
+    ("cc0", "licensed under cc0"),
+    ("unlicense", "released under unlicense"),
+    ("unlicense", "licensed under unlicense"),
 )
 THRESHOLD = 0.8
 

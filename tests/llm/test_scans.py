@@ -73,6 +73,34 @@ def test_licenses_equal_a_comparison_of_every_block_with_every_template(spark):
         assert row["labels"] == ",".join(sorted({m[1] for m in met} | {p[1] for p in places}))
 
 
+def test_each_form_of_a_notice_has_its_own_labels(spark):
+    notices = {
+        "Released under the MIT License.": "mit",
+        "Licensed under the MIT license": "mit",
+        "This file is distributed under the MIT License": "mit",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "Apache License 2.0": "apache-2.0",
+        "Released under the BSD 3-Clause License": "bsd",
+        "Licensed under the ISC license": "isc",
+        "Mozilla Public License, v. 2.0": "mpl-2.0",
+        "Licensed under CC BY 4.0.": "cc-by",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
+        "Available under CC BY-ND 4.0": "cc-by,cc-by-nd",
+        "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by,cc-by-sa",
+        "Released under CC0": "cc0",
+        "Released under the Unlicense": "unlicense",
+        "This work is licensed under the GNU General Public License, version 3": "gpl",
+        "All rights reserved.": "reserved",
+        "Licensed under terms a b c 4.0": "",
+        "He studied at MIT and holds a license": "",
+    }
+    texts = {n: f"some words before {notice} and after" for n, notice in enumerate(notices)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = by_id(licenses.scan(frame).collect())
+    assert {notice: rows[n]["labels"] for n, notice in enumerate(notices)} == notices
+
+
 def test_licenses_take_any_rows(docs, empty):
     rows = licenses.scan(docs).collect()
     assert len(rows) == docs.count()
