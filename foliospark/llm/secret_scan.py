@@ -5,6 +5,10 @@ runs and compressed bytes inside them. A layer enters the worklist with, for eac
 original text it came from; what is found in it is reported as that stretch. Layers are unwrapped until nothing new
 appears; a layer with the content and the place of one seen before is a cycle and is dropped.
 
+Decoded bytes are scanned whatever they are, a character for each. Base64 is joined over line ends and read from each of
+four places, as other characters may be glued to it; compressed bytes may start anywhere, also behind URL and Unicode
+escapes, and streams may follow each other.
+
 A span of a decoded layer is named after the ways it was wrapped, ``base64+assign:12:80``. Spans of the text itself
 keep their plain kind. Places count code points, the end is exclusive.
 
@@ -16,14 +20,16 @@ are judged one by one: repeated rows and null ids each get their own result.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import sha256
+from itertools import accumulate
+from urllib.parse import unquote_to_bytes
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +52,15 @@ URL_BYTES = re.compile(rb"%[0-9A-Fa-f]{2}")
 LOWER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Bytes that cannot stand in a base64 run become spaces.
-BASE64_BYTES = bytes(c if re.match(rb"[A-Za-z0-9+/_-]", bytes([c])) else 32 for c in range(256))
-BASE64_CHARS = 16
+BASE64_RUN = r"[A-Za-z0-9+/_-]"
+#: A run and the lines that go on with it, with line ends as they are or escaped.
+BASE64_BLOCK = rf"{BASE64_RUN}{{16,}}(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>]*{BASE64_RUN}+)*"
+BASE64_TEXT, BASE64_DATA = re.compile(BASE64_BLOCK), re.compile(BASE64_BLOCK.encode())
+BASE64_LINE = re.compile(rf"(?:(?:\\r)?\\n[ \t>]*)?({BASE64_RUN}+)")
+BASE64_LINE_END = re.compile(rb"\s+|(?:\\r)?\\n[ \t>]*|>")
+STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+BYTE_ESCAPE = re.compile(rb"""\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\([abfnrtv0\\'"])""")
+SHORT_ESCAPES = dict(zip(b"abfnrtv0\\'\"", b"\a\b\f\n\r\t\v\0\\'\""))
 MOST_DECODED = 64 * 1024**2
 RESULT = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_closed long"
 
@@ -65,6 +76,7 @@ class Layer:
     ends: list[int] | None = None
     ways: tuple[str, ...] = ()
     changed: list[bool] | None = None  # characters that this or an earlier step decoded
+    raw: bool = False  # a character for each byte
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None or self.ends is None:
@@ -99,54 +111,44 @@ def may_unwrap(data: bytes) -> bool:
     if b"\\u" in data or b"\\x" in data or URL_BYTES.search(data):
         return True
     return any(
-        len(run) >= BASE64_CHARS and from_base64(run, 1 << 16) is not None
-        for run in data.translate(BASE64_BYTES).split()
+        True for block in BASE64_DATA.finditer(data) for _ in from_base64(BASE64_LINE_END.sub(b"", block[0]))
     )
 
 
-def as_readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
 def inflated(data: bytes, most: int) -> bytes | None:
-    """What compressed bytes hold, one byte more than ``most`` at the most; None if they are no such bytes."""
-    try:
+    """What the streams hold that the data starts with, one byte more than ``most`` at the most; None if there are none."""
+    parts: list[bytes] = []
+    size = 0
+    while size <= most:
+        stream: zlib._Decompress | bz2.BZ2Decompressor | lzma.LZMADecompressor
         if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            return zlib.decompressobj(47).decompress(data, most + 1)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, most + 1)
-        if data[:6] == b"\xfd7zXZ\0":
-            return lzma.LZMADecompressor().decompress(data, most + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        return None
-    return None
-
-
-def from_base64(run: bytes, most: int) -> tuple[tuple[str, ...], str | None] | None:
-    """The ways and the text that a run holds; the text is None beyond ``most`` bytes. None if it is no such run."""
-    body = run.rstrip(b"=").translate(bytes.maketrans(b"-_", b"+/"))
-    if len(body) % 4 == 1 or len(body) < BASE64_CHARS:
-        return None
-    try:
-        data = base64.b64decode(body + b"=" * (-len(body) % 4))
-    except binascii.Error:
-        return None
-    ways: tuple[str, ...] = ("base64",)
-    seen = set()
-    while data not in seen:  # a stream can hold itself
-        seen.add(data)
-        inner = inflated(data, most)
-        if inner is None:
+            stream = zlib.decompressobj(47)
+        elif data[:3] == b"BZh":
+            stream = bz2.BZ2Decompressor()
+        elif data[:6] == b"\xfd7zXZ\0":
+            stream = lzma.LZMADecompressor()
+        else:
+            break
+        try:
+            parts.append(stream.decompress(data, most + 1 - size))
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            break
+        size += len(parts[-1])
+        if not stream.eof:
             break
-        data, ways = inner, (*ways, "zip")
-        if len(data) > most:
-            return ways, None
-    text = as_readable(data)
-    return None if text is None else (ways, text)
+        data = stream.unused_data.lstrip(b"\0")
+    return b"".join(parts) if size else None
+
+
+def from_base64(run: bytes) -> Iterator[tuple[int, bytes]]:
+    """Where a code may start in a run, as other characters may stand before it, and its bytes, if there is anything in them."""
+    run = run.translate(bytes.maketrans(b"-_", b"+/"))
+    for first in range(4):
+        body = run[first:]
+        body = body[:-1] if len(body) % 4 == 1 else body
+        data = base64.b64decode(body + b"=" * (-len(body) % 4))
+        if may_match(data) or STREAM.search(data) or may_unwrap(data):
+            yield first, data
 
 
 def replaced(layer: Layer, way: str, found: list[tuple[int, int, str]]) -> Layer:
@@ -197,22 +199,81 @@ def unicode_stretches(text: str) -> Iterator[tuple[int, int, str]]:
             yield found.start(), found.end(), chr(code)
 
 
+def escaped_bytes(text: str) -> Iterator[tuple[int, int, str, bytes]]:
+    """Stretches with URL escapes, and lines with others, as bytes."""
+    for token in re.finditer(r"\S+", text) if "%" in text else ():
+        if URL_RUN.search(token[0]):
+            yield token.start(), token.end(), "url", unquote_to_bytes(token[0])
+            if "+" in token[0]:
+                yield token.start(), token.end(), "url", unquote_to_bytes(token[0].replace("+", " "))
+    for line in re.finditer(r"[^\r\n]+", text) if "\\" in text else ():
+        if UNICODE_ESCAPE.search(line[0]):
+            data = BYTE_ESCAPE.sub(
+                lambda m: bytes([SHORT_ESCAPES[m[3][0]]]) if m[3] else bytes.fromhex((m[1] or m[2]).decode()),
+                line[0].encode(errors="replace"),
+            )
+            last = max(m.end() for m in UNICODE_ESCAPE.finditer(line[0]))
+            yield line.start(), line.start() + last, "unicode", data
+
+
+def source_place(line: str, at: int) -> int:
+    """The character of an escaped line that byte ``at`` comes from."""
+    source, place, found = line.encode(errors="replace"), 0, 0
+    for escape in BYTE_ESCAPE.finditer(source):
+        if at < found + escape.start() - place:
+            break
+        found += escape.start() - place
+        place = escape.start()
+        if at == found:
+            break
+        found, place = found + 1, escape.end()
+    return len(source[: place + at - found].decode(errors="ignore"))
+
+
+def streams(data: bytes, budget: Budget) -> Iterator[tuple[int, str]]:
+    """Where compressed bytes start, and what they hold."""
+    for found in STREAM.finditer(data):
+        inner = inflated(data[found.start() :], budget.left)
+        if inner is None:
+            continue
+        if len(inner) > budget.left:
+            budget.closed += 1
+            continue
+        yield found.start(), inner.decode("latin-1")
+
+
+def raw_layer(text: str, start: int, end: int, ways: tuple[str, ...]) -> Layer:
+    size = len(text)
+    return Layer(text, [start] * size, [end] * size, ways, [True] * size, True)
+
+
+def base64_layers(layer: Layer, block: re.Match[str]) -> Iterator[Layer]:
+    """A block's codes; a byte is placed at the lines its code stands in."""
+    lines = [m.span(1) for m in BASE64_LINE.finditer(layer.text, block.start(), block.end())]
+    places = [layer.place(a, b) for a, b in lines]
+    stops = list(accumulate(b - a for a, b in lines))
+    run = "".join(layer.text[a:b] for a, b in lines).encode()
+    for first, data in from_base64(run):
+        starts = [places[bisect_right(stops, first + 4 * i // 3)][0] for i in range(len(data))]
+        ends = [places[bisect_right(stops, first + (8 * i + 7) // 6)][1] for i in range(len(data))]
+        yield Layer(data.decode("latin-1"), starts, ends, (*layer.ways, "base64"), [True] * len(data), True)
+
+
 def unwrapped(layer: Layer, budget: Budget) -> Iterator[Layer]:
+    if layer.raw:
+        data = layer.text.encode("latin-1")
+        for at, text in streams(data, budget):
+            yield raw_layer(text, *layer.place(at, len(data)), (*layer.ways, "zip"))
+    for start, end, way, data in escaped_bytes(layer.text):
+        for at, text in streams(data, budget):
+            first = start if way == "url" else start + source_place(layer.text[start:end], at)
+            yield raw_layer(text, *layer.place(first, max(end, first + 1)), (*layer.ways, way, "zip"))
     if found := list(url_stretches(layer.text)):
         yield replaced(layer, "url", found)
     if found := list(unicode_stretches(layer.text)):
         yield replaced(layer, "unicode", found)
-    for run in BASE64_RUN.finditer(layer.text):
-        inner = from_base64(run[0].encode(), budget.left)
-        if inner is None:
-            continue
-        ways, text = inner
-        if text is None:
-            budget.closed += 1
-            continue
-        start, end = layer.place(run.start(), run.end())
-        size = len(text)
-        yield Layer(text, [start] * size, [end] * size, (*layer.ways, *ways), [True] * size)
+    for block in BASE64_TEXT.finditer(layer.text):
+        yield from base64_layers(layer, block)
 
 
 def layers(text: str, most_decoded: int) -> Iterator[tuple[Layer, Budget]]:

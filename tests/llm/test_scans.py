@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 from hashlib import sha256
+from urllib.parse import quote
 
 import numpy as np
 import public_tokenizers
@@ -410,6 +411,38 @@ def test_layers_are_unwrapped_and_mapped(ways):
     assert [span[0].rpartition("+")[2] for span in inner] == ["access"]
 
 
+def coded(data):
+    return base64.b64encode(data).decode()
+
+
+SECRET = f"see {KEY} here"
+NOISE = bytes(range(1, 256)) * 3
+PACKED = gzip.compress(NOISE + SECRET.encode() + NOISE[::-1])
+
+
+@pytest.mark.parametrize(
+    "code",
+    [
+        *(coded(f"a{c}{SECRET}".encode()) for c in "\u00a0\ufeff\u200b\u3000\0\f"),
+        coded(b"\xff" + SECRET.encode()),
+        coded(gzip.compress(b"\xff\0" + SECRET.encode())),
+        *(f"https://x.org/{'d' * n}/{coded(SECRET.encode())}" for n in range(4)),
+        f"https://x.org/data/{coded(gzip.compress(SECRET.encode()))}",
+        *(end.join(re.findall(".{1,20}", coded(SECRET.encode()))) for end in ("\n", "\r\n", "\n  ", "\\n")),
+        "\n".join(re.findall(".{1,64}", coded(PACKED))),
+        coded(gzip.compress(b"first") + gzip.compress(SECRET.encode())),
+        quote(zlib.compress(SECRET.encode())),
+        repr(zlib.compress(SECRET.encode())),
+        "".join(f"\\x{b:02x}" for b in gzip.compress(SECRET.encode())),
+    ],
+)
+def test_no_layer_is_dropped_for_its_bytes_its_lines_or_what_it_is_glued_to(code):
+    _, inner, closed = secret_scan.scan_text(f"\u00e9 {code} tail", 1 << 20)
+    assert [span[0].rpartition("+")[2] for span in inner] == ["access"] and closed == 0
+    assert 2 <= inner[0][1] < inner[0][2] <= 2 + len(code)
+    assert secret_scan.may_unwrap(f"\u00e9 {code} tail".encode())
+
+
 def test_a_half_wrapped_secret_is_found_at_its_place():
     text = "a password%3Dhunter2x b"
     _, inner, _ = secret_scan.scan_text(text, 1 << 20)
