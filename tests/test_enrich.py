@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import AS_OF, MIN_DATE, rows_by
+from tests.conftest import AS_OF, MIN_DATE, rows_by
 
 from foliospark.functions import rules as R
 from foliospark.plans import enrich

@@ -6,7 +6,7 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
-from conftest import rows_by
+from tests.conftest import rows_by
 
 from foliospark.operators import resolve as res
 from foliospark.plans import entity, hybrid

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import AS_OF, MIN_DATE, rows_by
+from tests.conftest import AS_OF, MIN_DATE, rows_by
 from pyspark.sql import functions as F
 
 from foliospark.operators import resolve as res

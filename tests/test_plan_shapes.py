@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import AS_OF, MIN_DATE
+from tests.conftest import AS_OF, MIN_DATE
 from pyspark.sql import functions as F
 
 from foliospark import queries as registered

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import AS_OF, MIN_DATE, rows_by
+from tests.conftest import AS_OF, MIN_DATE, rows_by
 import pytest
 
 from foliospark.plans import datasets, enrich, ranking, rollup

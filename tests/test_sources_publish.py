@@ -6,7 +6,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from conftest import AS_OF, MIN_DATE
+from tests.conftest import AS_OF, MIN_DATE
 from pyspark.sql import functions as F
 
 from foliospark import publish, schemas
