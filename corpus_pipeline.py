@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import content_sort, mixing, near_copies, pieces, repetition
+from foliospark.llm import content_sort, mixing, pieces, repetition, simhash
 from foliospark.llm.common import documents, new_path
 
 
@@ -23,8 +23,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: a Jaccard similarity of 0.8 or more on five-word shingles."""
-    return near_copies.one_of_each(docs)
+    """One document of each group whose SimHash fingerprints (three-word shingles) link within three bits."""
+    return simhash.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
