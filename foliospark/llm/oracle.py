@@ -1,7 +1,7 @@
 """SQL (DuckDB) for the queries that SQL can express.
 
 The others have none: seeded shuffles and rounding (op3, op7), a tokenizer (op4), a trained machine (op5), decoding with
-places (op6) and XXH64 (op10). Their tests compare them with brute force or the library.
+places (op6), XXH64 (op10) and eigenvectors (op13). Their tests compare them with brute force or the library.
 """
 
 from __future__ import annotations
@@ -148,9 +148,71 @@ FROM text WINDOW ranked AS (PARTITION BY content ORDER BY chars DESC, doc_id NUL
 """
 
 
+def phrases() -> str:
+    return rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p
+        FROM documents)),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM piece GROUP BY lang),
+gram AS (
+  SELECT lang, words, unnest([array_to_string(w[i:i + words - 1], ' ') FOR i IN range(1, len(w) - words + 2)]) AS phrase
+  FROM piece, range(1, 5) size(words) WHERE len(w) >= words),
+f AS (SELECT lang, words, phrase, count(*) AS a FROM gram GROUP BY lang, words, phrase HAVING count(*) >= 30),
+cut AS (
+  SELECT lang, words, phrase, a, k, string_split(phrase, ' ') AS w
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM f WHERE words > 1)),
+scored AS (
+  SELECT cut.lang, cut.words, cut.phrase, cut.a, k, one.a AS l, two.a AS r,
+         ((2000000::HUGEINT * cut.a) // (one.a + two.a))::BIGINT AS score
+  FROM cut JOIN f one ON one.lang = cut.lang AND one.phrase = array_to_string(w[:k], ' ')
+           JOIN f two ON two.lang = cut.lang AND two.phrase = array_to_string(w[k + 1:], ' ')),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_part AS (
+  SELECT DISTINCT lang, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, words - size + 2)]) AS phrase, a AS longer
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(2, words)) AS size FROM f WHERE words > 2)),
+kept AS (
+  SELECT * FROM lowest WHERE NOT EXISTS (
+    SELECT 1 FROM inner_part p WHERE p.lang = lowest.lang AND p.phrase = lowest.phrase
+      AND 100::HUGEINT * p.longer >= 80::HUGEINT * lowest.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
+def decontamination() -> str:
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""
+WITH item AS (SELECT item_id, {words} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+         unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS line
+  FROM item WHERE len(w) > 0),
+doc AS (SELECT row_number() OVER () AS id, doc_id, {words} AS w FROM documents),
+place AS (
+  SELECT id, size, unnest(range(1, len(w) - size + 2)) AS pos, w
+  FROM doc, (SELECT DISTINCT size FROM win) WHERE len(w) >= size),
+met AS (
+  SELECT id, p.size, pos, item_id
+  FROM (SELECT id, size, pos, array_to_string(w[pos:pos + size - 1], ' ') AS line FROM place) p
+  JOIN win ON win.size = p.size AND win.line = p.line),
+hit AS (
+  SELECT id, count(DISTINCT word) AS n_hit FROM (SELECT id, unnest(range(pos, pos + size)) AS word FROM met) GROUP BY id),
+found AS (
+  SELECT id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM met GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hit USING (id) LEFT JOIN found USING (id)
+"""
+
+
 ORACLE = {
     "op1_license_scan": license_scan(),
     "op2_quality_rules": quality_rules(),
     "op8_url_filter": url_filter(),
     "op9_exact_dedup": exact_dedup(),
+    "op11_phrases": phrases(),
+    "op12_decontamination": decontamination(),
 }

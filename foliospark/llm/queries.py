@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from foliospark.llm import (
     content_sort,
+    decontaminate,
     licenses,
     mixing,
+    phrases,
     pieces,
     repetition,
     secret_scan,
@@ -18,6 +20,7 @@ from foliospark.llm import (
     simhash,
     toxicity,
     url_rules,
+    whitening,
 )
 from foliospark.llm.common import documents
 
@@ -84,6 +87,27 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("bits").alias("fingerprint"), "component_id")
 
 
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(documents(spark, folder))
+
+
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontaminate.hits(documents(spark, folder), benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.components(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_license_scan": license_scan,
@@ -96,4 +120,7 @@ def registry() -> dict[str, Query]:
         "op8_url_filter": url_filter,
         "op9_exact_dedup": exact_dedup,
         "op10_simhash": simhash_groups,
+        "op11_phrases": phrase_collocations,
+        "op12_decontamination": decontamination,
+        "op13_whitening": embedding_whitening,
     }

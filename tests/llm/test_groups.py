@@ -31,7 +31,7 @@ def words_of(text):
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query_equals_its_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     result = connection.execute(ORACLE[name])
     columns = [column[0] for column in result.description]

@@ -1,0 +1,134 @@
+"""Phrase collocations against plain counts."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+from random import Random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings as hypothesis_settings
+from hypothesis import strategies as st
+
+from foliospark.llm import phrases
+from tests.llm.conftest import SCHEMA
+
+
+def plain_counts(rows):
+    """Counter of (lang, phrase) and the words of each lang."""
+    counts, totals = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for size in range(1, 5):
+                for i in range(len(words) - size + 1):
+                    counts[lang, " ".join(words[i : i + size])] += 1
+    return counts, totals
+
+
+def plain_collocations(rows, least=30, top=2000):
+    counts, totals = plain_counts(rows)
+    candidates = {}
+    for (lang, phrase), a in counts.items():
+        words = phrase.split(" ")
+        if a >= least and len(words) > 1:
+            cuts = []
+            for k in range(1, len(words)):
+                left, right = counts[lang, " ".join(words[:k])], counts[lang, " ".join(words[k:])]
+                cuts.append((2_000_000 * a // (left + right), k, left, right))
+            score, _, left, right = min(cuts)
+            candidates[lang, phrase] = (a, left, right, score)
+    dropped = set()
+    for (lang, phrase), (a, *_) in candidates.items():
+        words = phrase.split(" ")
+        for size in range(2, len(words)):
+            for i in range(len(words) - size + 1):
+                part = (lang, " ".join(words[i : i + size]))
+                if 100 * a >= 80 * candidates[part][0]:
+                    dropped.add(part)
+    result = set()
+    for lang in totals:
+        own = [(-s, -a, p.encode(), p, a, l, r) for (g, p), (a, l, r, s) in candidates.items() if g == lang and (g, p) not in dropped]
+        for rank, (s, _, _, p, a, l, r) in enumerate(sorted(own)[:top], 1):
+            result.add((lang, rank, p, a, l, r, totals[lang], -s))
+    return result
+
+
+def made_texts(seed, count=400):
+    random = Random(seed)
+    words = [f"w{i}" for i in range(30)] + ["New", "York", "é", "Ünder", "1,5", "a b"]
+    fixed = ["New York city hall", "in spite of", "the\tend of the day", "w1 w1 w1 w1 w1"]
+    rows = []
+    for n in range(count):
+        line = []
+        for _ in range(random.randrange(40)):
+            line.append(random.choice(fixed) if random.random() < 0.3 else random.choice(words))
+            if random.random() < 0.15:
+                line[-1] += random.choice([". ", ",", "\n", ";", "!?", "\r\n"])
+        rows.append((random.choice(["en", "en", "fr", None, "und"]), " ".join(line)))
+    return rows
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(n, text, lang, None, 0) for n, (lang, text) in enumerate(rows)], SCHEMA)
+
+
+@pytest.mark.parametrize("least, top", [(30, 2000), (3, 50), (1, 2000)])
+def test_collocations_equal_plain_counts(spark, least, top):
+    rows = made_texts(least)
+    if least == 1:
+        rows = rows[:20]
+    found = phrases.collocations(frame(spark, rows), least=least, top=top).collect()
+    assert Counter(map(tuple, found)) == Counter(plain_collocations(rows, least, top))
+
+
+def test_small_summaries_and_filters_change_nothing(spark, monkeypatch):
+    rows = made_texts(5)
+    wanted = plain_collocations(rows, 10)
+    monkeypatch.setattr(phrases, "SLACK", 1)
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(phrases, "BLOCK_BITS", 64)
+    monkeypatch.setattr(phrases, "FILTER_BITS", 128)
+    assert set(map(tuple, phrases.collocations(frame(spark, rows), least=10).collect())) == wanted
+
+
+@hypothesis_settings(max_examples=50, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 40), max_size=60), max_size=12), st.integers(1, 6))
+def test_a_summary_keeps_all_that_is_frequent(parts, least):
+    counts = Counter(key for part in parts for key in part)
+    summary = phrases.Summary(sum(counts.values()) // least + 1)
+    for part in parts:
+        keys, times = np.unique(np.array(part, np.uint64), return_counts=True)
+        summary.add(keys, times.astype(np.uint64))
+    kept = set(summary.frequent(least).tolist())
+    assert kept >= {key for key, times in counts.items() if times >= least}
+    assert summary.cut < least and len(summary.keys) <= summary.capacity
+
+
+def test_packed_numbers_come_back():
+    numbers = np.array([0, 1, 255, 2**40, 2**64 - 1], np.uint64)
+    assert phrases.unpacked(phrases.packed(numbers)).tolist() == numbers.tolist()
+
+
+def test_phrases_with_one_hash_are_counted_apart(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "mixed", lambda hashes: hashes & np.uint64(7))
+    rows = made_texts(8, 60)
+    assert set(map(tuple, phrases.collocations(frame(spark, rows), least=5).collect())) == plain_collocations(rows, 5)
+
+
+def test_scores_beyond_64_bits(spark):
+    huge = 9 * 10**18
+    rows = [("en", 1, "a", huge), ("en", 1, "b", huge), ("en", 2, "a b", huge - 1)]
+    found = phrases.scored(spark.createDataFrame(rows, "lang string, words int, phrase string, a long")).first()
+    assert found.score == 2_000_000 * (huge - 1) // (2 * huge)
+
+
+def test_collocations_take_any_rows(docs, empty):
+    rows = [(row.lang, row.text) for row in docs.collect()]
+    assert set(map(tuple, phrases.collocations(docs, least=2).collect())) == plain_collocations(rows, 2)
+    assert phrases.collocations(empty).collect() == []
+    assert phrases.collocations(docs.limit(1), least=2).collect() == []
