@@ -10,6 +10,7 @@ import datetime as dt
 from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import entity
 
@@ -30,6 +31,8 @@ RAW = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
     " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
     " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+    " props string",
 }
 
 
@@ -244,6 +247,51 @@ class Tables:
             "p_partkey as product_id", "p_type as category", "p_retailprice as price"
         )
 
+    def shares_traded(self, year: int) -> DataFrame:
+        """Shares and trades per ticker in one year, the limits at the scan."""
+        return self.spark.sql(
+            f"""select 'P' || l_partkey as ticker_symbol, {_total("l_quantity")} as shares, count(*) as trades
+                from {{lines}}
+                where l_shipdate >= timestamp_ntz'{year}-01-01' and l_shipdate < timestamp_ntz'{year + 1}-01-01'
+                group by l_partkey""",
+            lines=self.raw("lineitem"),
+        )
+
+    @cached_property
+    def symbol_history(self) -> DataFrame:
+        """Symbols that stood for two securities one after the other, and every eleventh for none in between."""
+        return self.raw("part").where("p_partkey % 10 != 7").selectExpr(
+            "'P' || p_partkey || '-US' as ticker_region",
+            "date_add(date'1995-06-01', cast(p_partkey * 37 % 2000 as int)) as changed",
+            "p_partkey",
+        ).selectExpr(
+            "ticker_region",
+            """inline(array(
+                struct('S' || p_partkey || '-R' as fsym_id, cast(null as date) as valid_from, changed as valid_to),
+                struct('S' || p_partkey || '-N' as fsym_id,
+                       if(p_partkey % 11 = 0, date_add(changed, 90), changed) as valid_from,
+                       cast(null as date) as valid_to)))""",
+        )
+
+    def trades(self, sold: bool) -> DataFrame:
+        """Returned lines as sales on the day they were shipped, all others as lots bought with their order.
+
+        Trades of one ticker, day and price are one trade; the price is its id.
+        """
+        if sold:
+            lines = self.raw("lineitem").where("l_returnflag = 'R'").withColumn("day", F.col("l_shipdate").cast("date"))
+        else:
+            days = self.raw("orders").selectExpr("o_orderkey as l_orderkey", "cast(o_orderdate as date) as day")
+            lines = self.raw("lineitem").where("l_returnflag != 'R'").join(days, "l_orderkey")
+        priced = lines.selectExpr(
+            "'P' || l_partkey as ticker_symbol",
+            "day",
+            "cast(l_quantity as decimal(18,2)) as quantity",
+            "cast(round(cast(l_extendedprice / l_quantity as decimal(18,6)), 2) as decimal(18,2)) as price",
+        )
+        summed = priced.groupBy("ticker_symbol", "day", "price").agg(F.sum("quantity").alias("quantity"))
+        return summed.withColumn("id", (F.col("price") * 100).cast("long"))
+
     @cached_property
     def orders(self) -> DataFrame:
         return self.raw("orders").selectExpr(

@@ -7,9 +7,10 @@ import datetime as dt
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.changes import change_set
 from .plans import ranking, rollup
 
 
@@ -80,6 +81,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def working_folder(spark: SparkSession) -> str:
+    """The shared folder, or where none is named a folder in the warehouse, which all executors reach too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/work"
+
+
 def snapshot(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so that later jobs start from files."""
     folder = shared_folder(df.sparkSession)
@@ -92,6 +99,55 @@ def refresh(spark: SparkSession, *names: str) -> None:
         spark.catalog.refreshTable(name)
 
 
+PART = "part"
+
+
+def publish_parts(df: DataFrame, path: str, keys: Sequence[str], parts: int) -> DataFrame:
+    """Write a snapshot in parts by a hash of its keys, for ``refresh_parts`` to keep up to date."""
+    _partitioned(df.withColumn(PART, _part_of(keys, parts)), [PART]).save(path)
+    return df.sparkSession.read.parquet(path).drop(PART)
+
+
+def _part_of(keys: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+
+
+def refresh_parts(df: DataFrame, path: str, keys: Sequence[str], parts: int) -> dict[str, int]:
+    """Bring a snapshot of ``publish_parts`` up to date and return how many keys were added, removed and changed.
+
+    The snapshot is compared with ``df`` by digests of the rows, and only parts that hold a difference are written anew;
+    files of all others stay as they are. Each part is replaced as a whole. A refresh that fails leaves parts of both
+    versions; the next one finds what still differs. ``parts`` must be the number the snapshot was published with.
+    """
+    spark = df.sparkSession
+    spark.catalog.refreshByPath(path)
+    stored = spark.read.parquet(path)
+    old = stored.select(*df.columns, _part_of(keys, parts).alias(PART))
+    new = df.withColumn(PART, _part_of(keys, parts))
+    if not stored.filter(F.col(PART) != _part_of(keys, parts)).isEmpty():
+        raise ValueError(f"{path} was not published in {parts} parts")
+    changes = change_set(old, new, [PART, *keys]).groupBy(PART, "change").agg(F.count("*").alias("n"))
+    counts = changes.collect()  # three rows for each part at most
+    touched = sorted({row[PART] for row in counts})
+    if touched:
+        rows = new.filter(F.col(PART).isin(touched))
+        left = {row[PART] for row in rows.select(PART).distinct().collect()}
+        _partitioned(rows, [PART]).option("partitionOverwriteMode", "dynamic").save(path)
+        _drop_parts(spark, path, [part for part in touched if part not in left])
+    spark.catalog.refreshByPath(path)
+    totals = {"added": 0, "removed": 0, "changed": 0}
+    for row in counts:
+        totals[row["change"]] += row["n"]
+    return totals
+
+
+def _drop_parts(spark: SparkSession, path: str, parts: Sequence[int]) -> None:
+    """Parts that have no rows any more: an overwrite by parts does not touch them."""
+    for part in parts:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PART}={part}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def publish_portfolio(
     dashboard: DataFrame, prefix: str, loaded_at: dt.datetime | None = None, emoji: bool = False
 ) -> dict[str, str]:

@@ -11,19 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import publish
-from .fixtures import AS_OF, MIN_DATE, Tables
+from .fixtures import AS_OF, MIN_DATE, RAW, Tables
 from .functions import metrics as M
 from .functions import rules as R
 from .functions.numeric import exact_avg, exact_sum, ratio, sum_if
 from .functions.symbols import normalize_symbol
 from .operators import resolve as res
 from .operators import temporal, trace
+from .operators.asof import asof_join, by_days, by_width
+from .operators.changes import change_set
 from .operators.distribution import share_of_total
-from .plans import datasets, enrich, entity, hybrid, lookup, ranking, rollup
+from .plans import datasets, enrich, entity, history, hybrid, lookup, ranking, rollup, taxlots
 from .sources.managed import query as sql_query
+from .streaming import live
 
 FACTS_YEAR = 1999
 ESTIMATE_YEAR = 2000
+LOT_SPAN = (dt.date(1990, 1, 1), dt.date(2010, 12, 31))  # days that purchases may lie in
+LOTS_UNTIL = dt.date(1999, 1, 1)
 PURCHASED_SINCE = dt.date(1999, 1, 1)
 DATES = {"as_of": AS_OF, "min_date": MIN_DATE}
 ENTITY_YEARS = {"facts_year": FACTS_YEAR, "estimate_year": ESTIMATE_YEAR}
@@ -446,6 +451,69 @@ def _(t: Tables) -> DataFrame:
     return ranking.stock_rankings(dashboard(t)).select("symbol", "performance_score")
 
 
+# Live windows, change sets, history and tax lots.
+
+LIVE_SINCE = dt.date(2024, 1, 20)
+WINDOWS = "window_start timestamp_ntz, event_type string, events bigint, total double"
+
+
+@_register("q37_live_stream")
+def _(t: Tables) -> DataFrame:
+    """The live side as a stream that publishes hourly windows, read back beside the history."""
+    # A pattern, since a stream takes a folder or a pattern of files, and the table may be a single file.
+    events = live.read_files(t.spark, f"{t.folder}/events.parque[t]", RAW["events"])
+    wanted = {"time": "ts", "value": "value", "keys": ["event_type"]}
+    since = F.lit(dt.datetime.combine(LIVE_SINCE, dt.time())).cast("timestamp_ntz")
+    totals = live.windowed_totals(events.filter(F.col("ts") >= since), **wanted, lateness="2 days")
+    run = f"{publish.working_folder(t.spark)}/live-{uuid4().hex}"
+    live.publish_windows(totals, f"{run}/windows", f"{run}/checkpoint").awaitTermination()
+    windows = live.published(t.spark, f"{run}/windows", WINDOWS, ["event_type"])
+    return live.live_windows_and_history(windows, t.raw("events"), **wanted, as_of=LIVE_SINCE)
+
+
+@_register("k3_change_set")
+def _(t: Tables) -> DataFrame:
+    return change_set(t.shares_traded(1998), t.shares_traded(1999), ["ticker_symbol"])
+
+
+@_register("q41_point_in_time")
+def _(t: Tables) -> DataFrame:
+    _, *core = t.core
+    return doubles(history.point_in_time(t.customer_holdings, *core))
+
+
+@_register("q42_security_at_date")
+def _(t: Tables) -> DataFrame:
+    lots = history.securities_at(t.customer_holdings, t.symbol_history, how="left", span=LOT_SPAN)
+    return doubles(lots.select("customer_id", "ticker_symbol", "purchase_date", "shares_held", "fsym_id"))
+
+
+@_register("q43_realised_gains_fifo")
+def _(t: Tables) -> DataFrame:
+    keys = ["ticker_symbol"]
+    sales = t.trades(sold=True)
+    cuts = {"cut": by_days(366), "share_cut": by_width(1000)}
+    return doubles(taxlots.realised(sales, taxlots.first_in_first_out(t.trades(sold=False), sales, keys, **cuts), keys))
+
+
+@_register("q43_realised_gains_highest_cost")
+def _(t: Tables) -> DataFrame:
+    keys = ["ticker_symbol"]
+    lots = t.trades(sold=False).filter(F.col("day") < LOTS_UNTIL)
+    sales = t.trades(sold=True).filter(F.col("day") >= LOTS_UNTIL)
+    return doubles(taxlots.realised(sales, taxlots.highest_cost_first(lots, sales, keys), keys))
+
+
+@_register("asof_price")
+def _(t: Tables) -> DataFrame:
+    """Each lot with the last sale of its ticker on or before its day."""
+    prices = temporal.latest_per_key(t.trades(sold=True), ["ticker_symbol", "day"], "day", ["price"])
+    prices = prices.select("ticker_symbol", "day", F.col("price").alias("last_price"))
+    lots = t.customer_holdings.select("customer_id", "ticker_symbol", "shares_held", "purchase_date")
+    found = asof_join(lots, prices, ["ticker_symbol"], "purchase_date", "day", ["day", "last_price"], cut=by_days(366))
+    return doubles(found)
+
+
 # Rule sets, each over the frame that holds its inputs.
 
 

@@ -408,6 +408,34 @@ def shares(groups: str, label: str, as_name: str) -> str:
         from {groups}"""
 
 
+TRADES = """
+        , priced as (
+            select 'P' || l_partkey as ticker_symbol, l_returnflag = 'R' as is_sale,
+                   case when l_returnflag = 'R' then l_shipdate::date else o_orderdate::date end as day,
+                   l_quantity::decimal(18,2) as quantity,
+                   round((l_extendedprice / l_quantity)::decimal(18,6), 2)::decimal(18,2) as price
+            from lineitem left join orders on l_orderkey = o_orderkey
+            where l_returnflag = 'R' or o_orderkey is not null
+        ), trades as (
+            select ticker_symbol, day, is_sale, price, (price * 100)::bigint as id, sum(quantity) as quantity
+            from priced group by all
+        )"""
+
+GAINS = """
+        met as (
+            select s.ticker_symbol, s.day, s.id, l.price as cost,
+                   least(s.until, l.until) - greatest(s.since, l.since) as shares
+            from sale s join lot l
+              on l.ticker_symbol = s.ticker_symbol and l.since < s.until and s.since < l.until
+        ), covered as (
+            select ticker_symbol, day, id, sum(shares) as matched, sum(shares * cost) as cost
+            from met where shares > 0 group by all
+        )
+        select ticker_symbol, day, id, quantity::double as quantity, coalesce(matched, 0)::double as matched,
+               coalesce(cost, 0)::double as cost, coalesce(matched * price, 0)::double as proceeds,
+               coalesce(matched * price - cost, 0)::double as gain
+        from sale left join covered using (ticker_symbol, day, id)"""
+
 LOTS = "customer_holdings h join coverage c on h.ticker_symbol = c.ticker"
 VALUE = "(shares_held * cost_basis)::double as position_value"
 
@@ -766,6 +794,116 @@ QUERIES = {
                || round(lots * 100e0 / sum(lots) over (), 1) || '%)' as account_label
         from counts""",
     "score": "select symbol, performance_score from rankings",
+    "q37_live_stream": """
+        select 'Real-Time' as source, event_type, date_trunc('hour', ts) as window_start,
+               count(*) as events, sum(value::decimal(38,10))::double as total
+        from events where ts >= timestamp '2024-01-20' group by all
+        union all
+        select 'Historical', event_type, null, count(*), sum(value::decimal(38,10))::double
+        from events where ts < timestamp '2024-01-20' group by all""",
+    "k3_change_set": """
+        , traded as (
+            select 'P' || l_partkey as ticker_symbol, year(l_shipdate) as yr,
+                   sum(l_quantity::decimal(18,2)) as shares, count(*) as trades
+            from lineitem group by all
+        ), old as (from traded where yr = 1998), new as (from traded where yr = 1999)
+        select ticker_symbol,
+               case when old.yr is null then 'added' when new.yr is null then 'removed' else 'changed' end as change
+        from old full join new using (ticker_symbol)
+        where old.yr is null or new.yr is null or old.shares <> new.shares or old.trades <> new.trades""",
+    "q41_point_in_time": f"""
+        , fact as (
+            select ticker_region, ff.* from sym join sec_map using (fsym_id)
+            join ff on ff.fsym_id = fsym_company_id
+        ), revision as (
+            select ticker_region, fe_fp_end, fe_mean, fe_num_est, cons_end_date
+            from sym join fe_sec_map using (fsym_id) join fe on fe.fsym_id = fsym_company_id where fe_item = 'EPS'
+        ), lot as (
+            select *, ticker_symbol || '-US' as ticker_region
+            from customer_holdings where ticker_symbol || '-US' in (select ticker_region from fact)
+        ), moment as (
+            select distinct ticker_region, purchase_date from lot
+        ), known as (
+            select m.*, f.* exclude (ticker_region, fsym_id)
+            from moment m left join fact f on f.ticker_region = m.ticker_region and f.fiscal_date <= m.purchase_date
+            qualify row_number() over (partition by m.ticker_region, purchase_date order by fiscal_date desc) = 1
+        ), ahead as (
+            select m.ticker_region, m.purchase_date, min(fe_fp_end) as next_period
+            from moment m join revision v on v.ticker_region = m.ticker_region and fe_fp_end >= purchase_date
+            group by all
+        ), forecast as (
+            select a.*, fe_mean as forward_eps, fe_num_est as analysts
+            from ahead a join revision v
+              on v.ticker_region = a.ticker_region and fe_fp_end = next_period
+             and purchase_date < coalesce(cons_end_date, date '9999-12-31')
+            qualify row_number() over (partition by a.ticker_region, purchase_date order by cons_end_date nulls last) = 1
+        ), figures as (
+            select ticker_region, purchase_date, fiscal_date, ff_net_income as net_income,
+                   {r("ff_net_income / nullif(ff_sales, 0) * 100e0")} as profit_margin_pct,
+                   {r("(ff_debt_st + ff_debt_lt) / nullif(ff_com_eq, 0)")} as debt_to_equity,
+                   ff_eps_basic as current_eps, next_period, forward_eps, analysts,
+                   (forward_eps - ff_eps_basic) / nullif(ff_eps_basic, 0) as growth,
+                   {r("(forward_eps - ff_eps_basic) / nullif(ff_eps_basic, 0) * 100e0")} as growth_pct
+            from known left join forecast using (ticker_region, purchase_date)
+        )
+        select customer_id, ticker_symbol, shares_held::double as shares_held, purchase_date,
+               cost_basis::double as cost_basis, account_type,
+               figures.* exclude (ticker_region, purchase_date, growth),
+               {r("shares_held::double * current_eps")} as current_earnings,
+               {r("shares_held::double * forward_eps")} as projected_earnings,
+               {case('risk')} as risk_assessment, {case('action')} as action_recommendation
+        from lot join figures using (ticker_region, purchase_date)""",
+    "q42_security_at_date": """
+        , history as (
+            select 'P' || p_partkey || '-US' as ticker_region, p_partkey as p,
+                   date '1995-06-01' + (p_partkey * 37 % 2000)::int as changed
+            from part where p_partkey % 10 <> 7
+        ), meaning as (
+            select ticker_region, 'S' || p || '-R' as fsym_id, date '0001-01-01' as since, changed as until from history
+            union all
+            select ticker_region, 'S' || p || '-N', changed + case when p % 11 = 0 then 90 else 0 end, date '9999-12-31'
+            from history
+        )
+        select customer_id, ticker_symbol, purchase_date, shares_held::double as shares_held, fsym_id
+        from customer_holdings left join meaning
+          on ticker_region = ticker_symbol || '-US' and purchase_date >= since and purchase_date < until""",
+    "q43_realised_gains_fifo": f"""
+        {TRADES}, trade as (
+            select *, sum(case when is_sale then 0 else quantity end) over so_far as bought,
+                   sum(case when is_sale then quantity else 0 end) over so_far as sold
+            from trades
+            window so_far as (partition by ticker_symbol order by day, is_sale, id rows unbounded preceding)
+        ), deep as (
+            select *, greatest(0, max(sold - bought) over (
+                partition by ticker_symbol order by day, is_sale, id rows unbounded preceding)) as short
+            from trade
+        ), sale as (
+            select *, sold - short as until,
+                   coalesce(lag(sold - short) over (partition by ticker_symbol order by day, id), 0) as since
+            from deep where is_sale
+        ), lot as (
+            select *, bought - quantity as since, bought as until from deep where not is_sale
+        ), {GAINS}""",
+    "q43_realised_gains_highest_cost": f"""
+        {TRADES}, lot as (
+            select *, until - quantity as since
+            from (select *, sum(quantity) over (partition by ticker_symbol order by price desc, day, id
+                                                rows unbounded preceding) as until
+                  from trades where not is_sale and day < date '1999-01-01')
+        ), sale as (
+            select *, until - quantity as since
+            from (select *, sum(quantity) over (partition by ticker_symbol order by day, id
+                                                rows unbounded preceding) as until
+                  from trades where is_sale and day >= date '1999-01-01')
+        ), {GAINS}""",
+    "asof_price": f"""
+        {TRADES}, quoted as (
+            select ticker_symbol, day, min(price) as last_price from trades where is_sale group by all
+        )
+        select customer_id, h.ticker_symbol, shares_held::double as shares_held, purchase_date, day,
+               last_price::double as last_price
+        from customer_holdings h asof left join quoted q
+          on q.ticker_symbol = h.ticker_symbol and q.day <= h.purchase_date""",
     "classify_coverage_status": """
         select upper(symbol) as item,
                if(sym.fsym_id is null, 'NOT FOUND', 'FOUND') as label
