@@ -1,0 +1,136 @@
+"""The live side as a stream: late rows, restarts and replayed batches against one batch query."""
+
+from __future__ import annotations
+
+import datetime as dt
+import shutil
+from collections import Counter
+from random import Random
+
+import pytest
+from pyspark.sql import functions as F
+
+from foliospark.streaming import live
+
+SCHEMA = "ts timestamp_ntz, kind string, value double"
+WINDOWS = "window_start timestamp_ntz, kind string, events bigint, total double"
+START = dt.datetime(2024, 3, 1)
+OPTIONS = {"time": "ts", "value": "value", "keys": ["kind"]}
+
+
+def made(count=600, seed=1):
+    random = Random(seed)
+    rows = [
+        (START + dt.timedelta(minutes=random.randrange(36 * 60)), random.choice(["buy", "sell", None]), random.randrange(1, 10**6) / 100)
+        for _ in range(count)
+    ]
+    return rows + [(None, "buy", 1.0), (START, "buy", None)]
+
+
+def write(spark, rows, path, number):
+    """One more file of the source, as one file, so that file order is batch order."""
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{path}/f{number:03d}")
+
+
+def batch_totals(spark, rows):
+    totals = live.windowed_totals(spark.createDataFrame(rows, SCHEMA), **OPTIONS)
+    return Counter(map(tuple, totals.collect()))
+
+
+def run(spark, source, target, lateness="3 days"):
+    events = live.read_files(spark, f"{source}/*", SCHEMA, files_per_batch=1)
+    query = live.publish_windows(
+        live.windowed_totals(events, **OPTIONS, lateness=lateness), f"{target}/windows", f"{target}/checkpoint"
+    )
+    query.awaitTermination()
+    return query
+
+
+def read(spark, target):
+    return live.published(spark, f"{target}/windows", WINDOWS, ["kind"])
+
+
+def test_late_rows_and_restarts_equal_one_batch(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = made()  # in no order of time, so later files hold rows for windows of earlier ones
+    for n in range(3):
+        write(spark, rows[n * 150 : (n + 1) * 150], source, n)
+    run(spark, source, target)
+    assert Counter(map(tuple, read(spark, target).collect())) == batch_totals(spark, rows[:450])
+    for n in range(3, 5):
+        write(spark, rows[n * 150 : (n + 1) * 150], source, n)
+    query = run(spark, source, target)  # from the checkpoint
+    assert Counter(map(tuple, read(spark, target).collect())) == batch_totals(spark, rows)
+    assert live.dropped_late(query) == 0
+
+
+def test_a_batch_that_runs_again_replaces_what_it_wrote(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = made(300, 2)
+    for n in range(3):
+        write(spark, rows[n * 100 : (n + 1) * 100], source, n)
+    run(spark, source, target)
+    wanted = batch_totals(spark, rows[:300])
+    assert Counter(map(tuple, read(spark, target).collect())) == wanted
+    # As after a failure between publishing and committing: the last batch is not committed, and half of its files are there.
+    commits = sorted((tmp_path / "out" / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink()
+    last = tmp_path / "out" / "windows" / f"batch={commits[-1].name}"
+    files = list(last.glob("part-*.parquet"))
+    files[0].unlink()
+    run(spark, source, target)
+    assert Counter(map(tuple, read(spark, target).collect())) == wanted
+
+
+def test_rows_beyond_the_watermark_are_reported(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    late = [(START, "buy", 5.0), (START, "sell", 7.0)]
+    write(spark, [(START + dt.timedelta(days=2), "buy", 1.0)], source, 0)
+    write(spark, [(START + dt.timedelta(days=2, hours=1), "buy", 2.0)], source, 1)
+    write(spark, late, source, 2)
+    query = run(spark, source, target, lateness="1 hour")
+    # One dropped row for each group and task that the state would have taken.
+    assert live.dropped_late(query) == 2
+    assert {row.total for row in read(spark, target).collect()} == {1.0, 2.0}
+    # The history has them once the day is over.
+    history = spark.createDataFrame(late, SCHEMA)
+    both = live.live_windows_and_history(read(spark, target), history, **OPTIONS, as_of=dt.date(2024, 3, 2)).collect()
+    assert {(r.source, r.kind, r.total) for r in both} == {
+        ("Real-Time", "buy", 1.0),
+        ("Real-Time", "buy", 2.0),
+        ("Historical", "buy", 5.0),
+        ("Historical", "sell", 7.0),
+    }
+
+
+def test_state_is_kept_by_event_time(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    write(spark, made(50, 3), source, 0)
+    query = run(spark, source, target)
+    operators = query.lastProgress["stateOperators"]
+    assert operators and operators[0]["operatorName"] == "stateStoreSave"
+    assert shutil.os.path.isdir(f"{target}/checkpoint/state")
+
+
+def test_the_day_splits_live_from_history(spark):
+    rows = made(200, 4)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    day = dt.date(2024, 3, 2)
+    both = live.live_windows_and_history(live.windowed_totals(frame, **OPTIONS), frame, **OPTIONS, as_of=day).collect()
+    moment = dt.datetime.combine(day, dt.time())
+    counts = Counter()
+    for ts, kind, _ in rows:
+        if ts is not None:
+            counts["Real-Time" if ts >= moment else "Historical", kind] += 1
+    found = Counter()
+    for row in both:
+        found[row.source, row.kind] += row.events
+    assert found == counts
+
+
+@pytest.mark.parametrize("window", ["30 minutes", "1 day"])
+def test_windows_of_any_length(spark, window):
+    frame = spark.createDataFrame(made(100, 5), SCHEMA)
+    totals = live.windowed_totals(frame, time="ts", value="value", window=window)
+    assert totals.agg(F.sum("events")).first()[0] == 101
