@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,10)"
+ADDEND = "decimal(37,10)"  # two of them add up to EXACT
 
 
 def half_up(value: Column, digits: int = 2) -> Column:
@@ -28,24 +29,24 @@ def millions(value: Column, digits: int = 2) -> Column:
     return half_up(value / F.lit(1_000_000.0), digits)
 
 
-def _totals(value: Column) -> tuple[Column, Column]:
-    """The sum as a decimal of what a decimal can hold, and as a double of the rest; NULL where there is none.
+def _totals(value: Column) -> tuple[Column, Column, Column]:
+    """The exact sum as a decimal, the sum of what no decimal holds as a double, and the plain sum; NULL where there is no value.
 
-    Whole cents, which most amounts are, add up as integers; other values go through the far slower
-    conversion to decimal(38,10). The rest are NaN, infinities, values beyond that type and values
-    it would take to zero.
+    Whole cents, which most amounts are, add up as integers; only other values go through the far slower
+    conversion to decimal(38,10). What no decimal holds are NaN, infinities, values beyond that type and values it would take
+    to zero. The exact sum is NULL if it overflows; then the plain sum counts. No part is used more than
+    it must be: the size of these trees is most of what planning a rollup costs.
     """
     value = value.cast("double")
-    exact = value.try_cast(EXACT)
-    held = exact.isNotNull() & ((exact != 0) | (value == 0))
     cents = F.floor(value * F.lit(100.0) + F.lit(0.5))
-    whole = held & (F.abs(value) < F.lit(1e13)) & (cents / F.lit(100.0) == value)
-    in_cents = F.sum(F.when(whole, cents).cast("decimal(20,0)")) * F.lit(Decimal("0.01"))
-    others = F.try_sum(F.when(held & ~whole, exact))
-    overflown = (F.count(F.when(held & ~whole, 1)) > 0) & others.isNull()
-    rest = F.sum(F.when(~held, value))
-    total = F.when(~overflown, F.coalesce(in_cents + others, in_cents, others))
-    return total, F.when(overflown, F.sum(value)).otherwise(rest)
+    whole = (F.abs(value) < F.lit(1e13)) & (cents / F.lit(100.0) == value)
+    other = F.when(~whole, value)
+    exact = other.try_cast(EXACT)
+    in_cents = F.sum(F.when(whole, cents).otherwise(F.lit(0)).cast("decimal(18,0)"))
+    others = F.try_sum(F.coalesce(exact, F.lit(0).cast(EXACT))).try_cast(ADDEND)
+    total = (in_cents * F.lit(Decimal("0.01"))).try_cast(ADDEND) + others
+    rest = F.sum(F.when(exact.isNull() | (exact == 0), other))
+    return total, F.coalesce(rest, F.lit(0.0)), F.sum(value)
 
 
 def exact_sum(value: Column) -> Column:
@@ -54,15 +55,16 @@ def exact_sum(value: Column) -> Column:
     Each value counts to ten decimal places. NaN, infinities and values a decimal cannot hold are
     added as doubles, so they show in the result as in Spark's own sum.
     """
-    total, rest = _totals(value)
-    return F.coalesce(total.cast("double") + rest, total.cast("double"), rest)
+    total, rest, plain = _totals(value)
+    return F.when(F.count(value) > 0, F.coalesce(total.cast("double") + rest, plain))
 
 
 def money_sum(value: Column, digits: int = 2) -> Column:
     """Rounded total of an amount, as a double."""
-    total, rest = _totals(value)
-    both = F.round(total.cast("double") + rest, digits)
-    return F.coalesce(both, F.round(total, digits).cast("double"), F.round(rest, digits))
+    total, rest, plain = _totals(value)
+    exact = F.when(rest == 0, F.round(total, digits).cast("double"))
+    rounded = F.coalesce(exact, F.round(F.coalesce(total.cast("double") + rest, plain), digits))
+    return F.when(F.count(value) > 0, rounded)
 
 
 def exact_avg(value: Column) -> Column:
