@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from foliospark.llm.common import new_path
+from foliospark.llm.common import new_path, unused_name
 
 SHARDS = 16
 SEED = 42
@@ -42,15 +42,16 @@ def scattered(docs: DataFrame, buckets: int, key: str, text: str, seed: int) ->
 def first_places(rows: DataFrame) -> DataFrame:
     """Rows before each bucket: one row for each bucket, so few against the records."""
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("before", F.sum("n").over(Window.orderBy("bucket")) - F.col("n"))
+    before = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
+    return counts.select("bucket", before.alias("before"))
 
 
-def shuffled_bucket(key: str, text: str, seed: int, shards: int, rows: int, schema: StructType):
+def shuffled_bucket(key: str, text: str, seed: int, shards: int, rows: int, schema: StructType, start_of: str):
     small, larger = divmod(rows, shards)  # the first `larger` shards hold one row more
 
     def shuffle(bucket: pa.Table) -> pa.Table:
         table = bucket.sort_by([(name, "ascending") for name in (key, text)])
-        number, before = table["bucket"][0].as_py(), table["before"][0].as_py()
+        number, before = table["bucket"][0].as_py(), table[start_of][0].as_py()
         order = np.arange(len(table))
         np.random.default_rng([seed, number]).shuffle(order)  # Fisher-Yates
         place = before + np.arange(len(table), dtype=np.int64)
@@ -59,7 +60,7 @@ def shuffled_bucket(key: str, text: str, seed: int, shards: int, rows: int, sche
             place < edge, place // (small + 1), larger + (place - edge) // max(small, 1)
         )
         start = np.where(place < edge, shard * (small + 1), edge + (shard - larger) * small)
-        table = table.take(pa.array(order)).drop_columns(["bucket", "before"])
+        table = table.take(pa.array(order)).drop_columns(["bucket", start_of])
         table = table.append_column("shard", pa.array(shard, pa.int32()))
         return table.append_column("slot", pa.array(place - start, pa.int64())).select(schema.names)
 
@@ -87,8 +88,9 @@ def write_shards(
         return docs.sparkSession.createDataFrame([], schema)
     buckets = max(1, -(-size // bucket_bytes))
     scatter = scattered(docs, buckets, key, text, seed)
-    placed = scatter.join(first_places(scatter).select("bucket", "before"), "bucket")
-    shuffle = shuffled_bucket(key, text, seed, shards, rows, schema)
+    before = unused_name(docs, "_before")
+    placed = scatter.join(first_places(scatter).withColumnRenamed("before", before), "bucket")
+    shuffle = shuffled_bucket(key, text, seed, shards, rows, schema, before)
     placed.groupBy("bucket").applyInArrow(shuffle, schema).write.partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 

@@ -9,9 +9,11 @@ over pairs.
 
 It is fitted with AdaGrad in batches on at most ``MOST_SAMPLED`` labelled rows, picked by a hash of their id where there
 are more; a term must stand in ``least_texts`` of them. First the weights alone are fitted with a proximal step that
-leaves all but the telling terms at zero. Only terms with a weight get a vector; then weights and vectors are fitted
-together. So the unseen and the incidental add nothing, and the terms of the sample bound the size of the model. Only the
-terms of a text are inputs of its score.
+leaves all but the telling terms at zero. Then pairs are screened by their own gradient, the errors of the weights added up over
+the texts that hold both terms: it is far from zero where a pair tells what its terms alone do not, however rare or neutral
+they are. Terms of such pairs and terms with a weight get a vector; weights and vectors are then fitted together. So
+the unseen and the incidental add nothing, and the terms of the sample bound the size of the model. Only the terms of a text are
+inputs of its score.
 
 Null and empty texts have no terms and score what the bias gives. Rows are scored one by one: repeated rows and null
 ids each get their own result. Without any label of one of the two classes every text scores the share of toxic labels.
@@ -20,7 +22,7 @@ ids each get their own result. Without any label of one of the two classes every
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import chain
@@ -50,6 +52,8 @@ class Settings:
     l1: float = 3e-3  # proximal step on the weights, against incidental terms
     l2: float = 1e-4  # on the vectors
     spread: float = 0.01  # of the vectors at the start
+    pair_error: float = 0.1  # texts whose error is smaller add nothing to a pair's gradient
+    pair_share: float = 0.2  # terms in more of the texts make no pairs
     seed: int = 42
 
 
@@ -152,6 +156,8 @@ def fit(features: list[np.ndarray], labels: np.ndarray, settings: Settings = Set
         random = np.random.default_rng(settings.seed)
         train(machine, features, labels, settings, random, settings.linear_epochs, factors=0)
     telling = machine.weights != 0
+    if len(terms) and labels.min() != labels.max():
+        telling[pair_terms(machine, features, labels, settings)] = True
     machine = Machine(terms[telling], machine.weights[telling], machine.vectors[telling], machine.bias)
     if len(machine.terms):
         machine.vectors[:] = random.normal(0, settings.spread, machine.vectors.shape)
@@ -159,6 +165,53 @@ def fit(features: list[np.ndarray], labels: np.ndarray, settings: Settings = Set
     return machine
 
 
+PAIR_BINS = 1 << 22
+
+
+def pair_terms(machine: Machine, features: list[np.ndarray], labels: np.ndarray, settings: Settings) -> np.ndarray:
+    """Places of the terms of all pairs whose gradient stands out.
+
+    A gradient stands out if it is as large, over its own spread, as chance makes hardly any of so many pairs.
+    Pairs are added up in hashed bins first; those in bins that stand out are then added up one by one.
+    """
+    rows = [known_places(machine.terms, text) for text in features]
+    error = labels - probability(machine.logits(*flattened([set(row.tolist()) for row in rows]), 0))
+    texts = np.bincount(np.concatenate(rows), minlength=len(machine.terms))
+    rare = texts <= max(settings.pair_share * len(rows), settings.least_texts)
+    wrong = [(rows[i][rare[rows[i]]], error[i]) for i in np.flatnonzero(np.abs(error) >= settings.pair_error)]
+
+    def pairs(own: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """A term, those behind it, and the bins of the pairs."""
+        mixed = own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for k in range(len(own) - 1):
+            bins = (mixed[k] ^ (mixed[k + 1 :] >> np.uint64(21))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(42)
+            yield int(own[k]), own[k + 1 :], bins.astype(np.int64)
+
+    met = sum(len(own) * (len(own) - 1) // 2 for own, _ in wrong)
+    bar = (2 * np.log(max(2, min(met, len(machine.terms) ** 2 // 2)))) ** 0.5
+    total, squares = np.zeros(PAIR_BINS), np.zeros(PAIR_BINS)
+    for own, e in wrong:
+        for _, _, bins in pairs(own):
+            np.add.at(total, bins, e)
+            np.add.at(squares, bins, e * e)
+    # Pairs that share a bin blur it, so the bar is lower here than for a pair by itself.
+    high = np.abs(total) >= 0.6 * bar * np.sqrt(squares) + 1e-9
+    sums: dict[tuple[int, int], list[float]] = {}
+    for own, e in wrong:
+        for one, others, bins in pairs(own):
+            for other in others[high[bins]].tolist():
+                entry = sums.setdefault((one, other), [0.0, 0.0, 0.0])
+                entry[0] += e
+                entry[1] += e * e
+                entry[2] += 1
+    stand_out = [
+        pair
+        for pair, (gradient, square, n) in sums.items()
+        if n >= settings.least_texts and abs(gradient) >= bar * square**0.5
+    ]
+    return np.unique(np.array(stand_out, np.int64))
+
+
 def train(
     machine: Machine,
     features: list[np.ndarray],

@@ -29,7 +29,7 @@ def docs(spark):
     rows += [(5, TEXTS[5], "en", "s2", 0), (3, "one", None, None, 1), (None, "one two", None, None, None)]
     rows += [(None, None, None, None, None)] * 2
     frame = spark.createDataFrame(rows, SCHEMA)
-    clashes = ("size", "shard", "slot", "bucket", "key", "bits", "kept", "score", "row", "copies", "place", "_row1")
+    clashes = ("size", "shard", "slot", "bucket", "key", "bits", "kept", "score", "row", "copies", "place", "_row1", "before", "_before", "n")
     for n, name in enumerate(clashes):
         frame = frame.withColumn(name, frame.n_chars + n)
     return frame

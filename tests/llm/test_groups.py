@@ -286,7 +286,30 @@ def test_groups_equal_a_dictionary_of_texts(spark, docs, empty):
 def test_content_sort_plan(spark):
     ranged = content_sort.runs(documents(spark, FOLDER), "doc_id", "text", 10_000, [])
     plan = ranged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("rangepartitioning") >= 1 and "hashpartitioning" not in plan and "Python" not in plan
+    assert plan.count("rangepartitioning") >= 1 and "Python" not in plan
+    hashed = re.findall(r"hashpartitioning\(([a-z]+)", plan)
+    assert set(hashed) == {"tail"}  # counts of the sample; texts are moved by range only
+
+
+@pytest.mark.parametrize("range_rows, least", [(20_000, 10), (40, 3)])
+def test_equal_texts_are_found_beside_each_other(spark, monkeypatch, range_rows, least):
+    monkeypatch.setattr(content_sort, "RANGE_ROWS", range_rows)
+    monkeypatch.setattr(content_sort, "SAMPLE_LEAST", least)
+    docs = documents(spark, "/root/testdata/sf0.01")
+    hot = spark.createDataFrame([(n, "one hot text", "en", "s", 1) for n in range(10_000, 10_500)], SCHEMA)
+    every = docs.unionByName(hot)
+    rows = content_sort.runs(every, "doc_id", "text", every.count(), []).collect()
+    copies = len(rows) - len({row.digest for row in rows})
+    beside = sum(row.place > 1 for row in rows)
+    hot_runs = {row.salt for row in rows if row.salt is not None}
+    assert copies - beside <= max(0, len(hot_runs) - 1) and beside >= 0.97 * copies
+    assert (len(hot_runs) > 5) == (range_rows == 40)
+    found = {row.doc_id: row for row in content_sort.groups(every).collect()}
+    wanted = plain_groups(every.collect())
+    for row in every.collect():
+        own = found[row.doc_id]
+        assert (own.keep_id, own.group_size) == wanted[re.sub(r"[\x20\x09-\x0D]", "", row.text or "")]
+    assert sum(row.kept for row in found.values()) == len(wanted)
 
 
 # SimHash

@@ -173,11 +173,24 @@ def test_rules_reject_long_and_dense_repeats(spark):
 
     texts = [text(120, 5000), text(90, 5000), text(40, 340), text(19, 200)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = by_id(repetition.rules(frame).collect())
+    limits = repetition.Limits(repeat_words=20, maximal_pct=15, longest_words=100)
+    rows = by_id(repetition.rules(frame, limits=limits).collect())
     assert [rows[n]["kept"] for n in range(4)] == [False, True, False, True]
     assert not any(rows[n]["base_failed"] for n in range(4))
 
 
+def test_short_repeated_lines_fail_by_the_method_alone(spark):
+    lines = [f"w{n} a{n} b{n} c{n}" for n in range(40)]
+    often = "\n".join(lines[n % 10] + f" x{n}" for n in range(80))
+    seldom = "\n".join(lines + lines[::13])
+    passage = " ".join(f"p{n}" for n in range(60))
+    texts = [often, seldom, f"{passage} {' '.join(f'q{n}' for n in range(2000))} {passage}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = by_id(repetition.rules(frame).collect())
+    assert not any(rows[n]["base_failed"] for n in range(3))
+    assert [rows[n]["kept"] for n in range(3)] == [False, True, False]
+
+
 def test_rules_take_any_rows(docs, empty):
     rows = repetition.rules(docs).collect()
     assert len(rows) == docs.count()
@@ -274,6 +287,28 @@ def test_pairs_are_learned_that_no_weights_express():
     assert accuracy(toxicity.Settings(epochs=0)) < 0.92
 
 
+def test_rare_neutral_terms_tell_together():
+    """Each of two terms stands in one text of a hundred, with the base's share of label 1; together they always mean 1."""
+    random = np.random.default_rng(3)
+    features, labels = [], []
+    for _ in range(10_000):
+        u, base = random.random(), random.random() < 0.3
+        own, label = ([1, 2], True) if u < 0.003 else ([1], False) if u < 0.01 else ([2], False) if u < 0.017 else ([], base)
+        features.append(np.unique([*own, *random.integers(10, 40, 5)]).astype(np.int32))
+        labels.append(float(label))
+    machine = toxicity.fit(features, np.array(labels), toxicity.Settings(epochs=60))
+    assert {1, 2} <= set(machine.terms.tolist())
+    linear = toxicity.Machine(machine.terms, machine.weights, 0 * machine.vectors, machine.bias)
+
+    def scores(own, chosen):
+        rows = [set(toxicity.known_places(own.terms, f).tolist()) for f in features if chosen(f)]
+        return toxicity.probability(own.logits(*toxicity.flattened(rows))).mean()
+
+    assert scores(machine, lambda f: 1 in f and 2 in f) > 0.6
+    assert scores(machine, lambda f: (1 in f) != (2 in f)) < 0.3
+    assert scores(linear, lambda f: 1 in f and 2 in f) < 0.5
+
+
 def test_the_pair_sum_equals_all_pairs():
     random = np.random.default_rng(2)
     machine = toxicity.Machine(np.arange(6, dtype=np.int32), random.normal(size=6), random.normal(size=(6, 3)), 0.5)
