@@ -1,8 +1,8 @@
 """Secret scan with a worklist of decoded layers.
 
 Patterns run over a text, then over everything that can be unwrapped from it: URL escapes, Unicode escapes, base64
-runs and compressed bytes inside them. A layer enters the worklist with, for each of its characters, the stretch of the
-original text it came from; what is found in it is reported as that stretch. Layers are unwrapped until nothing new
+runs and compressed bytes inside them. A layer enters the worklist with the stretches of the original text that its characters
+came from; what is found in it is reported as the stretch it covers. Layers are unwrapped until nothing new
 appears; a layer with the content and the place of one seen before is a cycle and is dropped.
 
 Decoded bytes are scanned whatever they are, a character for each. Base64 is joined over line ends and read from each of
@@ -12,9 +12,14 @@ escapes, and streams may follow each other.
 A span of a decoded layer is named after the ways it was wrapped, ``base64+assign:12:80``. Spans of the text itself
 keep their plain kind. Places count code points, the end is exclusive.
 
-Decoded bytes of one text may add up to ``most_decoded`` bytes, a guard against decompression bombs; the number of
-layers left closed for that reason is reported, so nothing is dropped unseen. Null and empty texts have no spans. Rows
-are judged one by one: repeated rows and null ids each get their own result.
+No layer is dropped for its size. A layer notes places where its relation to the text changes, not one for each character, so it
+is about as large as the text. What a compressed stream holds is a layer if it fits into ``WINDOW`` bytes. A larger one is never held whole: it
+is scanned in windows that overlap by ``OVERLAP`` bytes, and by all of an unbroken run of up to ``RUN`` bytes at their
+edge, while streams inside it are unpacked as their bytes come. So a decompression bomb takes time, not memory, and keeps its spans. (In contents
+larger than a window, streams are followed ``DEEPEST`` such contents deep, and a stream that starts with the bytes of one around it is a cycle.)
+
+Null and empty texts have no spans. Rows are judged one by one: repeated rows and null ids each get their own result. An
+empty table gives no rows. Only the key and the text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -25,12 +30,14 @@ import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from hashlib import sha256
-from itertools import accumulate
+from itertools import chain
+from typing import Any
 from urllib.parse import unquote_to_bytes
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,34 +68,66 @@ BASE64_LINE_END = re.compile(rb"\s+|(?:\\r)?\\n[ \t>]*|>")
 STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 BYTE_ESCAPE = re.compile(rb"""\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\([abfnrtv0\\'"])""")
 SHORT_ESCAPES = dict(zip(b"abfnrtv0\\'\"", b"\a\b\f\n\r\t\v\0\\'\""))
-MOST_DECODED = 64 * 1024**2
-RESULT = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_closed long"
+PIECE = 1 << 20
+WINDOW = 4 << 20
+OVERLAP = 1 << 16
+RUN = 16 << 20
+HEAD = 1 << 12
+DEEPEST = 50
+RESULT = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+
+UNBROKEN = re.compile(rb"[A-Za-z0-9+/_.=%\\{}:'\" \r\n-]*")
 
 Span = tuple[str, int, int]
+Window = tuple[tuple[str, ...], bytes, bool]  # ways, bytes, whether they are all of the content
+
+
+class Places:
+    """Where a layer's characters came from: from each of ``at`` on, characters one after the other or one stretch for all."""
+
+    def __init__(self) -> None:
+        self.at: list[int] = []
+        self.start: list[int] = []
+        self.end: list[int] = []
+        self.moves: list[bool] = []
+        self.changed: list[bool] = []  # decoded by this or an earlier step
+
+    def add(self, at: int, start: int, end: int, moves: bool, changed: bool) -> None:
+        for own, value in zip((self.at, self.start, self.end, self.moves, self.changed), (at, start, end, moves, changed)):
+            own.append(value)
+
+    def within(self, a: int, b: int) -> range:
+        """Numbers of the parts that hold characters a to b, exclusive."""
+        return range(bisect_right(self.at, a) - 1, bisect_right(self.at, b - 1))
+
+    def place(self, a: int, b: int) -> tuple[int, int]:
+        parts = self.within(a, b)
+        first, last = parts[0], parts[-1]
+        start = self.start[first] + (a - self.at[first] if self.moves[first] else 0)
+        return start, self.end[last] + (b - 1 - self.at[last] if self.moves[last] else 0)
+
+
+def one_place(start: int, end: int) -> Places:
+    places = Places()
+    places.add(0, start, end, False, True)
+    return places
 
 
 @dataclass
 class Layer:
-    """Text, and where each character came from; without places it is the original text."""
+    """Text, and where its characters came from; without places it is the original text."""
 
     text: str
-    starts: list[int] | None = None
-    ends: list[int] | None = None
+    places: Places | None = None
     ways: tuple[str, ...] = ()
-    changed: list[bool] | None = None  # characters that this or an earlier step decoded
     raw: bool = False  # a character for each byte
+    packed: bool = True  # streams in it are still to be unpacked
 
     def place(self, start: int, end: int) -> tuple[int, int]:
-        if self.starts is None or self.ends is None:
-            return start, end
-        return self.starts[start], self.ends[end - 1]
-
+        return self.places.place(start, end) if self.places else (start, end)
 
-@dataclass
-class Budget:
-    left: int
-    closed: int = 0
-    seen: set[tuple[bytes, int, int]] = field(default_factory=set)
+    def changed(self, start: int, end: int) -> bool:
+        return self.places is not None and any(self.places.changed[part] for part in self.places.within(start, end))
 
 
 def matches(text: str) -> Iterator[Span]:
@@ -115,29 +154,118 @@ def may_unwrap(data: bytes) -> bool:
     )
 
 
-def inflated(data: bytes, most: int) -> bytes | None:
-    """What the streams hold that the data starts with, one byte more than ``most`` at the most; None if there are none."""
-    parts: list[bytes] = []
-    size = 0
-    while size <= most:
-        stream: zlib._Decompress | bz2.BZ2Decompressor | lzma.LZMADecompressor
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            stream = zlib.decompressobj(47)
-        elif data[:3] == b"BZh":
-            stream = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\0":
-            stream = lzma.LZMADecompressor()
-        else:
-            break
+class Stream:
+    """Compressed bytes as they come, streams behind each other included, and windows of what they hold."""
+
+    def __init__(self, ways: tuple[str, ...], heads: tuple[bytes, ...]):
+        self.codec: Any = None
+        self.waiting = b""
+        self.done = False
+        self.content = Content(ways, heads)
+
+    def feed(self, data: bytes) -> Iterator[Window]:
+        data, self.waiting = self.waiting + data, b""
+        while data and not self.done:
+            if self.codec is None:
+                data = data.lstrip(b"\0") if self.content.size else data
+                if len(data) < 6 and any(magic.startswith(data[:3]) or data.startswith(magic) for magic in MAGICS):
+                    self.waiting = data
+                    return
+                self.codec = codec_of(data)
+                if self.codec is None:
+                    self.done = True
+                    return
+            piece, data = self.unpack(data)
+            yield from self.content.take(piece)
+            while not self.done and not self.codec.eof and not getattr(self.codec, "needs_input", True):
+                yield from self.content.take(self.unpack(b"")[0])  # it keeps its input itself
+            if not self.done and self.codec.eof:
+                data, self.codec = self.codec.unused_data, None
+
+    def unpack(self, data: bytes) -> tuple[bytes, bytes]:
+        """At most PIECE bytes, and the input that is left."""
         try:
-            parts.append(stream.decompress(data, most + 1 - size))
+            piece = self.codec.decompress(data, PIECE)
         except (zlib.error, OSError, EOFError, lzma.LZMAError):
-            break
-        size += len(parts[-1])
-        if not stream.eof:
-            break
-        data = stream.unused_data.lstrip(b"\0")
-    return b"".join(parts) if size else None
+            self.done = True
+            return b"", b""
+        return piece, getattr(self.codec, "unconsumed_tail", b"")
+
+    def close(self) -> Iterator[Window]:
+        yield from self.content.close()
+
+
+MAGICS = (b"\x1f\x8b\x08", b"BZh", b"\xfd7zXZ\0", b"x")
+
+
+def codec_of(data: bytes) -> Any:
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor()
+    return None
+
+
+class Content:
+    """What a stream holds: one window if it fits, else windows with overlap, and its own streams unpacked on the way."""
+
+    def __init__(self, ways: tuple[str, ...], heads: tuple[bytes, ...]):
+        self.ways, self.heads = ways, heads
+        self.held, self.size, self.looked = b"", 0, 0  # looked: bytes of what is held that were searched for streams
+        self.large = False
+        self.open: list[Stream] = []
+
+    def take(self, piece: bytes) -> Iterator[Window]:
+        self.size += len(piece)
+        self.held += piece
+        if not self.large and len(self.held) <= WINDOW:
+            return
+        if self.large:
+            yield from self.fed(piece)
+        self.large = True
+        yield from self.opened()
+        if len(self.held) > WINDOW:
+            yield self.ways, self.held, False
+            cut = len(self.held) - min(RUN, max(OVERLAP, len(self.held) - unbroken_from(self.held)))
+            self.held = self.held[cut:]
+            self.looked = max(0, self.looked - cut)
+
+    def fed(self, piece: bytes) -> Iterator[Window]:
+        for inner in self.open:
+            yield from inner.feed(piece)
+            if inner.done:
+                yield from inner.close()
+        self.open = [inner for inner in self.open if not inner.done]
+
+    def opened(self) -> Iterator[Window]:
+        """Streams that start in what was not searched yet."""
+        if len(self.heads) < DEEPEST:
+            for found in STREAM.finditer(self.held, self.looked):
+                data = self.held[found.start() :]
+                head = data[:HEAD]
+                if len(head) == HEAD and head in self.heads:
+                    continue
+                inner = Stream((*self.ways, "zip"), (*self.heads, head))
+                yield from inner.feed(data)
+                if inner.done:
+                    yield from inner.close()
+                else:
+                    self.open.append(inner)
+        self.looked = max(0, len(self.held) - 5)  # a mark may lie across the edge
+
+    def close(self) -> Iterator[Window]:
+        for inner in self.open:
+            yield from inner.close()
+        self.open = []
+        if self.held:
+            yield self.ways, self.held, not self.large
+
+
+def unbroken_from(data: bytes) -> int:
+    """Where the run of characters that codes and secrets are made of begins at the end of the data."""
+    return len(data) - len(UNBROKEN.match(data[: -RUN - 1 : -1])[0])
 
 
 def from_base64(run: bytes) -> Iterator[tuple[int, bytes]]:
@@ -151,26 +279,34 @@ def from_base64(run: bytes) -> Iterator[tuple[int, bytes]]:
             yield first, data
 
 
-def replaced(layer: Layer, way: str, found: list[tuple[int, int, str]]) -> Layer:
+def replaced(layer: Layer, way: str, found: Iterable[tuple[int, int, str]]) -> Layer:
     """The layer with stretches replaced by what they decode to."""
-    text, starts, ends, changed, at = [], [], [], [], 0
+    text: list[str] = []
+    places, size, at = Places(), 0, 0
+    old = layer.places
 
     def take(a: int, b: int) -> None:
+        nonlocal size
+        if a == b:
+            return
         text.append(layer.text[a:b])
-        starts.extend(layer.starts[a:b] if layer.starts else range(a, b))
-        ends.extend(layer.ends[a:b] if layer.ends else range(a + 1, b + 1))
-        changed.extend(layer.changed[a:b] if layer.changed else [False] * (b - a))
+        if old is None:
+            places.add(size, a, a + 1, True, False)
+        else:
+            for part in old.within(a, b):
+                first = max(a, old.at[part])
+                skipped = first - old.at[part] if old.moves[part] else 0
+                places.add(size + first - a, old.start[part] + skipped, old.end[part] + skipped, old.moves[part], old.changed[part])
+        size += b - a
 
     for a, b, inner in found:
         take(at, a)
-        start, end = layer.place(a, b)
         text.append(inner)
-        starts.extend([start] * len(inner))
-        ends.extend([end] * len(inner))
-        changed.extend([True] * len(inner))
+        places.add(size, *layer.place(a, b), False, True)
+        size += len(inner)
         at = b
     take(at, len(layer.text))
-    return Layer("".join(text), starts, ends, (*layer.ways, way), changed)
+    return Layer("".join(text), places, (*layer.ways, way))
 
 
 def url_stretches(text: str) -> Iterator[tuple[int, int, str]]:
@@ -230,72 +366,70 @@ def source_place(line: str, at: int) -> int:
     return len(source[: place + at - found].decode(errors="ignore"))
 
 
-def streams(data: bytes, budget: Budget) -> Iterator[tuple[int, str]]:
-    """Where compressed bytes start, and what they hold."""
+def streams(data: bytes, ways: tuple[str, ...]) -> Iterator[tuple[int, Window]]:
+    """Where compressed bytes start, and windows of what they hold."""
     for found in STREAM.finditer(data):
-        inner = inflated(data[found.start() :], budget.left)
-        if inner is None:
-            continue
-        if len(inner) > budget.left:
-            budget.closed += 1
-            continue
-        yield found.start(), inner.decode("latin-1")
+        stream = Stream((*ways, "zip"), (data[found.start() : found.start() + HEAD],))
+        for window in chain(stream.feed(data[found.start() :]), stream.close()):
+            yield found.start(), window
 
 
-def raw_layer(text: str, start: int, end: int, ways: tuple[str, ...]) -> Layer:
-    size = len(text)
-    return Layer(text, [start] * size, [end] * size, ways, [True] * size, True)
+def raw_layer(window: Window, start: int, end: int) -> Layer:
+    ways, data, whole = window
+    return Layer(data.decode("latin-1"), one_place(start, end), ways, True, whole)
 
 
 def base64_layers(layer: Layer, block: re.Match[str]) -> Iterator[Layer]:
     """A block's codes; a byte is placed at the lines its code stands in."""
     lines = [m.span(1) for m in BASE64_LINE.finditer(layer.text, block.start(), block.end())]
-    places = [layer.place(a, b) for a, b in lines]
-    stops = list(accumulate(b - a for a, b in lines))
+    spans = [layer.place(a, b) for a, b in lines]
+    stops = np.cumsum([b - a for a, b in lines])
     run = "".join(layer.text[a:b] for a, b in lines).encode()
     for first, data in from_base64(run):
-        starts = [places[bisect_right(stops, first + 4 * i // 3)][0] for i in range(len(data))]
-        ends = [places[bisect_right(stops, first + (8 * i + 7) // 6)][1] for i in range(len(data))]
-        yield Layer(data.decode("latin-1"), starts, ends, (*layer.ways, "base64"), [True] * len(data), True)
-
-
-def unwrapped(layer: Layer, budget: Budget) -> Iterator[Layer]:
-    if layer.raw:
+        i = np.arange(len(data))
+        one = np.searchsorted(stops, first + 4 * i // 3, side="right")
+        two = np.searchsorted(stops, first + (8 * i + 7) // 6, side="right")
+        new = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+        places = Places()
+        for at in new.tolist():
+            places.add(at, spans[one[at]][0], spans[two[at]][1], False, True)
+        yield Layer(data.decode("latin-1"), places, (*layer.ways, "base64"), True)
+
+
+def unwrapped(layer: Layer) -> Iterator[Layer]:
+    if layer.raw and layer.packed:
         data = layer.text.encode("latin-1")
-        for at, text in streams(data, budget):
-            yield raw_layer(text, *layer.place(at, len(data)), (*layer.ways, "zip"))
+        for at, window in streams(data, layer.ways):
+            yield raw_layer(window, *layer.place(at, len(data)))
     for start, end, way, data in escaped_bytes(layer.text):
-        for at, text in streams(data, budget):
+        for at, window in streams(data, (*layer.ways, way)):
             first = start if way == "url" else start + source_place(layer.text[start:end], at)
-            yield raw_layer(text, *layer.place(first, max(end, first + 1)), (*layer.ways, way, "zip"))
-    if found := list(url_stretches(layer.text)):
-        yield replaced(layer, "url", found)
-    if found := list(unicode_stretches(layer.text)):
-        yield replaced(layer, "unicode", found)
+            yield raw_layer(window, *layer.place(first, max(end, first + 1)))
+    if URL_RUN.search(layer.text):
+        yield replaced(layer, "url", url_stretches(layer.text))
+    if UNICODE_ESCAPE.search(layer.text):
+        yield replaced(layer, "unicode", unicode_stretches(layer.text))
     for block in BASE64_TEXT.finditer(layer.text):
         yield from base64_layers(layer, block)
 
 
-def layers(text: str, most_decoded: int) -> Iterator[tuple[Layer, Budget]]:
+def layers(text: str) -> Iterator[Layer]:
     """The text and every layer in it, each once for each place."""
-    budget = Budget(most_decoded)
-    work = [Layer(text)]
+    seen: set[tuple[bytes, int, int]] = set()
+    work = [iter([Layer(text)])]
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         if not layer.text:
             continue
         content = sha256(layer.text.encode(errors="surrogatepass")).digest()
         at = (content, *layer.place(0, len(layer.text)))
-        if at in budget.seen:
-            continue
-        if layer.ways:
-            if len(layer.text) > budget.left:
-                budget.closed += 1
-                continue
-            budget.left -= len(layer.text)
-        budget.seen.add(at)
-        yield layer, budget
-        work.extend(unwrapped(layer, budget))
+        if at not in seen:
+            seen.add(at)
+            yield layer
+            work.append(unwrapped(layer))
 
 
 def joined(spans: list[Span]) -> str:
@@ -306,18 +440,19 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in sorted(spans, key=order))
 
 
-def scan_text(text: str, most_decoded: int) -> tuple[list[Span], list[Span], int]:
-    """Spans of the text, spans of its layers, layers left closed."""
+def scan_text(text: str) -> tuple[list[Span], list[Span]]:
+    """Spans of the text, spans of its layers."""
     base: list[Span] = []
     inner: set[Span] = set()
-    budget = Budget(most_decoded)
-    for layer, budget in layers(text, most_decoded):
+    for layer in layers(text):
+        if layer.raw and not may_match(layer.text.encode("latin-1")):
+            continue
         for kind, start, end in matches(layer.text):
             if not layer.ways:
                 base.append((kind, start, end))
-            elif layer.changed and any(layer.changed[start:end]):
+            elif layer.changed(start, end):
                 inner.add(("+".join((*layer.ways, kind)), *layer.place(start, end)))
-    return base, sorted(inner), budget.closed
+    return base, sorted(inner)
 
 
 NOTHING = {
@@ -326,34 +461,30 @@ NOTHING = {
     "n_hex": 0,
     "base_sha256": sha256(b"").hexdigest(),
     "spans": "",
-    "n_closed": 0,
 }
 
 
-def measure(texts: list[bytes], most_decoded: int) -> list[dict]:
+def measure(texts: list[bytes]) -> list[dict]:
     records = []
     for data in texts:
         if not may_match(data) and not may_unwrap(data):
             records.append(NOTHING)
             continue
-        base, inner, closed = scan_text(data.decode(), most_decoded)
+        base, inner = scan_text(data.decode())
         records.append(
             {
                 **{f"n_{kind}": sum(span[0] == kind for span in base) for kind in KINDS},
                 "base_sha256": sha256(joined(base).encode()).hexdigest(),
                 "spans": joined(base + inner),
-                "n_closed": closed,
             }
         )
     return records
 
 
-def secrets(text: str | Column, most_decoded: int = MOST_DECODED) -> Column:
-    return text_function(lambda texts: measure(texts, most_decoded), schema_of(RESULT))(text)
+def secrets(text: str | Column) -> Column:
+    return text_function(measure, schema_of(RESULT))(text)
 
 
-def scan(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", most_decoded: int = MOST_DECODED
-) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, counts of the base kinds and all spans of each row."""
-    return docs.select(F.col(key), secrets(F.col(text), most_decoded).alias("scan")).select(key, "scan.*")
+    return docs.select(F.col(key), secrets(F.col(text)).alias("scan")).select(key, "scan.*")

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
+import lzma
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from hashlib import sha256
+from random import Random
 from urllib.parse import quote
 
 import numpy as np
@@ -436,8 +440,8 @@ def test_base_spans_equal_the_patterns(spark):
 def test_layers_are_unwrapped_and_mapped(ways):
     code = wrapped(f"see {KEY} here", *ways)
     text = f"é {code} tail"
-    base, inner, closed = secret_scan.scan_text(text, 1 << 20)
-    assert base == [] and closed == 0
+    base, inner = secret_scan.scan_text(text)
+    assert base == []
     start, end = {(a, b) for _, a, b in inner}.pop()
     assert 2 <= start < end <= 2 + len(code)
     if not {"base64", "gzip", "zlib"} & set(ways):  # character by character: the place of the key alone
@@ -472,23 +476,72 @@ PACKED = gzip.compress(NOISE + SECRET.encode() + NOISE[::-1])
     ],
 )
 def test_no_layer_is_dropped_for_its_bytes_its_lines_or_what_it_is_glued_to(code):
-    _, inner, closed = secret_scan.scan_text(f"\u00e9 {code} tail", 1 << 20)
-    assert [span[0].rpartition("+")[2] for span in inner] == ["access"] and closed == 0
+    _, inner = secret_scan.scan_text(f"\u00e9 {code} tail")
+    assert [span[0].rpartition("+")[2] for span in inner] == ["access"]
     assert 2 <= inner[0][1] < inner[0][2] <= 2 + len(code)
     assert secret_scan.may_unwrap(f"\u00e9 {code} tail".encode())
 
 
 def test_a_half_wrapped_secret_is_found_at_its_place():
     text = "a password%3Dhunter2x b"
-    _, inner, _ = secret_scan.scan_text(text, 1 << 20)
+    _, inner = secret_scan.scan_text(text)
     assert inner == [("url+assign", 2, 21)]
 
 
-def test_cycles_and_bombs_end():
-    bomb = wrapped("A" * 3_000_000, "gzip")
-    base, inner, closed = secret_scan.scan_text(f"x {bomb} {KEY}", 1 << 20)
-    assert closed == 1 and [span[0] for span in base] == ["access"] and inner == []
-    assert secret_scan.scan_text("%25" * 50 + "41", 1 << 20)[2] == 0
+def test_cycles_end():
+    assert secret_scan.scan_text("%25" * 50 + "41") == ([], [])
+    assert secret_scan.scan_text(wrapped("plain " * 100, "gzip", "gzip", "url")) == ([], [])
+
+
+def kinds_of(inner):
+    return {name.rpartition("+")[2] for name, _, _ in inner}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_bombs_keep_their_spans_in_bounded_memory(monkeypatch, pack):
+    for name, size in (("WINDOW", 1 << 18), ("PIECE", 1 << 16), ("OVERLAP", 1 << 12)):
+        monkeypatch.setattr(secret_scan, name, size)
+    filler = b"\0" * 4_000_000
+    bomb = coded(pack(filler + f" {KEY} ".encode() + filler + b"password=hunter22" + filler[:900_000]))
+    assert len(bomb) < 30_000
+    tracemalloc.start()
+    base, inner = secret_scan.scan_text(f"x {bomb} {KEY}")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [span[0] for span in base] == ["access"] and kinds_of(inner) == {"access", "assign"}
+    assert {(a, b) for _, a, b in inner} == {(2, 2 + len(bomb.rstrip('=')))}
+    assert peak < 5_000_000
+
+
+def test_streams_inside_a_large_content_are_unpacked_as_they_come(monkeypatch):
+    for name, size in (("WINDOW", 1 << 18), ("PIECE", 1 << 16), ("OVERLAP", 1 << 12)):
+        monkeypatch.setattr(secret_scan, name, size)
+    random = Random(3)
+    noise = bytes(random.randrange(1, 256) for _ in range(50_000))
+    inner_pack = gzip.compress(b"\0" * 1_000_000 + SECRET.encode() + noise * 12)  # larger than a window
+    code = coded(gzip.compress(noise * 7 + inner_pack + noise + gzip.compress(b"token=abcdefgh")))
+    _, inner = secret_scan.scan_text(code)
+    assert {"base64+zip+zip+access", "base64+zip+zip+assign"} <= {name for name, _, _ in inner}
+
+
+def test_secrets_across_the_edge_of_a_window(monkeypatch):
+    monkeypatch.setattr(secret_scan, "WINDOW", 5000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 300)
+    monkeypatch.setattr(secret_scan, "PIECE", 700)
+    for before in range(4900, 5100, 7):
+        content = "\n" * before + "secret = " + "x" * 20 + "\n" * 9000 + wrapped(SECRET, "base64") + "\n" * 400
+        _, inner = secret_scan.scan_text(coded(zlib.compress(content.encode())))
+        assert {"base64+zip+assign", "base64+zip+base64+access"} == {name for name, _, _ in inner}
+
+
+def test_a_very_long_text_keeps_the_spans_of_its_layers():
+    text = "plain words here " * 300_000 + wrapped(f"see {KEY}", "url") + " and " + wrapped("secret=abcdefgh", "unicode")
+    text += " " + wrapped(wrapped("token=abcdefgh", "url"), "unicode") + " end"
+    assert len(text) > 5_000_000
+    _, inner = secret_scan.scan_text(text)
+    names = [name for name, _, _ in inner]
+    assert {"url+access", "unicode+assign"} <= set(names) and any("unicode" in n and "url" in n for n in names)
+    assert all(a > 5_000_000 for _, a, _ in inner)
 
 
 def test_secrets_take_any_rows(docs, empty):
