@@ -7,6 +7,10 @@ are ordered from the rarest in the whole corpus to the most frequent, a template
 order that any partner must share, and the length and the positions of the first shared word bound what the overlap
 can still reach before it is counted.
 
+Partners are then verified on the block's words in their order: the words of a short notice must follow each other but for
+``FILLERS``; of a longer template some ``2 * length`` words in a row must hold the threshold; and ``cc-by`` needs an
+"attribution" that its non-commercial, share-alike and no-derivatives forms do not go on from.
+
 Words no template has cannot add to an overlap, so only the templates' words are ordered; their number is the size of
 the one thing that tasks get from the driver.
 
@@ -31,46 +35,79 @@ from foliospark.llm.common import chunks, schema_of, text_function
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Sentences by which public licenses are recognised, with their labels.
+# Sentences and notices by which public licenses are recognised, with their labels.
 TEMPLATES = (
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions",
+    ),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
+    (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
+        "the license you may obtain a copy of the license at",
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+        "following conditions are met redistributions of source code must retain the above copyright notice this list of "
+        "conditions and the following disclaimer",
+    ),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+        "license as published by the free software foundation either version 3 of the license or at your option any later "
+        "version",
+    ),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc0", "no rights reserved released under the cc0 public domain dedication"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
-    ("reserved", "all rights reserved"),
     ("no-warranty", "the software is provided as is without warranty of any kind express or implied"),
-    # Short notices. Of four words or fewer none may be missing, so each has a word that tells the licenses apart.
-    ("mit", "released under mit license"),
-    ("mit", "licensed under mit license"),
-    ("mit", "distributed under mit license"),
-    ("mit", "available under mit license"),
-    ("mit", "subject to mit license"),
+    # Short notices: their words stand one after the other.
+    ("reserved", "all rights reserved"),
+    ("mit", "mit license"),
+    ("mit", "spdx license identifier mit"),
     ("apache-2.0", "apache license 2 0"),
-    ("bsd", "released under bsd license"),
-    ("bsd", "licensed under bsd license"),
-    ("bsd", "distributed under bsd license"),
-    ("isc", "released under isc license"),
-    ("isc", "licensed under isc license"),
-    ("isc", "distributed under isc license"),
+    ("apache-2.0", "spdx license identifier apache 2"),
+    ("bsd", "bsd license"),
+    ("bsd", "bsd 2 clause"),
+    ("bsd", "bsd 3 clause"),
+    ("isc", "isc license"),
+    ("isc", "spdx license identifier isc"),
+    ("gpl", "spdx license identifier gpl"),
     ("mpl-2.0", "mozilla public license 2"),
+    ("mpl-2.0", "spdx license identifier mpl 2"),
     ("cc-by", "creative commons attribution license"),
+    ("cc-by", "creative commons attribution 4 0"),
+    ("cc-by", "creative commons attribution 3 0"),
     ("cc-by-nc", "cc by nc"),
     ("cc-by-nc", "creative commons attribution noncommercial"),
     ("cc-by-sa", "cc by sa"),
+    ("cc-by-sa", "cc by nc sa"),
     ("cc-by-sa", "creative commons attribution sharealike"),
+    ("cc-by-sa", "creative commons attribution noncommercial sharealike"),
     ("cc-by-nd", "cc by nd"),
+    ("cc-by-nd", "cc by nc nd"),
     ("cc-by-nd", "creative commons attribution noderivatives"),
+    ("cc-by-nd", "creative commons attribution noncommercial noderivatives"),
     ("cc0", "released under cc0"),
     ("cc0", "licensed under cc0"),
+    ("cc0", "cc0 1 0"),
     ("unlicense", "released under unlicense"),
     ("unlicense", "licensed under unlicense"),
 )
+SHORT = 6  # words of a notice whose words must follow each other
+FILLERS = ("the", "a", "an", "of", "terms", "version", "v")  # words that may stand between those
+#: A word that another license's name goes on with: ``cc-by`` is not met where it follows this word everywhere.
+NAME_END, VARIANTS = "attribution", ("noncommercial", "sharealike", "noderivatives", "noderivs")
 THRESHOLD = 0.8
 
 #: Lower-cases A-Z; any other byte below 0x80 that is no letter or digit becomes a space.
@@ -92,6 +129,7 @@ class Templates:
     """Templates as sets of words, the threshold as the least overlap of each."""
 
     labels: tuple[str, ...]
+    lists: tuple[list[bytes], ...]
     words: tuple[frozenset[bytes], ...]
     vocabulary: tuple[bytes, ...]
     least: tuple[int, ...]
@@ -103,9 +141,12 @@ class Templates:
         sets = tuple(frozenset(words) for words in split)
         return cls(
             tuple(label for label, _ in templates),
+            tuple(split),
             sets,
             tuple(sorted(frozenset().union(*sets))),
-            tuple(ceil(threshold * len(words) - 1e-9) for words in sets),
+            tuple(
+                len(words) if len(own) <= SHORT else ceil(threshold * len(words) - 1e-9) for own, words in zip(split, sets)
+            ),
             max(map(len, split)),
         )
 
@@ -170,6 +211,8 @@ class BlockJoin:
     def __init__(self, templates: Templates, frequency: dict[int, int], phrases: dict[str, str]):
         order = sorted(range(len(templates.vocabulary)), key=lambda i: (frequency.get(i, 0), i))
         self.templates, self.phrases = templates, phrases
+        self.lists = templates.lists
+        self.fillers = {word.encode() for word in FILLERS}
         self.rank = np.argsort(np.array(order, np.int64))
         number = {word: i for i, word in enumerate(templates.vocabulary)}
         self.sorted = [sorted(int(self.rank[number[w]]) for w in words) for words in templates.words]
@@ -196,6 +239,20 @@ class BlockJoin:
                 if shared >= least:
                     yield t, shared / len(ranks)
 
+    def verified(self, t: int, words: list[bytes]) -> bool:
+        """Whether the words of a block hold the template in its place, not only its words."""
+        sought, least = self.lists[t], self.templates.least[t]
+        if self.templates.labels[t] == "cc-by" and NAME_END.encode() in sought:
+            following = [b for a, b in zip(words, [*words[1:], b""]) if a == NAME_END.encode()]
+            if all(word.decode() in VARIANTS for word in following):
+                return False
+        if len(sought) <= SHORT:
+            line = b" ".join(word for word in words if word not in self.fillers)
+            return b" " + b" ".join(sought) + b" " in b" " + line + b" "
+        span, held = 2 * len(sought), set(sought)
+        at = [i for i, word in enumerate(words) if word in held]
+        return any(len({words[j] for j in at if i <= j < i + span}) >= least for i in at)
+
     def measure(self, texts: list[bytes]) -> list[dict]:
         split = [words_of(text) for text in texts]
         met: dict[int, list[tuple[int, str, float]]] = {}
@@ -208,7 +265,11 @@ class BlockJoin:
             ends = np.r_[starts[1:], len(text)]
             hits = np.add.reduceat(self.indexed[rank].astype(np.int64), starts) > 0
             for a, b in zip(starts[hits], ends[hits]):
+                first = int(block[a]) * self.templates.stride
+                words = split[int(text[a])][first : first + 2 * self.templates.stride]
                 for t, containment in self.partners(rank[a:b].tolist()):
+                    if not self.verified(t, words):
+                        continue
                     label = self.templates.labels[t]
                     met.setdefault(int(text[a]), []).append((int(block[a]), label, containment))
         return [self.record(words, met.get(i, [])) for i, words in enumerate(split)]

@@ -6,6 +6,8 @@ places (op6), XXH64 (op10) and eigenvectors (op13). Their tests compare them wit
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from foliospark.llm import licenses, repetition, url_rules
 from foliospark.llm.common import LOWER, UPPER
 
@@ -14,22 +16,24 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def listed(values: list[str]) -> str:
+def listed(values: Iterable[str]) -> str:
     return "[" + ", ".join(map(quoted, values)) + "]"
 
 
 def license_scan() -> str:
     templates = licenses.Templates.of(licenses.TEMPLATES, licenses.THRESHOLD)
     rows = ",\n".join(
-        f"({n}, {quoted(label)}, {listed(sorted(word.decode() for word in words))}, {least})"
-        for n, (label, words, least) in enumerate(zip(templates.labels, templates.words, templates.least))
+        f"({n}, {quoted(label)}, {listed(sorted(word.decode() for word in words))}, {least}, {quoted(b' '.join(own).decode())})"
+        for n, (label, words, least, own) in enumerate(
+            zip(templates.labels, templates.words, templates.least, templates.lists)
+        )
     )
     phrases = ", ".join(
         f"({quoted(label)}, {listed(phrase.split())})" for phrase, label in licenses.PHRASES.items()
     )
     stride = templates.stride
     return rf"""
-WITH template(n, label, words, least) AS (VALUES {rows}),
+WITH template(n, label, words, least, line) AS (VALUES {rows}),
 phrase(label, words) AS (VALUES {phrases}),
 text AS (
   SELECT row_number() OVER () AS id, doc_id,
@@ -41,11 +45,22 @@ place AS (
   FROM (SELECT id, words, unnest(range(1, len(words) + 1)) AS pos FROM text) t JOIN phrase
     ON t.words[pos : pos + len(phrase.words) - 1] = phrase.words),
 block AS (
-  SELECT id, list_distinct(words[b * {stride} + 1 : b * {stride} + {2 * stride}]) AS words
+  SELECT id, words[b * {stride} + 1 : b * {stride} + {2 * stride}] AS seq, list_distinct(seq) AS words
   FROM (SELECT id, words, unnest(range(0, (len(words) + {stride - 1}) // {stride})) AS b FROM text)),
-met AS (
-  SELECT id, label, len(list_intersect(block.words, template.words)) / len(template.words) AS share
+meets AS (
+  SELECT id, label, len(list_intersect(block.words, template.words)) / len(template.words) AS share,
+         seq, line, template.words AS sought, least, len(string_split(line, ' ')) AS size
   FROM block JOIN template ON len(list_intersect(block.words, template.words)) >= least),
+met AS (
+  SELECT id, label, share FROM meets
+  WHERE (label <> 'cc-by' OR NOT list_contains(sought, 'attribution') OR len(list_filter(
+           range(1, len(seq) + 1),
+           lambda i: seq[i] = 'attribution' AND NOT list_contains({listed(licenses.VARIANTS)}, coalesce(seq[i + 1], '')))) > 0)
+    AND CASE WHEN size <= 6 THEN
+          contains(' ' || array_to_string(list_filter(seq, lambda w: NOT list_contains({listed(licenses.FILLERS)}, w)), ' ') || ' ',
+                   ' ' || line || ' ')
+        ELSE len(list_filter(range(1, len(seq) + 1),
+                 lambda i: len(list_intersect(list_distinct(seq[i : i + 2 * size - 1]), sought)) >= least)) > 0 END),
 placed AS (
   SELECT id, count(*) AS n, min(pos) AS first, max(pos) AS last,
          string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM place GROUP BY id),

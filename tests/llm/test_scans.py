@@ -41,14 +41,25 @@ def plain_licenses(text):
         for i in range(len(words))
         if words[i : i + len(phrase.split())] == phrase.split()
     ]
-    sets = [(label, {w.decode() for w in licenses.words_of(t.encode())}) for label, t in licenses.TEMPLATES]
-    stride = max(len(licenses.words_of(t.encode())) for _, t in licenses.TEMPLATES)
+    templates = [(label, t.split()) for label, t in licenses.TEMPLATES]
+    stride = max(len(t) for _, t in templates)
     met = []
     for block, first in enumerate(range(0, len(words), stride)):
-        held = set(words[first : first + 2 * stride])
-        for label, template in sets:
-            share = len(held & template) / len(template)
-            if share >= licenses.THRESHOLD - 1e-9:
+        own = words[first : first + 2 * stride]
+        followed = {b for a, b in zip(own, [*own[1:], ""]) if a == "attribution"}
+        plain = followed - {"noncommercial", "sharealike", "noderivatives", "noderivs"}
+        kept = [w for w in own if w not in {"the", "a", "an", "of", "terms", "version", "v"}]
+        for label, template in templates:
+            share = len(set(own) & set(template)) / len(set(template))
+            if label == "cc-by" and "attribution" in template and not plain:
+                continue
+            if len(template) <= 6:
+                n = len(template)
+                if any(kept[i : i + n] == template for i in range(len(kept))):
+                    met.append((block, label, share))
+            elif any(
+                len(set(own[i : i + 2 * len(template)]) & set(template)) >= 0.8 * len(set(template)) - 1e-9 for i in range(len(own))
+            ):
                 met.append((block, label, share))
     return words, places, met
 
@@ -92,12 +103,25 @@ def test_each_form_of_a_notice_has_its_own_labels(spark):
         "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
         "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
         "Available under CC BY-ND 4.0": "cc-by,cc-by-nd",
-        "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by,cc-by-sa",
+        "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
         "Released under CC0": "cc0",
         "Released under the Unlicense": "unlicense",
         "This work is licensed under the GNU General Public License, version 3": "gpl",
         "All rights reserved.": "reserved",
         "Licensed under terms a b c 4.0": "",
+        "MIT License": "mit",
+        "SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "SPDX-License-Identifier: GPL-3.0-only": "gpl",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "cc-by-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.": (
+            "cc-by-nc,cc-by-nd"
+        ),
+        "The cc file was sent by post to nc": "",
+        "he was released under a plain bsd style license": "",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit",
         "He studied at MIT and holds a license": "",
     }
     texts = {n: f"some words before {notice} and after" for n, notice in enumerate(notices)}
@@ -510,7 +534,7 @@ def test_bombs_keep_their_spans_in_bounded_memory(monkeypatch, pack):
     tracemalloc.stop()
     assert [span[0] for span in base] == ["access"] and kinds_of(inner) == {"access", "assign"}
     assert {(a, b) for _, a, b in inner} == {(2, 2 + len(bomb.rstrip('=')))}
-    assert peak < 5_000_000
+    assert peak < (16_000_000 if pack is lzma.compress else 5_000_000)  # its dictionary
 
 
 def test_streams_inside_a_large_content_are_unpacked_as_they_come(monkeypatch):
