@@ -36,7 +36,8 @@ COVERED_PCT = 80
 TOP = 2000
 UNKNOWN = "und"
 
-CHUNK_BYTES = 4 * 1024**2
+CHUNK_BYTES = 3 * 1024**2
+BATCH_BYTES = 4 * 1024**2
 SLACK = 4  # times the least capacity that keeps every frequent phrase
 COUNTERS = 1 << 20  # of a bucket, about
 FILTER_BITS = 1 << 28
@@ -115,8 +116,12 @@ def summaries(buckets: int, longest: int) -> Callable[[Iterator[pa.RecordBatch]]
             for b in np.flatnonzero(np.diff(cuts)):
                 own, times = keys[cuts[b] : cuts[b + 1]], counts[cuts[b] : cuts[b + 1]]
                 mass[b] += times.sum()
-                rows.append((int(b), 0, packed(own), packed(times.astype(np.uint64))))
-            yield batch_of(rows)
+                rows.append((int(b), 0, packed(own, "<u8"), packed(times, "<u4")))
+                if sum(len(row[2]) for row in rows) >= BATCH_BYTES:
+                    yield batch_of(rows)
+                    rows = []
+            if rows:
+                yield batch_of(rows)
         yield batch_of([(int(b), int(mass[b]), None, None) for b in np.flatnonzero(mass)])
 
     return run
@@ -131,13 +136,15 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], SUMMARY.replace(",", "").split()[::2])
 
 
-def packed(numbers: np.ndarray) -> bytes:
-    """Eight planes of bytes: the high ones of sorted numbers compress well."""
-    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def packed(numbers: np.ndarray, kind: str) -> bytes:
+    """A plane for each byte of the numbers: the high ones of sorted numbers compress well."""
+    planes = numbers.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+    return np.ascontiguousarray(planes.T).tobytes()
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8")[:, 0]
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind)[:, 0]
 
 
 class Summary:
@@ -193,7 +200,7 @@ def merged(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 mass += m
                 if keys is not None:
                     summary = summary or Summary(SLACK * (mass // least + 1))
-                    summary.add(unpacked(keys), unpacked(counts))
+                    summary.add(unpacked(keys, "<u8"), unpacked(counts, "<u4").astype(np.uint64))
         yield from ended()
 
     return run

@@ -111,7 +111,9 @@ def test_a_summary_keeps_all_that_is_frequent(parts, least):
 
 def test_packed_numbers_come_back():
     numbers = np.array([0, 1, 255, 2**40, 2**64 - 1], np.uint64)
-    assert phrases.unpacked(phrases.packed(numbers)).tolist() == numbers.tolist()
+    assert phrases.unpacked(phrases.packed(numbers, "<u8"), "<u8").tolist() == numbers.tolist()
+    assert phrases.unpacked(phrases.packed(numbers[:3], "<u4"), "<u4").tolist() == [0, 1, 255]
+    assert phrases.unpacked(phrases.packed(numbers[:0], "<u4"), "<u4").tolist() == []
 
 
 def test_phrases_with_one_hash_are_counted_apart(spark, monkeypatch):
