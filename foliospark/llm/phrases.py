@@ -142,7 +142,7 @@ def packed(numbers: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(planes.T).tobytes()
 
 
-def unpacked(data: bytes, kind: str) -> np.ndarray:
+def unpacked(data: bytes | pa.Buffer, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind)[:, 0]
 
@@ -193,14 +193,14 @@ def merged(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 yield pa.RecordBatch.from_arrays([pa.array(summary.frequent(least).view(np.int64))], ["hash"])
 
         for batch in batches:
-            for b, m, keys, counts in zip(*(column.to_pylist() for column in batch.columns)):
+            for b, m, keys, counts in zip(batch[0].to_pylist(), batch[1].to_pylist(), batch[2], batch[3]):
                 if b != bucket:
                     yield from ended()
                     bucket, mass, summary = b, 0, None
                 mass += m
-                if keys is not None:
+                if keys.is_valid:
                     summary = summary or Summary(SLACK * (mass // least + 1))
-                    summary.add(unpacked(keys, "<u8"), unpacked(counts, "<u4").astype(np.uint64))
+                    summary.add(unpacked(keys.as_buffer(), "<u8"), unpacked(counts.as_buffer(), "<u4").astype(np.uint64))
         yield from ended()
 
     return run
@@ -307,7 +307,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     # A phrase starts at every second byte at most.
     buckets = max(4 * parts, -(-size * longest * SLACK // (2 * least * COUNTERS)))
     sent = texts.mapInArrow(summaries(buckets, longest), SUMMARY)
-    sent = sent.repartition("bucket").sortWithinPartitions("bucket", F.col("hashes").isNotNull())
+    # A partition may cross to Python in one batch, so there are as many as would be buckets at least.
+    sent = sent.repartition(4 * parts, "bucket").sortWithinPartitions("bucket", F.col("hashes").isNotNull())
     survivors = checkpointed(sent.mapInArrow(merged(least), "hash long"))
     return checkpointed(exact(texts, survivors, longest).filter((F.col("words") == 0) | (F.col("a") >= least)))
 
