@@ -175,8 +175,11 @@ def pair_terms(machine: Machine, features: list[np.ndarray], labels: np.ndarray,
     Pairs are added up in hashed bins first; those in bins that stand out are then added up one by one.
     """
     rows = [known_places(machine.terms, text) for text in features]
-    error = labels - probability(machine.logits(*flattened([set(row.tolist()) for row in rows]), 0))
-    texts = np.bincount(np.concatenate(rows), minlength=len(machine.terms))
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    places = np.concatenate(rows)
+    error = labels - probability(machine.logits(places, np.cumsum(sizes) - sizes, sizes, 0))
+    texts = np.bincount(places, minlength=len(machine.terms))
+    del places
     rare = texts <= max(settings.pair_share * len(rows), settings.least_texts)
     wrong = [(rows[i][rare[rows[i]]], error[i]) for i in np.flatnonzero(np.abs(error) >= settings.pair_error)]
 
@@ -189,13 +192,14 @@ def pair_terms(machine: Machine, features: list[np.ndarray], labels: np.ndarray,
 
     met = sum(len(own) * (len(own) - 1) // 2 for own, _ in wrong)
     bar = (2 * np.log(max(2, min(met, len(machine.terms) ** 2 // 2)))) ** 0.5
-    total, squares = np.zeros(PAIR_BINS), np.zeros(PAIR_BINS)
+    total, squares = np.zeros(PAIR_BINS, np.float32), np.zeros(PAIR_BINS, np.float32)
     for own, e in wrong:
         for _, _, bins in pairs(own):
-            np.add.at(total, bins, e)
-            np.add.at(squares, bins, e * e)
+            np.add.at(total, bins, np.float32(e))
+            np.add.at(squares, bins, np.float32(e * e))
     # Pairs that share a bin blur it, so the bar is lower here than for a pair by itself.
-    high = np.abs(total) >= 0.6 * bar * np.sqrt(squares) + 1e-9
+    high = np.abs(total) >= 0.8 * bar * np.sqrt(squares) + 1e-6
+    del total, squares
     sums: dict[tuple[int, int], list[float]] = {}
     for own, e in wrong:
         for one, others, bins in pairs(own):
