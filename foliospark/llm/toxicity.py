@@ -174,14 +174,17 @@ def pair_terms(machine: Machine, features: list[np.ndarray], labels: np.ndarray,
     A gradient stands out if it is as large, over its own spread, as chance makes hardly any of so many pairs.
     Pairs are added up in hashed bins first; those in bins that stand out are then added up one by one.
     """
-    rows = [known_places(machine.terms, text) for text in features]
-    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    places = np.concatenate(rows)
-    error = labels - probability(machine.logits(places, np.cumsum(sizes) - sizes, sizes, 0))
-    texts = np.bincount(places, minlength=len(machine.terms))
-    del places
+    rows = [known_places(machine.terms, text).astype(np.int32) for text in features]
+    error, texts = np.zeros(len(rows)), np.zeros(len(machine.terms), np.int64)
+    for first in range(0, len(rows), settings.batch):
+        some = slice(first, first + settings.batch)
+        sizes = np.fromiter(map(len, rows[some]), np.int64)
+        places = np.concatenate(rows[some])
+        error[some] = labels[some] - probability(machine.logits(places, np.cumsum(sizes) - sizes, sizes, 0))
+        texts += np.bincount(places, minlength=len(texts))
     rare = texts <= max(settings.pair_share * len(rows), settings.least_texts)
     wrong = [(rows[i][rare[rows[i]]], error[i]) for i in np.flatnonzero(np.abs(error) >= settings.pair_error)]
+    del rows
 
     def pairs(own: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """A term, those behind it, and the bins of the pairs."""
