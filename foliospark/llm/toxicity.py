@@ -203,20 +203,20 @@ def pair_terms(machine: Machine, features: list[np.ndarray], labels: np.ndarray,
     # Pairs that share a bin blur it, so the bar is lower here than for a pair by itself.
     high = np.abs(total) >= 0.8 * bar * np.sqrt(squares) + 1e-6
     del total, squares
-    sums: dict[tuple[int, int], list[float]] = {}
+    count = len(machine.terms)
+    codes, errors = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
     for own, e in wrong:
         for one, others, bins in pairs(own):
-            for other in others[high[bins]].tolist():
-                entry = sums.setdefault((one, other), [0.0, 0.0, 0.0])
-                entry[0] += e
-                entry[1] += e * e
-                entry[2] += 1
-    stand_out = [
-        pair
-        for pair, (gradient, square, n) in sums.items()
-        if n >= settings.least_texts and abs(gradient) >= bar * square**0.5
-    ]
-    return np.unique(np.array(stand_out, np.int64))
+            met_here = others[high[bins]].astype(np.int64)
+            if len(met_here):
+                codes.append(one * count + met_here)
+                errors.append(np.full(len(met_here), e, np.float32))
+    pair, of = np.unique(np.concatenate(codes), return_inverse=True)
+    weight = np.concatenate(errors)
+    gradient, square = np.bincount(of, weight, len(pair)), np.bincount(of, weight * weight, len(pair))
+    often = np.bincount(of, minlength=len(pair)) >= settings.least_texts
+    found = pair[often & (np.abs(gradient) >= bar * np.sqrt(square))]
+    return np.unique(np.concatenate([found // max(1, count), found % max(1, count)]))
 
 
 def train(
