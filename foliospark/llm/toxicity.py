@@ -22,7 +22,7 @@ ids each get their own result. Without any label of one of the two classes every
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import chain
@@ -165,14 +165,16 @@ def fit(features: list[np.ndarray], labels: np.ndarray, settings: Settings = Set
     return machine
 
 
-PAIR_BINS = 1 << 22
+GATHERED = 1 << 20
 
 
 def pair_terms(machine: Machine, features: list[np.ndarray], labels: np.ndarray, settings: Settings) -> np.ndarray:
     """Places of the terms of all pairs whose gradient stands out.
 
-    A gradient stands out if it is as large, over its own spread, as chance makes hardly any of so many pairs.
-    Pairs are added up in hashed bins first; those in bins that stand out are then added up one by one.
+    A gradient stands out if it is as large, over its own spread, as chance makes hardly any of so many pairs. A sum of n errors
+    is at most the root of n times their spread, so the bar's square is a number of texts that a pair must share, and
+    terms in fewer of them are left out first. The rest is added up exactly, the pairs of one term at a time, so that no
+    more is held than a number for each term and ``GATHERED`` entries of texts.
     """
     rows = [known_places(machine.terms, text).astype(np.int32) for text in features]
     error, texts = np.zeros(len(rows)), np.zeros(len(machine.terms), np.int64)
@@ -183,40 +185,42 @@ def pair_terms(machine: Machine, features: list[np.ndarray], labels: np.ndarray,
         error[some] = labels[some] - probability(machine.logits(places, np.cumsum(sizes) - sizes, sizes, 0))
         texts += np.bincount(places, minlength=len(texts))
     rare = texts <= max(settings.pair_share * len(rows), settings.least_texts)
-    wrong = [(rows[i][rare[rows[i]]], error[i]) for i in np.flatnonzero(np.abs(error) >= settings.pair_error)]
-    del rows
-
-    def pairs(own: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """A term, those behind it, and the bins of the pairs."""
-        mixed = own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        for k in range(len(own) - 1):
-            bins = (mixed[k] ^ (mixed[k + 1 :] >> np.uint64(21))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(42)
-            yield int(own[k]), own[k + 1 :], bins.astype(np.int64)
-
-    met = sum(len(own) * (len(own) - 1) // 2 for own, _ in wrong)
+    wrong = np.flatnonzero(np.abs(error) >= settings.pair_error)
+    rows, error = [rows[i][rare[rows[i]]] for i in wrong], error[wrong]
+    met = sum(len(row) * (len(row) - 1) // 2 for row in rows)
     bar = (2 * np.log(max(2, min(met, len(machine.terms) ** 2 // 2)))) ** 0.5
-    total, squares = np.zeros(PAIR_BINS, np.float32), np.zeros(PAIR_BINS, np.float32)
-    for own, e in wrong:
-        for _, _, bins in pairs(own):
-            np.add.at(total, bins, np.float32(e))
-            np.add.at(squares, bins, np.float32(e * e))
-    # Pairs that share a bin blur it, so the bar is lower here than for a pair by itself.
-    high = np.abs(total) >= 0.8 * bar * np.sqrt(squares) + 1e-6
-    del total, squares
-    count = len(machine.terms)
-    codes, errors = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
-    for own, e in wrong:
-        for one, others, bins in pairs(own):
-            met_here = others[high[bins]].astype(np.int64)
-            if len(met_here):
-                codes.append(one * count + met_here)
-                errors.append(np.full(len(met_here), e, np.float32))
-    pair, of = np.unique(np.concatenate(codes), return_inverse=True)
-    weight = np.concatenate(errors)
-    gradient, square = np.bincount(of, weight, len(pair)), np.bincount(of, weight * weight, len(pair))
-    often = np.bincount(of, minlength=len(pair)) >= settings.least_texts
-    found = pair[often & (np.abs(gradient) >= bar * np.sqrt(square))]
-    return np.unique(np.concatenate([found // max(1, count), found % max(1, count)]))
+    least = max(settings.least_texts, int(np.ceil(bar**2)))
+    texts[:] = 0
+    for row in rows:
+        texts[row] += 1
+    kept = np.flatnonzero(texts >= least)
+    number = np.full(len(texts), -1, np.int32)
+    number[kept] = np.arange(len(kept), dtype=np.int32)
+    rows = [numbers[numbers >= 0] for numbers in (number[row] for row in rows)]
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    flat = np.concatenate([np.empty(0, np.int32), *rows])
+    holders = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)[np.argsort(flat, kind="stable")]
+    ends = np.cumsum(np.bincount(flat, minlength=len(kept)))
+    found = np.zeros(len(kept), bool)
+    for term in range(len(kept)):
+        held = holders[ends[term] - texts[kept[term]] : ends[term]]
+        runs = np.split(held, np.flatnonzero(np.diff(np.cumsum(sizes[held]) // GATHERED)) + 1)
+        shared = sum(np.bincount(np.concatenate([rows[i] for i in run]), minlength=len(kept)) for run in runs)
+        often = shared >= least
+        often[: term + 1] = False
+        if not often.any():
+            continue
+        gradient, square = np.zeros(len(kept)), np.zeros(len(kept))
+        for run in runs:
+            others = np.concatenate([rows[i] for i in run])
+            each = np.repeat(error[run], sizes[run])[often[others]]
+            others = others[often[others]]
+            gradient += np.bincount(others, each, len(kept))
+            square += np.bincount(others, each * each, len(kept))
+        strong = often & (np.abs(gradient) >= bar * np.sqrt(square))
+        found |= strong
+        found[term] |= strong.any()
+    return kept[found]
 
 
 def train(
