@@ -12,6 +12,7 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.numeric import half_up, ratio
 from .plans import entity
 
 AS_OF = dt.date(2000, 6, 30)
@@ -292,6 +293,21 @@ class Tables:
         summed = priced.groupBy("ticker_symbol", "day", "price").agg(F.sum("quantity").alias("quantity"))
         return summed.withColumn("id", (F.col("price") * 100).cast("long"))
 
+    @cached_property
+    def yearly_positions(self) -> DataFrame:
+        """What each kind of account bought of a ticker in a year, at that year's mean price and at the next year's."""
+        bought = self.customer_holdings.groupBy(
+            "ticker_symbol", "account_type", F.year("purchase_date").alias("year")
+        ).agg(F.sum("shares_held").alias("shares"), F.sum(F.col("shares_held") * F.col("cost_basis")).alias("cost"))
+        price = half_up(ratio(F.sum("cost").cast("double"), F.sum("shares").cast("double"))).cast("decimal(18,2)")
+        prices = bought.groupBy("ticker_symbol", "year").agg(price.alias("price"))
+        later = prices.select("ticker_symbol", (F.col("year") - 1).alias("year"), F.col("price").alias("next_price"))
+        parts = self.raw("part").selectExpr("'P' || p_partkey as ticker_symbol", "p_type as category", "p_brand as brand")
+        shares = F.col("shares").cast("decimal(18,2)")
+        return bought.join(prices.join(later, ["ticker_symbol", "year"]), ["ticker_symbol", "year"]).join(parts, "ticker_symbol").select(
+            "account_type", "year", "category", "brand", (shares * F.col("price")).alias("start"), (shares * F.col("next_price")).alias("end")
+        )
+
     @cached_property
     def orders(self) -> DataFrame:
         return self.raw("orders").selectExpr(

@@ -21,7 +21,7 @@ from .operators import temporal, trace
 from .operators.asof import asof_join, by_days, by_width
 from .operators.changes import change_set
 from .operators.distribution import share_of_total
-from .plans import datasets, enrich, entity, history, hybrid, lookup, ranking, rollup, taxlots
+from .plans import datasets, enrich, entity, history, hybrid, lookup, performance, ranking, rollup, taxlots
 from .sources.managed import query as sql_query
 from .streaming import live
 
@@ -504,6 +504,13 @@ def _(t: Tables) -> DataFrame:
     return doubles(taxlots.realised(sales, taxlots.highest_cost_first(lots, sales, keys), keys))
 
 
+@_register("q44_attribution")
+def _(t: Tables) -> DataFrame:
+    """Each kind of account against all of them, by category and brand."""
+    held = t.yearly_positions
+    return performance.attribution(held, held.drop("account_type"), ["account_type"], "year", ["category", "brand"])
+
+
 @_register("asof_price")
 def _(t: Tables) -> DataFrame:
     """Each lot with the last sale of its ticker on or before its day."""

@@ -896,6 +896,59 @@ QUERIES = {
                                                 rows unbounded preceding) as until
                   from trades where is_sale and day >= date '1999-01-01')
         ), {GAINS}""",
+    "q44_attribution": f"""
+        , bought as (
+            select ticker_symbol, account_type, year(purchase_date) as year, shares_held, cost_basis from customer_holdings
+        ), price as (
+            select ticker_symbol, year,
+                   {r("sum(shares_held * cost_basis)::double / sum(shares_held)::double")}::decimal(18,2) as price
+            from bought group by all
+        ), position as (
+            select account_type, b.year, p_type as category, p_brand as brand,
+                   shares_held * p.price as worth, shares_held * n.price as later
+            from bought b join price p using (ticker_symbol, year)
+            join price n on n.ticker_symbol = b.ticker_symbol and n.year = b.year + 1
+            join part on 'P' || p_partkey = b.ticker_symbol
+        ), leaf as (
+            select account_type, m.year, category, brand, h.worth, h.later, m.worth as m_worth, m.later as m_later
+            from (select distinct account_type, year from position) a
+            join (select year, category, brand, sum(worth) as worth, sum(later) as later from position group by all) m using (year)
+            left join (select account_type, year, category, brand, sum(worth) as worth, sum(later) as later
+                       from position group by all) h using (account_type, year, category, brand)
+        ), whole as (
+            select account_type, year, sum(worth) as worth, sum(m_worth) as m_worth,
+                   sum(later)::double / sum(worth)::double as grown, sum(m_later)::double / sum(m_worth)::double as m_grown
+            from leaf group by all
+        ), linked as (
+            select w.*, coalesce((select product(e.grown) from whole e
+                                  where e.account_type = w.account_type and e.year < w.year), 1)
+                        * coalesce((select product(l.m_grown) from whole l
+                                    where l.account_type = w.account_type and l.year > w.year), 1) as carried,
+                   product(grown) over (partition by account_type) - 1 as rp,
+                   product(m_grown) over (partition by account_type) - 1 as rb
+            from whole w
+        ), rates as (
+            select account_type, category, brand, carried, rp, rb, m_grown,
+                   coalesce(l.worth, 0)::double / w.worth::double as share, l.m_worth::double / w.m_worth::double as m_share,
+                   l.m_later::double / l.m_worth::double as seg,
+                   coalesce(l.later::double / l.worth::double, l.m_later::double / l.m_worth::double) as own
+            from leaf l join linked w using (account_type, year)
+        ), effects as (
+            select account_type, category, brand, rp, rb,
+                   ((share - m_share) * (seg - m_grown) * carried)::decimal(38,10) as allocation,
+                   (m_share * (own - seg) * carried)::decimal(38,10) as selection,
+                   ((share - m_share) * (own - seg) * carried)::decimal(38,10) as interaction
+            from rates
+        )
+        select account_type, category, brand,
+               case when grouping(category) = 0 and grouping(brand) = 0 then 'category,brand'
+                    when grouping(category) = 0 then 'category' when grouping(brand) = 0 then 'brand' else 'total' end as level,
+               sum(allocation)::double as allocation, sum(selection)::double as selection,
+               sum(interaction)::double as interaction,
+               (sum(allocation) + sum(selection) + sum(interaction))::double as excess,
+               {r("max(rp)", 8)} as portfolio_return, {r("max(rb)", 8)} as benchmark_return
+        from effects
+        group by grouping sets ((account_type, category, brand), (account_type, category), (account_type, brand), (account_type))""",
     "asof_price": f"""
         {TRADES}, quoted as (
             select ticker_symbol, day, min(price) as last_price from trades where is_sale group by all
