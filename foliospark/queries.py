@@ -21,7 +21,7 @@ from .operators import temporal, trace
 from .operators.asof import asof_join, by_days, by_width
 from .operators.changes import change_set
 from .operators.distribution import share_of_total
-from .plans import datasets, enrich, entity, history, hybrid, lookup, performance, ranking, rollup, taxlots
+from .plans import datasets, enrich, entity, history, hybrid, lookup, performance, ranking, rollup, taxlots, trends
 from .sources.managed import query as sql_query
 from .streaming import live
 
@@ -511,6 +511,18 @@ def _(t: Tables) -> DataFrame:
     return performance.attribution(held, held.drop("account_type"), ["account_type"], "year", ["category", "brand"])
 
 
+@_register("q45_sales_trends")
+def _(t: Tables) -> DataFrame:
+    """Quarterly value traded of each ticker."""
+    day = F.col("l_shipdate")
+    lines = t.raw("lineitem").select(
+        F.concat(F.lit("P"), F.col("l_partkey")).alias("ticker_symbol"),
+        (F.year(day) * 4 + F.quarter(day)).alias("quarter"),
+        F.col("l_extendedprice").alias("sales"),
+    )
+    return doubles(trends.trends(lines, ["ticker_symbol"], "quarter", "sales"))
+
+
 @_register("asof_price")
 def _(t: Tables) -> DataFrame:
     """Each lot with the last sale of its ticker on or before its day."""

@@ -949,6 +949,28 @@ QUERIES = {
                {r("max(rp)", 8)} as portfolio_return, {r("max(rb)", 8)} as benchmark_return
         from effects
         group by grouping sets ((account_type, category, brand), (account_type, category), (account_type, brand), (account_type))""",
+    "q45_sales_trends": f"""
+        , quarterly as (
+            select 'P' || l_partkey as ticker_symbol, (year(l_shipdate) * 4 + quarter(l_shipdate))::int as quarter,
+                   sum(l_extendedprice::decimal(28,4)) as sales
+            from lineitem group by all
+        ), compared as (
+            select q.*, sign(q.sales - b.sales)::int as direction,
+                   {r("(q.sales::double - e.sales::double) / nullif(e.sales::double, 0) * 100.0")} as growth_pct
+            from quarterly q
+            left join quarterly b on b.ticker_symbol = q.ticker_symbol and b.quarter = q.quarter - 1
+            left join quarterly e on e.ticker_symbol = q.ticker_symbol and e.quarter = q.quarter - 4
+        ), islands as (
+            select *, quarter - row_number() over (partition by ticker_symbol, direction order by quarter) as island
+            from compared
+        )
+        select ticker_symbol, quarter, sales::double as sales,
+               (select case when count(*) = 4 then sum(p.sales) end from quarterly p
+                where p.ticker_symbol = i.ticker_symbol and p.quarter between i.quarter - 3 and i.quarter)::double as trailing,
+               growth_pct, direction,
+               (case when direction is null then 0
+                     else row_number() over (partition by ticker_symbol, direction, island order by quarter) end)::int as streak
+        from islands i""",
     "asof_price": f"""
         {TRADES}, quoted as (
             select ticker_symbol, day, min(price) as last_price from trades where is_sale group by all
