@@ -337,6 +337,27 @@ def test_rare_neutral_terms_tell_together():
     assert scores(linear, lambda f: 1 in f and 2 in f) < 0.5
 
 
+def test_the_pair_screen_equals_all_pairs(monkeypatch):
+    random = np.random.default_rng(5)
+    features = [np.flatnonzero(random.random(40) < 0.3).astype(np.int32) for _ in range(900)]
+    labels = np.array([float({3, 7} <= set(text) or {11, 30} <= set(text)) for text in features])
+    bias = float(np.log(labels.mean() / (1 - labels.mean())))
+    machine = toxicity.Machine(np.arange(40, dtype=np.int32), np.zeros(40), np.zeros((40, 1)), bias)
+    settings = toxicity.Settings(pair_share=1.0)
+    error = labels - labels.mean()
+    bar = (2 * np.log(40**2 // 2)) ** 0.5
+    expected = set()
+    for one in range(40):
+        for other in range(one + 1, 40):
+            both = error[[one in text and other in text for text in features]]
+            if len(both) >= settings.least_texts and abs(both.sum()) >= bar * np.sqrt((both**2).sum()):
+                expected |= {one, other}
+    assert {3, 7, 11, 30} <= expected and len(expected) < 40
+    found = toxicity.pair_terms(machine, features, labels, settings)
+    monkeypatch.setattr(toxicity, "GATHERED", 50)
+    assert set(found.tolist()) == expected == set(toxicity.pair_terms(machine, features, labels, settings).tolist())
+
+
 def test_the_pair_sum_equals_all_pairs():
     random = np.random.default_rng(2)
     machine = toxicity.Machine(np.arange(6, dtype=np.int32), random.normal(size=6), random.normal(size=(6, 3)), 0.5)
