@@ -51,7 +51,8 @@ def interval_join(
     held = held.withColumn("_stretch", F.explode(F.sequence(stretch(F.col("_low")), stretch(F.col("_high")))))
     # Rows of one key and day ask once, so a hot key asks as often as there are days.
     asked = left.select(*keys, day).distinct().withColumn("_stretch", stretch(F.col(day)))
-    met = asked.join(held, [*keys, "_stretch"])
+    # The plan sizes ``held`` by its scan, not by the stretches it is exploded into: never broadcast it.
+    met = asked.join(held.hint("merge"), [*keys, "_stretch"])
     met = met.filter(F.col(day).cast("date").between(F.col("_low"), F.col("_high")))
     rest = [name for name in right.columns if name not in keys]
     return left.join(met.select(*keys, day, *rest), [*keys, day], how).select(*left.columns, *rest)

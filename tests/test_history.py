@@ -166,6 +166,18 @@ def test_a_symbol_and_day_meet_one_security(spark):
         interval_join(frame, frame, ["ticker_symbol"], "purchase_date", "a", "b", how="right")
 
 
+def test_exploded_intervals_are_not_broadcast(spark, tmp_path):
+    """A small scan explodes into many stretches: its size in the plan is no bound for the driver."""
+    left = spark.createDataFrame([(1, "a", day(3))], "id int, key string, at date")
+    right = spark.createDataFrame([("a", "x", None, None)], "key string, name string, since date, until date")
+    right.write.parquet(str(tmp_path / "right"))
+    right = spark.read.parquet(str(tmp_path / "right"))
+    found = interval_join(left, right, ["key"], "at", "since", "until", span=(day(0), day(4000)))
+    assert found.count() == 1
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in text.splitlines() if "BroadcastHashJoin" in line and "_stretch" in line]
+
+
 # Change sets.
 
 TABLE = "id bigint, name string, amount double, note string"
