@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cache, cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.numeric import half_up, ratio
@@ -299,12 +299,18 @@ class Tables:
         bought = self.customer_holdings.groupBy(
             "ticker_symbol", "account_type", F.year("purchase_date").alias("year")
         ).agg(F.sum("shares_held").alias("shares"), F.sum(F.col("shares_held") * F.col("cost_basis")).alias("cost"))
-        price = half_up(ratio(F.sum("cost").cast("double"), F.sum("shares").cast("double"))).cast("decimal(18,2)")
-        prices = bought.groupBy("ticker_symbol", "year").agg(price.alias("price"))
-        later = prices.select("ticker_symbol", (F.col("year") - 1).alias("year"), F.col("price").alias("next_price"))
+        # Prices by windows over the one aggregate, so that the lots (lineitem joined with orders) are read once.
+        bought = bought.dropna(subset=["ticker_symbol", "year"])
+        year = Window.partitionBy("ticker_symbol", "year")
+        price = half_up(ratio(F.sum("cost").over(year).cast("double"), F.sum("shares").over(year).cast("double")))
+        bought = bought.withColumn("price", price.cast("decimal(18,2)"))
+        following = Window.partitionBy("ticker_symbol").orderBy("year").rangeBetween(1, 1)
+        bought = bought.withColumns(
+            {"next_year": F.max("year").over(following), "next_price": F.max("price").over(following)}
+        ).filter(F.col("next_year").isNotNull())
         parts = self.raw("part").selectExpr("'P' || p_partkey as ticker_symbol", "p_type as category", "p_brand as brand")
         shares = F.col("shares").cast("decimal(18,2)")
-        return bought.join(prices.join(later, ["ticker_symbol", "year"]), ["ticker_symbol", "year"]).join(parts, "ticker_symbol").select(
+        return bought.join(parts, "ticker_symbol").select(
             "account_type", "year", "category", "brand", (shares * F.col("price")).alias("start"), (shares * F.col("next_price")).alias("end")
         )
 

@@ -239,3 +239,9 @@ def test_a_hot_ticker_is_split_in_the_anti_join(spark, market, skew_sensitive):
     missing = resolve.unmatched_holdings(coverage, lots)
     assert re.search(r"SortMergeJoin\(skew=true\)", executed(missing))
     assert missing.count() == 20_000
+
+
+def test_attribution_reads_the_lots_once(tables, no_broadcast):
+    """Prices of a year and of the next come from the one aggregate of the lots, not from lineitem and orders again."""
+    text = executed(registered.BUILDERS["q44_attribution"](tables))
+    assert len(re.findall(r"FileScan parquet [^\n]*orders\.parquet", text)) == 1
