@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def _segments(lots: DataFrame, sales: DataFrame, keys: Sequence[str], cut: Cut |
         renamed = (F.col(c).alias(f"{name}_{c}") for c in ("day", "id", "price", "start", "end"))
         return df.select(*keys, *renamed)
 
-    lots, sales = side(lots, "lot"), side(sales, "sale")
+    # Each side feeds the ends and both as-of joins, several reads each: work it out once, not once per read.
+    lots, sales = (side(df, name).localCheckpoint(storageLevel=StorageLevel.DISK_ONLY) for df, name in ((lots, "lot"), (sales, "sale")))
     ends = lots.select(*keys, F.col("lot_end").alias("end")).unionByName(sales.select(*keys, F.col("sale_end").alias("end")))
     ends = ends.distinct()
     for df, name in ((lots, "lot"), (sales, "sale")):

@@ -245,3 +245,10 @@ def test_attribution_reads_the_lots_once(tables, no_broadcast):
     """Prices of a year and of the next come from the one aggregate of the lots, not from lineitem and orders again."""
     text = executed(registered.BUILDERS["q44_attribution"](tables))
     assert len(re.findall(r"FileScan parquet [^\n]*orders\.parquet", text)) == 1
+
+
+def test_fifo_works_out_lots_and_sales_once(tables):
+    """The segments read the trades only through the two materialised sides, and the realised sums read the sales once more."""
+    text = registered.BUILDERS["q43_realised_gains_fifo"](tables)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet [^\n]*lineitem\.parquet", text)) == 1
+    assert not re.findall(r"FileScan parquet [^\n]*orders\.parquet", text)
