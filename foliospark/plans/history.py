@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +71,8 @@ def point_in_time(
     held = lots.withColumn("ticker_region", normalize_symbol(F.col(symbol_col), region))
     facts = facts_by_ticker(sym, ff_map, ff)
     held = held.join(facts.select("ticker_region").distinct(), "ticker_region", "left_semi")
-    days = held.select("ticker_region", date_col).distinct()  # all below is done once for each
+    # All below is done once for each; worked out once, since each as-of join below reads its left side several times.
+    days = held.select("ticker_region", date_col).distinct().localCheckpoint(storageLevel=StorageLevel.DISK_ONLY)
     known = asof_join(
         days, facts, ["ticker_region"], date_col, "fiscal_date", ["fiscal_date", *FACTS], cut=cut
     )

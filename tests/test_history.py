@@ -129,6 +129,11 @@ def test_point_in_time_plan(spark):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_point_in_time_derives_the_lots_once(spark):
+    text = introspect.explain_text(registered.BUILDERS["q41_point_in_time"](Tables(spark, "/root/testdata/sf0.001")), "simple")
+    assert sum("Scan" in line and "orders" in line for line in text.splitlines()) == 1
+
+
 # Intervals.
 
 
