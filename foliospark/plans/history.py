@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import publish
 from ..functions import metrics as M
 from ..functions import rules as R
 from ..functions.symbols import normalize_symbol
@@ -72,7 +72,7 @@ def point_in_time(
     facts = facts_by_ticker(sym, ff_map, ff)
     held = held.join(facts.select("ticker_region").distinct(), "ticker_region", "left_semi")
     # All below is done once for each; worked out once, since each as-of join below reads its left side several times.
-    days = held.select("ticker_region", date_col).distinct().localCheckpoint(storageLevel=StorageLevel.DISK_ONLY)
+    days = _kept(held.select("ticker_region", date_col).distinct())
     known = asof_join(
         days, facts, ["ticker_region"], date_col, "fiscal_date", ["fiscal_date", *FACTS], cut=cut
     )
@@ -108,6 +108,14 @@ def point_in_time(
     )
 
 
+def _kept(frame: DataFrame) -> DataFrame:
+    """The frame's rows, worked out once into the folder that all executors share, so a lost executor loses none."""
+    context = frame.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(f"{publish.working_folder(frame.sparkSession)}/checkpoints")
+    return frame.checkpoint()
+
+
 def _figures() -> dict[str, Column]:
     sales, income, equity = F.col("FF_SALES"), F.col("FF_NET_INCOME"), F.col("FF_COM_EQ")
     short, long = F.col("FF_DEBT_ST"), F.col("FF_DEBT_LT")
