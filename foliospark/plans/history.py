@@ -72,7 +72,7 @@ def point_in_time(
     facts = facts_by_ticker(sym, ff_map, ff)
     held = held.join(facts.select("ticker_region").distinct(), "ticker_region", "left_semi")
     # All below is done once for each; worked out once, since each as-of join below reads its left side several times.
-    days = _kept(held.select("ticker_region", date_col).distinct())
+    days = kept(held.select("ticker_region", date_col).distinct())
     known = asof_join(
         days, facts, ["ticker_region"], date_col, "fiscal_date", ["fiscal_date", *FACTS], cut=cut
     )
@@ -108,7 +108,7 @@ def point_in_time(
     )
 
 
-def _kept(frame: DataFrame) -> DataFrame:
+def kept(frame: DataFrame) -> DataFrame:
     """The frame's rows, worked out once into the folder that all executors share, so a lost executor loses none."""
     context = frame.sparkSession.sparkContext
     if not context.getCheckpointDir():

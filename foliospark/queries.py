@@ -529,6 +529,8 @@ def _(t: Tables) -> DataFrame:
     prices = temporal.latest_per_key(t.trades(sold=True), ["ticker_symbol", "day"], "day", ["price"])
     prices = prices.select("ticker_symbol", "day", F.col("price").alias("last_price"))
     lots = t.customer_holdings.select("customer_id", "ticker_symbol", "shares_held", "purchase_date")
+    # The as-of join reads both sides more than once: work out the lots (lineitem joined with orders) and prices once.
+    lots, prices = history.kept(lots), history.kept(prices)
     found = asof_join(lots, prices, ["ticker_symbol"], "purchase_date", "day", ["day", "last_price"], cut=by_days(366))
     return doubles(found)
 

@@ -134,6 +134,11 @@ def test_point_in_time_derives_the_lots_once(spark):
     assert sum("Scan" in line and "orders" in line for line in text.splitlines()) == 1
 
 
+def test_asof_price_derives_each_side_once(spark):
+    text = introspect.explain_text(registered.BUILDERS["asof_price"](Tables(spark, "/root/testdata/sf0.001")), "simple")
+    assert not any("Scan" in line and ("orders" in line or "lineitem" in line) for line in text.splitlines())
+
+
 # Intervals.
 
 
