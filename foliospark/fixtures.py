@@ -274,10 +274,11 @@ class Tables:
                        cast(null as date) as valid_to)))""",
         )
 
-    def trades(self, sold: bool) -> DataFrame:
+    def trades(self, sold: bool, together: bool = False) -> DataFrame:
         """Returned lines as sales on the day they were shipped, all others as lots bought with their order.
 
-        Trades of one ticker, day and price are one trade; the price is its id.
+        Trades of one ticker, day and price are one trade; the price is its id. ``together`` puts a ticker's trades into one
+        partition, for what follows by ticker.
         """
         if sold:
             lines = self.raw("lineitem").where("l_returnflag = 'R'").withColumn("day", F.col("l_shipdate").cast("date"))
@@ -290,9 +291,16 @@ class Tables:
             "cast(l_quantity as decimal(18,2)) as quantity",
             "cast(round(cast(l_extendedprice / l_quantity as decimal(18,6)), 2) as decimal(18,2)) as price",
         )
+        if together:
+            priced = priced.repartition("ticker_symbol")
         summed = priced.groupBy("ticker_symbol", "day", "price").agg(F.sum("quantity").alias("quantity"))
         return summed.withColumn("id", (F.col("price") * 100).cast("long"))
 
+    @property
+    def traded_tickers(self) -> DataFrame:
+        """The ticker of each line."""
+        return self.raw("lineitem").selectExpr("'P' || l_partkey as ticker_symbol")
+
     @cached_property
     def yearly_positions(self) -> DataFrame:
         """What each kind of account bought of a ticker in a year, at that year's mean price and at the next year's."""

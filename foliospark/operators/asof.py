@@ -4,6 +4,9 @@ Both tables are united and sorted by key and time, and a running ``last`` that s
 range join, and work in proportion to the rows. Many rows that ask about one moment of a key ask once. ``cut`` splits a
 key's time into stretches that different tasks sort; what was last before a stretch is carried into it, so a hot key has no
 task of its own.
+
+Left rows that are alone at their keys and time (``once``) ride along in that window: nothing is joined back, and where both
+sides are already partitioned by some of the keys nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -37,12 +40,16 @@ def asof_join(
     *,
     forward: bool = False,
     cut: Cut | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """``left`` with ``values`` of the right row of the same keys that is last at or before ``at``.
 
     ``forward`` takes the first one at or after it. Left rows without one, without a time or with a null key get nulls.
     ``right`` must hold one row per keys and time (see ``temporal.latest_per_key``); rows without a time count as absent.
+    ``once`` states that ``left`` does too.
     """
+    if once:
+        return _riding(left, right, keys, at, right_at, values, forward, cut)
     stretch = cut or (lambda time: F.lit(0).cast("long"))
     row = F.struct(*(F.col(name) for name in values))
     kind = right.select(row.alias("row")).schema["row"].dataType
@@ -56,16 +63,55 @@ def asof_join(
     )
     if cut is not None:
         rows = rows.unionByName(_carried(known, asked, keys, forward, kind))
-    # At one time the known row comes before the question; what is carried in comes before all.
-    order = [F.when(F.col("_turn") == 0, 0).otherwise(1), F.desc("_at") if forward else F.asc("_at"), F.col("_turn")]
-    so_far = W.partitionBy(*keys, "_cut").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    found = rows.withColumn("_found", F.last("_row", ignorenulls=True).over(so_far)).filter("_turn = 2")
+    found = rows.withColumn("_found", _last_so_far([*keys, "_cut"], forward)).filter("_turn = 2")
     found = found.select(*keys, F.col("_at").alias(at), "_found")
     return left.join(found, [*keys, at], "left").select(
         *left.columns, *(F.col("_found")[name].alias(name) for name in values)
     )
 
 
+def _last_so_far(within: Sequence[str], forward: bool) -> Column:
+    # At one time the known row comes before the question; what is carried in comes before all.
+    order = [F.when(F.col("_turn") == 0, 0).otherwise(1), F.desc("_at") if forward else F.asc("_at"), F.col("_turn")]
+    so_far = W.partitionBy(*within).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return F.last("_row", ignorenulls=True).over(so_far)
+
+
+def _riding(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    right_at: str,
+    values: Sequence[str],
+    forward: bool,
+    cut: Cut | None,
+) -> DataFrame:
+    """The as-of join of left rows that go through the window themselves."""
+    row = F.struct(*(F.col(name) for name in values))
+    kind = right.select(row.alias("row")).schema["row"].dataType
+    known = right.filter(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("_at"), row.alias("_row"))
+    asked = left.withColumnRenamed(at, "_at")
+    within = list(keys)
+    if cut is not None:
+        within.append("_cut")
+        known, asked = (df.withColumn("_cut", cut(F.col("_at"))) for df in (known, asked))
+    rows = known.withColumn("_turn", F.lit(1))
+    if cut is not None:
+        rows = rows.unionByName(_carried(known, asked, keys, forward, kind))
+    rows = rows.unionByName(asked.withColumns({"_row": F.lit(None).cast(kind), "_turn": F.lit(2)}), allowMissingColumns=True)
+    found = rows.withColumn("_found", _last_so_far(within, forward)).filter("_turn = 2")
+    # Null keys share a partition of the window, and a missing time sorts somewhere: neither finds a row.
+    asks = F.col("_at").isNotNull()
+    for key in keys:
+        asks = asks & F.col(key).isNotNull()
+    moment = F.col("_at").cast(left.schema[at].dataType).alias(at)
+    return found.select(
+        *(moment if name == at else F.col(name) for name in left.columns),
+        *(F.when(asks, F.col("_found")[name]).alias(name) for name in values),
+    )
+
+
 def _carried(known: DataFrame, asked: DataFrame, keys: Sequence[str], forward: bool, kind: object) -> DataFrame:
     """For each stretch that is asked about, the row its neighbours on the way hand over: a few per key."""
     edge = F.min_by("_row", "_at") if forward else F.max_by("_row", "_at")

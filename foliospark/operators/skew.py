@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
+BUCKETS = 1 << 16
+
 
 def splittable(df: DataFrame, key: str) -> DataFrame:
     """Make the next join on a string key start from a shuffle of its own.
@@ -15,3 +20,17 @@ def splittable(df: DataFrame, key: str) -> DataFrame:
     The extra shuffle moves only this side, which holds a few columns of one row per key.
     """
     return df.withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
+def hot(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> Column | None:
+    """A condition on the keys that holds for those with more rows in ``df`` than one task should sort; None if there are none.
+
+    Keys are counted by buckets of their hash, so the driver gets a number per full bucket and nothing is joined. Keys that share a bucket
+    with a hot one count as hot. Reads ``df``: hand in the keys only.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    counts = df.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > (HOT_ROWS if rows is None else rows))
+    full = [row["bucket"] for row in counts.collect()]
+    if not full:
+        return None
+    return bucket.isin(full) if len(full) * 16 < BUCKETS else F.lit(True)

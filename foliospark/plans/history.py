@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import contextlib
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import publish
@@ -108,12 +111,33 @@ def point_in_time(
     )
 
 
-def kept(frame: DataFrame) -> DataFrame:
-    """The frame's rows, worked out once into the folder that all executors share, so a lost executor loses none."""
-    context = frame.sparkSession.sparkContext
+@contextlib.contextmanager
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def kept(frame: DataFrame, *, in_place: bool = False) -> DataFrame:
+    """The frame's rows, worked out once into the folder that all executors share, so a lost executor loses none.
+
+    Later reads start from those files, so the shuffle files behind them go at once, not when the driver happens to collect its
+    garbage. ``in_place`` lets Spark know later by which keys the rows lie together, so that what follows by them shuffles nothing;
+    adaptive execution would forget that and is off for such a frame, which must therefore hold no join on a skewed key.
+    """
+    spark, context = frame.sparkSession, frame.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(f"{publish.working_folder(frame.sparkSession)}/checkpoints")
-    return frame.checkpoint()
+        context.setCheckpointDir(f"{publish.working_folder(spark)}/checkpoints")
+    values = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if in_place:
+        values["spark.sql.adaptive.enabled"] = "false"
+    with _settings(spark, **values):
+        return frame.select("*").checkpoint()
 
 
 def _figures() -> dict[str, Column]:

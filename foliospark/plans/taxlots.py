@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.asof import Cut, asof_join
 from ..operators.prefix import running
+from .history import kept
 
 SHARES = "decimal(28,4)"
 MONEY = "decimal(18,4)"
@@ -38,13 +38,12 @@ def _segments(lots: DataFrame, sales: DataFrame, keys: Sequence[str], cut: Cut |
         renamed = (F.col(c).alias(f"{name}_{c}") for c in ("day", "id", "price", "start", "end"))
         return df.select(*keys, *renamed)
 
-    # Each side feeds the ends and both as-of joins, several reads each: work it out once, not once per read.
-    lots, sales = (side(df, name).localCheckpoint(storageLevel=StorageLevel.DISK_ONLY) for df, name in ((lots, "lot"), (sales, "sale")))
+    lots, sales = side(lots, "lot"), side(sales, "sale")
     ends = lots.select(*keys, F.col("lot_end").alias("end")).unionByName(sales.select(*keys, F.col("sale_end").alias("end")))
     ends = ends.distinct()
     for df, name in ((lots, "lot"), (sales, "sale")):
         values = [f"{name}_{c}" for c in ("day", "id", "price", "start")]
-        ends = asof_join(ends, df, keys, "end", f"{name}_end", values, forward=True, cut=cut)
+        ends = asof_join(ends, df, keys, "end", f"{name}_end", values, forward=True, cut=cut, once=True)
     shares = (F.col("end") - F.greatest("lot_start", "sale_start")).cast(SHARES)
     return ends.filter("lot_id IS NOT NULL AND sale_id IS NOT NULL").select(
         *keys, "sale_id", "sale_day", "lot_id", "lot_day", shares.alias("quantity"), "sale_price", F.col("lot_price").alias("cost")
@@ -62,7 +61,8 @@ def first_in_first_out(
     """Segments in which the lots bought first go first; a day's buys come before its sales.
 
     A sale takes only what was bought before it. The deepest that the net position has been below zero is what was sold without
-    being there; it takes no lots. ``cut`` splits the days of a hot position, ``share_cut`` its shares.
+    being there; it takes no lots. ``cut`` splits the days of a hot position, ``share_cut`` its shares. Without them nothing is
+    shuffled between the steps if the trades come partitioned by the keys.
     """
     nothing = F.lit(0).cast(SHARES)
     both = _trades(buys, keys).withColumn("is_sale", F.lit(False))
@@ -79,10 +79,14 @@ def first_in_first_out(
     both = running(both, keys, order, {"lowest_before": "left_over"}, least=True, before=True, cut=cut)
     short_before = F.greatest(-F.col("lowest_before"), nothing)
     short = F.greatest(-F.col("left_over"), short_before)
-    lots = _ends(both.filter("NOT is_sale"), F.col("bought_to") - F.col("quantity"), F.col("bought_to"))
-    sold = both.filter("is_sale")
-    sold = _ends(sold, F.col("sold_to") - F.col("quantity") - short_before, F.col("sold_to") - short)
-    return _segments(lots, sold, keys, share_cut)
+    start = F.when(F.col("is_sale"), F.col("sold_to") - F.col("quantity") - short_before).otherwise(
+        F.col("bought_to") - F.col("quantity")
+    )
+    end = F.when(F.col("is_sale"), F.col("sold_to") - short).otherwise(F.col("bought_to"))
+    # Both sides feed the ends and an as-of join each: work them out once, not once per read.
+    placed = _ends(both, start, end).select(*keys, "is_sale", "day", "id", "price", "start", "end")
+    placed = kept(placed, in_place=cut is None)
+    return _segments(placed.filter("NOT is_sale"), placed.filter("is_sale"), keys, share_cut)
 
 
 def highest_cost_first(
@@ -93,7 +97,8 @@ def highest_cost_first(
     held = held.withColumn("cheap", -F.col("price"))
     held = running(held, keys, ["cheap", "day", "id"], {"end": "quantity"})
     sold = running(sold, keys, ["day", "id"], {"end": "quantity"})
-    spans = (_ends(df, F.col("end") - F.col("quantity"), F.col("end")) for df in (held, sold))
+    # Both sides feed the ends and an as-of join each: work them out once, not once per read.
+    spans = (kept(_ends(df, F.col("end") - F.col("quantity"), F.col("end")), in_place=True) for df in (held, sold))
     return _segments(*spans, keys, share_cut)
 
 

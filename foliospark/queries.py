@@ -17,7 +17,7 @@ from .functions import rules as R
 from .functions.numeric import exact_avg, exact_sum, ratio, sum_if
 from .functions.symbols import normalize_symbol
 from .operators import resolve as res
-from .operators import temporal, trace
+from .operators import skew, temporal, trace
 from .operators.asof import asof_join, by_days, by_width
 from .operators.changes import change_set
 from .operators.distribution import share_of_total
@@ -493,7 +493,15 @@ def _(t: Tables) -> DataFrame:
     keys = ["ticker_symbol"]
     sales = t.trades(sold=True)
     cuts = {"cut": by_days(366), "share_cut": by_width(1000)}
-    return doubles(taxlots.realised(sales, taxlots.first_in_first_out(t.trades(sold=False), sales, keys, **cuts), keys))
+    # Only hot tickers are cut; each other's trades stay together, so that they are shuffled once.
+    hot = skew.hot(t.traded_tickers, keys)
+    bought, sold = (t.trades(sold=side, together=True) for side in (False, True))
+    if hot is None:
+        segments = taxlots.first_in_first_out(bought, sold, keys)
+    else:
+        segments = taxlots.first_in_first_out(t.trades(sold=False).filter(hot), sales.filter(hot), keys, **cuts)
+        segments = segments.unionByName(taxlots.first_in_first_out(bought.filter(~hot), sold.filter(~hot), keys))
+    return doubles(taxlots.realised(sales, segments, keys))
 
 
 @_register("q43_realised_gains_highest_cost")

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import time
 from collections import Counter, defaultdict
 from decimal import Decimal
 from pathlib import Path
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliospark import publish, queries as registered
 from foliospark.fixtures import Tables
+from foliospark.operators import skew
 from foliospark.operators.asof import asof_join, by_days, by_width
 from foliospark.operators.changes import change_set
 from foliospark.operators.intervals import interval_join
@@ -56,6 +60,37 @@ def test_asof_equals_a_loop(spark, forward, cut):
     assert sum(row[3] is not None for row in wanted) > 50
 
 
+@pytest.mark.parametrize("forward", [False, True])
+@pytest.mark.parametrize("cut", [None, by_days(10), by_days(1)])
+def test_asof_of_rows_that_ride_along_equals_a_loop(spark, forward, cut):
+    random = Random(6)
+    moments = [(key, day(n)) for key in ("hot", "a", "b", None) for n in [*range(60), None] if random.random() < 0.6]
+    left = [(n, key, at) for n, (key, at) in enumerate(moments)]
+    right = {(key, day(random.randrange(60))): n for n, key in enumerate(["hot"] * 15 + ["a"] * 4 + ["c"] * 4 + [None] * 5)}
+    rows = [(key, at, value if value % 5 else None, f"v{value}") for (key, at), value in right.items()] + [("a", None, 1, "none")]
+    joined = asof_join(
+        spark.createDataFrame(left, "id int, key string, at date"),
+        spark.createDataFrame(rows, "key string, known date, number int, text string"),
+        ["key"],
+        "at",
+        "known",
+        ["known", "number", "text"],
+        forward=forward,
+        cut=cut,
+        once=True,
+    )
+    assert joined.columns == ["id", "key", "at", "known", "number", "text"]
+    wanted = []
+    for n, key, at in left:
+        fit = [r for r in rows if r[0] == key and key and at and r[1] and (r[1] >= at if forward else r[1] <= at)]
+        best = (min if forward else max)(fit, key=lambda r: r[1], default=(None,) * 4)
+        wanted.append((n, key, at, *best[1:]))
+    assert Counter(map(tuple, joined.collect())) == Counter(wanted)
+    assert sum(row[3] is not None for row in wanted) > 40
+    text = introspect.explain_text(joined, "simple")
+    assert "Join" not in text
+
+
 def test_asof_on_numbers_and_empty_sides(spark):
     left = spark.createDataFrame([("a", 5.5), ("a", -3.0), ("b", 1.0)], "key string, x double")
     right = spark.createDataFrame([("a", 5.5, 1), ("a", -10.0, 2)], "key string, y double, v int")
@@ -134,6 +169,31 @@ def test_point_in_time_derives_the_lots_once(spark):
     assert sum("Scan" in line and "orders" in line for line in text.splitlines()) == 1
 
 
+def exchanges(frame):
+    return [line for line in introspect.explain_text(frame, "simple").splitlines() if re.search(r"\bExchange \w+partitioning", line)]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in files.mkString("\n").splitlines() if "/shuffle_" in name}
+
+
+def test_kept_rows_leave_no_shuffle_files(spark):
+    before, adaptive = shuffle_files(spark), spark.conf.get("spark.sql.adaptive.enabled")
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    for in_place in (False, True):
+        rows = history.kept(counts, in_place=in_place)
+        assert {(row.k, row["count"]) for row in rows.collect()} == {(k, 143 if k < 6 else 142) for k in range(7)}
+    for _ in range(50):  # files go a moment later
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+    again = rows.groupBy("k").agg(F.sum("count"))
+    assert not exchanges(again)  # kept in place by k
+
+
 def test_asof_price_derives_each_side_once(spark):
     text = introspect.explain_text(registered.BUILDERS["asof_price"](Tables(spark, "/root/testdata/sf0.001")), "simple")
     assert not any("Scan" in line and ("orders" in line or "lineitem" in line) for line in text.splitlines())
@@ -292,6 +352,21 @@ def test_first_in_first_out_equals_a_loop(spark, seed, cuts):
     assert all(taken[n] <= Decimal(str(q)) for _, _, n, q, _ in buys)
 
 
+@pytest.mark.parametrize("rows", [0, 30])
+def test_hot_tickers_are_cut_and_give_the_same_gains(spark, monkeypatch, rows):
+    build = registered.BUILDERS["q43_realised_gains_fifo"]
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    usual = build(tables)
+    # The sales by trade, then by the join's keys, and the sums by them: lots and sales are not shuffled between the steps.
+    assert len(exchanges(usual)) <= 3
+    monkeypatch.setattr(skew, "HOT_ROWS", 30)
+    condition = skew.hot(tables.traded_tickers, ["ticker_symbol"])
+    counts = tables.traded_tickers.withColumn("hot", condition).groupBy("ticker_symbol", "hot").count().collect()
+    assert {row.hot for row in counts} == {True, False} and all(row.hot for row in counts if row["count"] > 30)
+    monkeypatch.setattr(skew, "HOT_ROWS", rows)
+    assert Counter(map(tuple, build(tables).collect())) == Counter(map(tuple, usual.collect()))
+
+
 def test_highest_cost_first_equals_a_loop(spark):
     buys, sales = made_trades(9, 60)
     sales = [(key, d + dt.timedelta(days=100), n, q, p) for key, d, n, q, p in sales]
