@@ -81,13 +81,14 @@ class Tables:
         )
         lines = self.raw("lineitem").selectExpr(
             "l_orderkey",
-            "'P' || l_partkey as ticker_symbol",
+            "l_partkey",
             "cast(l_quantity as decimal(18,2)) as shares_held",
             "cast(round(cast(l_extendedprice / l_quantity as decimal(18,6)), 2) as decimal(18,2))"
             " as cost_basis",
         )
-        return lines.join(buyers, "l_orderkey").select(
-            "customer_id", "ticker_symbol", "shares_held", "purchase_date", "cost_basis", "account_type"
+        # The ticker is made after the join: its key is what the shuffle should carry.
+        return lines.join(buyers, "l_orderkey").selectExpr(
+            "customer_id", "'P' || l_partkey as ticker_symbol", "shares_held", "purchase_date", "cost_basis", "account_type"
         )
 
     @cached_property

@@ -6,7 +6,8 @@ key's time into stretches that different tasks sort; what was last before a stre
 task of its own.
 
 Left rows that are alone at their keys and time (``once``) ride along in that window: nothing is joined back, and where both
-sides are already partitioned by some of the keys nothing is shuffled.
+sides are already partitioned by some of the keys nothing is shuffled. Where a key has a few right rows only, ``histories``
+puts them into one row per key, which any number of left rows meet in one equi-join (``asof_history``).
 """
 
 from __future__ import annotations
@@ -112,6 +113,22 @@ def _riding(
     )
 
 
+def histories(right: DataFrame, keys: Sequence[str], right_at: str, values: Sequence[str]) -> DataFrame:
+    """One row per keys with all their right rows in order of time, for ``asof_history``: a few rows per key."""
+    known = right.filter(F.col(right_at).isNotNull())
+    row = F.struct(F.col(right_at).alias("_at"), F.struct(*(F.col(name) for name in values)).alias("_row"))
+    return known.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_history"))
+
+
+def asof_history(left: DataFrame, found: DataFrame, keys: Sequence[str], at: str, values: Sequence[str]) -> DataFrame:
+    """``left`` with ``values`` of the last row at or before ``at`` in the ``histories`` of its keys; rows without one stay out."""
+    up_to = F.filter("_history", lambda known: known["_at"] <= F.col(at))
+    joined = left.join(found, list(keys)).select(*left.columns, F.try_element_at(up_to, F.lit(-1))["_row"].alias("_found"))
+    return joined.filter(F.col("_found").isNotNull()).select(
+        *left.columns, *(F.col("_found")[name].alias(name) for name in values)
+    )
+
+
 def _carried(known: DataFrame, asked: DataFrame, keys: Sequence[str], forward: bool, kind: object) -> DataFrame:
     """For each stretch that is asked about, the row its neighbours on the way hand over: a few per key."""
     edge = F.min_by("_row", "_at") if forward else F.max_by("_row", "_at")

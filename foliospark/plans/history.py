@@ -6,15 +6,18 @@ import contextlib
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import publish
 from ..functions import metrics as M
 from ..functions import rules as R
 from ..functions.symbols import normalize_symbol
-from ..operators.asof import Cut, asof_join, by_days
+from ..operators.asof import Cut, asof_history, asof_join, by_days, histories
 from ..operators.intervals import interval_join
 from ..operators.resolve import securities
+from ..operators.skew import splittable
 from ..operators.temporal import latest_per_key
 
 CUT_DAYS = 366
@@ -26,7 +29,8 @@ def _by_ticker(sym: DataFrame, sec_map: DataFrame, rows: DataFrame, day: str, va
     """One row per ticker and day, its ties broken as in the dashboard."""
     keys = securities(sym, sec_map).drop("fsym_id")
     rows = rows.select(F.col("fsym_id").alias("fsym_company_id"), day, *values)
-    joined = keys.join(rows, "fsym_company_id")
+    # By ticker alone, so that what follows by ticker needs no further shuffle.
+    joined = keys.join(rows, "fsym_company_id").repartition("ticker_region")
     return latest_per_key(joined, ["ticker_region", day], day, ["fsym_company_id", *values])
 
 
@@ -45,7 +49,8 @@ def revisions_by_ticker(sym: DataFrame, fe_map: DataFrame, fe: DataFrame, item:
     rows = fe.filter(F.col("FE_ITEM") == item).select(
         F.col("fsym_id").alias("fsym_company_id"), F.col("FE_FP_END").alias("next_period"), ever.alias("closed"), *ESTIMATES
     )
-    joined = keys.join(rows, "fsym_company_id").withColumn("in_force_until", F.date_sub("closed", 1))
+    joined = keys.join(rows, "fsym_company_id").repartition("ticker_region")
+    joined = joined.withColumn("in_force_until", F.date_sub("closed", 1))
     once = ["ticker_region", "next_period", "in_force_until"]
     return latest_per_key(joined, once, "in_force_until", ["fsym_company_id", *ESTIMATES]).select(*once, *ESTIMATES)
 
@@ -71,23 +76,33 @@ def point_in_time(
     figures and is labelled as such rows are.
     """
     risk, action = rules or (R.risk_assessment(), R.action_recommendation())
-    held = lots.withColumn("ticker_region", normalize_symbol(F.col(symbol_col), region))
+    held = lots.filter(F.col(date_col).isNotNull())
     facts = facts_by_ticker(sym, ff_map, ff)
-    held = held.join(facts.select("ticker_region").distinct(), "ticker_region", "left_semi")
-    # All below is done once for each; worked out once, since each as-of join below reads its left side several times.
-    days = kept(held.select("ticker_region", date_col).distinct())
+    # A symbol has one row per day here, however many lots: whole days need no cut, finer times do.
+    days = held.select(F.col(symbol_col).alias("_symbol"), date_col).distinct()
+    days = days.withColumn("ticker_region", normalize_symbol(F.col("_symbol"), region))
+    known_companies = ff.select(F.col("fsym_id").alias("fsym_company_id")).distinct()
+    tickers = securities(sym, ff_map).join(known_companies, "fsym_company_id", "left_semi").select("ticker_region").distinct()
+    days = days.join(tickers, "ticker_region", "left_semi")
+    cut = None if isinstance(lots.schema[date_col].dataType, T.DateType) else cut
     known = asof_join(
-        days, facts, ["ticker_region"], date_col, "fiscal_date", ["fiscal_date", *FACTS], cut=cut
+        days, facts, ["ticker_region"], date_col, "fiscal_date", ["fiscal_date", *FACTS], cut=cut, once=True
     )
-    revisions = revisions_by_ticker(sym, fe_map, fe)
+    revisions = revisions_by_ticker(sym, fe_map, fe).filter(F.col("next_period").isNotNull())
     periods = revisions.select("ticker_region", "next_period").distinct()
     ahead = asof_join(
-        known, periods, ["ticker_region"], date_col, "next_period", ["next_period"], forward=True, cut=cut
+        known, periods, ["ticker_region"], date_col, "next_period", ["next_period"], forward=True, cut=cut, once=True
     )
+    in_force = ["in_force_until", *ESTIMATES]
     expected = asof_join(
-        ahead, revisions, ["ticker_region", "next_period"], date_col, "in_force_until", ESTIMATES, forward=True
+        ahead, revisions, ["ticker_region", "next_period"], date_col, "in_force_until", in_force, forward=True, once=True
     )
-    profile = expected.select("ticker_region", date_col, *(c.alias(n) for n, c in _figures().items()))
+    # Days with the same rows in force follow each other: one row for the first of them stands for all.
+    source = F.struct("fiscal_date", "next_period", "in_force_until")
+    symbol = ["ticker_region", "_symbol"]
+    before = F.lag(source).over(W.partitionBy(*symbol).orderBy(date_col))
+    runs = expected.withColumn("_goes_on", source.eqNullSafe(before)).filter("NOT _goes_on")
+    profile = runs.select(*symbol, date_col, *(c.alias(n) for n, c in _figures().items()))
     profile = profile.withColumn("growth", M.eps_growth(F.col("current_eps"), F.col("forward_eps")))
     profile = profile.withColumns(
         {
@@ -98,16 +113,16 @@ def point_in_time(
     )
     shares, now, later = F.col("shares_held"), F.col("current_eps"), F.col("forward_eps")
     figures = ("fiscal_date", "net_income", "profit_margin_pct", "debt_to_equity", "current_eps", "next_period")
-    return held.join(profile, ["ticker_region", date_col]).select(
+    figures += ("forward_eps", "analysts", "growth_pct", "risk_assessment", "action_recommendation")
+    # The lots meet one row per symbol, worked out before, so only that and the lots themselves are shuffled with them.
+    profile = kept(histories(profile, symbol, date_col, figures)).select(F.col("_symbol").alias(symbol_col), "_history")
+    found = asof_history(held, splittable(profile, symbol_col), [symbol_col], date_col, figures)
+    return found.select(
         *lots.columns,
-        *figures,
-        "forward_eps",
-        "analysts",
-        "growth_pct",
+        *figures[:-2],
         M.position_earnings(shares.cast("double"), now).alias("current_earnings"),
         M.position_earnings(shares.cast("double"), later).alias("projected_earnings"),
-        "risk_assessment",
-        "action_recommendation",
+        *figures[-2:],
     )
 
 

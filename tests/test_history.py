@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from foliospark import publish, queries as registered
 from foliospark.fixtures import Tables
 from foliospark.operators import skew
-from foliospark.operators.asof import asof_join, by_days, by_width
+from foliospark.operators.asof import asof_history, asof_join, by_days, by_width, histories
 from foliospark.operators.changes import change_set
 from foliospark.operators.intervals import interval_join
 from foliospark.operators.prefix import running
@@ -91,6 +91,26 @@ def test_asof_of_rows_that_ride_along_equals_a_loop(spark, forward, cut):
     assert "Join" not in text
 
 
+def test_asof_in_histories_equals_a_loop(spark):
+    random = Random(7)
+    left = [(n, random.choice(["a", "a", "b", "c", None]), day(random.choice([*range(60), None]))) for n in range(200)]
+    right = [(key, day(n), n if n % 3 else None) for key in ("a", "b", "d", None) for n in range(5, 60, 7)] + [("a", None, 1)]
+    known = spark.createDataFrame(right, "key string, known date, number int")
+    found = asof_history(
+        spark.createDataFrame(left, "id int, key string, at date"),
+        histories(known, ["key"], "known", ["known", "number"]),
+        ["key"],
+        "at",
+        ["known", "number"],
+    )
+    wanted = []
+    for n, key, at in left:
+        fit = [r for r in right if r[0] == key and key and at and r[1] and r[1] <= at]
+        wanted += [(n, key, at, *max(fit, key=lambda r: r[1])[1:])] if fit else []
+    assert Counter(map(tuple, found.collect())) == Counter(wanted)
+    assert 20 < len(wanted) < 150
+
+
 def test_asof_on_numbers_and_empty_sides(spark):
     left = spark.createDataFrame([("a", 5.5), ("a", -3.0), ("b", 1.0)], "key string, x double")
     right = spark.createDataFrame([("a", 5.5, 1), ("a", -10.0, 2)], "key string, y double, v int")
@@ -178,6 +198,25 @@ def shuffle_files(spark):
     return {name for name in files.mkString("\n").splitlines() if "/shuffle_" in name}
 
 
+def test_point_in_time_shuffles_the_lots_twice_and_the_profile_once(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    frame = registered.BUILDERS["q41_point_in_time"](Tables(spark, "/root/testdata/sf0.001"))
+    # Lines and orders by order, lots and one row per symbol by symbol.
+    assert len(exchanges(frame)) == 4
+
+
+@pytest.mark.parametrize("cut", [None, by_days(30)])
+def test_point_in_time_at_finer_times_and_odd_symbols(spark, market, table, cut):
+    rows = [(n, symbol, ONE, DAY(2024, 6, 30), ONE, "IRA") for n, symbol in enumerate(["AAPL", "aapl", "AAPL-US", None, "AAPL", "NONE"])]
+    lots = table("customer_holdings", rows)
+    _, sym, ff_map, ff, fe_map, fe = market.core
+    for moments in (lots, lots.withColumn("purchase_date", F.col("purchase_date").cast("timestamp_ntz"))):
+        found = history.point_in_time(moments, sym, ff_map, ff, fe_map, fe, cut=cut)
+        assert found.schema["purchase_date"].dataType == moments.schema["purchase_date"].dataType
+        found = {r.customer_id: (r.ticker_symbol, r.fiscal_date, r.forward_eps) for r in found.collect()}
+        assert found == {n: (rows[n][1], DAY(2023, 12, 31), 5.0) for n in (0, 1, 2, 4)}
+
+
 def test_kept_rows_leave_no_shuffle_files(spark):
     before, adaptive = shuffle_files(spark), spark.conf.get("spark.sql.adaptive.enabled")
     counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
