asof_price: lots ride along in one as-of window, only hot tickers join back

Symptom: asof_price wrote and read 75 MB of shuffle over 14 MB of lines, orders and parts (tables of sf0.1); its lots alone were shuffled or reread in five steps after they had been worked out.
Evidence: the profiler, 11 exchanges and 2 sort-merge joins in the plan; the as-of join shuffled distinct moments, stretches handed over, the window's rows, and then lots and found rows once more to join them back. Event log, tables repeated 20 times: 1,476 MB written, 1,476 MB read, 231 CPU s.
Fix: asof_join_along sends the lots themselves through one window by ticker. Tickers with more than 100,000 lots, counted by hash bucket over the lots already worked out, still ask once per moment in stretches and join back, so no ticker fills a task.
Effect, together with 5 more commits on this code: at 1 GB of input CPU 822 -> 509 s, shuffle 5.05 -> 2.23 GB, spill 0.00 -> 0.00 GB, read 1.01 -> 1.01 GB, longest task 8 -> 10 s, most memory of a task 503 -> 336 MB; at 6 GB of input CPU 3997 -> 2063 s, shuffle 31.03 -> 13.62 GB, spill 0.00 -> 0.00 GB, read 6.28 -> 6.28 GB, longest task 11 -> 9 s, most memory of a task 638 -> 638 MB; with hot keys, at 1 GB of input CPU 765 -> 563 s, shuffle 4.36 -> 2.02 GB, spill 0.00 -> 0.00 GB, read 0.97 -> 0.97 GB, longest task 8 -> 11 s, most memory of a task 403 -> 336 MB.

@@ -7,7 +7,8 @@ task of its own.
 
 Left rows that are alone at their keys and time (``once``) ride along in that window: nothing is joined back, and where both
 sides are already partitioned by some of the keys nothing is shuffled. Where a key has a few right rows only, ``histories``
-puts them into one row per key, which any number of left rows meet in one equi-join (``asof_history``).
+puts them into one row per key, which any number of left rows meet in one equi-join (``asof_history``). ``asof_join_along`` sends
+repeated left rows through the window too, but for keys with too many of them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import skew
+
 Cut = Callable[[Column], Column]
+ROWS_ALONG = 100_000  # left rows of one key that a task may sort and hold at once: about 10 MB
 
 
 def by_days(days: int) -> Cut:
@@ -47,7 +51,7 @@ def asof_join(
 
     ``forward`` takes the first one at or after it. Left rows without one, without a time or with a null key get nulls.
     ``right`` must hold one row per keys and time (see ``temporal.latest_per_key``); rows without a time count as absent.
-    ``once`` states that ``left`` does too.
+    ``once`` sends the left rows themselves through the window: for a ``left`` that holds one row per keys and time too, or few rows per key.
     """
     if once:
         return _riding(left, right, keys, at, right_at, values, forward, cut)
@@ -71,6 +75,21 @@ def asof_join(
     )
 
 
+def asof_join_along(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, right_at: str, values: Sequence[str], *, cut: Cut | None = None
+) -> DataFrame:
+    """``asof_join`` in which left rows ride along, however many have one moment, so that each side is shuffled once.
+
+    Keys with more than ``ROWS_ALONG`` left rows are looked up first and ask once for each moment in stretches of ``cut``, so that none
+    of them fills a task. Reads ``left`` twice, so it should be worked out already.
+    """
+    hot = skew.hot(left.select(*keys), keys, ROWS_ALONG)
+    if hot is None:
+        return asof_join(left, right, keys, at, right_at, values, once=True)
+    cold = asof_join(left.filter(~hot), right.filter(~hot), keys, at, right_at, values, once=True)
+    return cold.unionByName(asof_join(left.filter(hot), right.filter(hot), keys, at, right_at, values, cut=cut))
+
+
 def _last_so_far(within: Sequence[str], forward: bool) -> Column:
     # At one time the known row comes before the question; what is carried in comes before all.
     order = [F.when(F.col("_turn") == 0, 0).otherwise(1), F.desc("_at") if forward else F.asc("_at"), F.col("_turn")]

@@ -18,7 +18,7 @@ from .functions.numeric import exact_avg, exact_sum, ratio, sum_if
 from .functions.symbols import normalize_symbol
 from .operators import resolve as res
 from .operators import skew, temporal, trace
-from .operators.asof import asof_join, by_days, by_width
+from .operators.asof import asof_join_along, by_days, by_width
 from .operators.changes import change_set
 from .operators.distribution import share_of_total
 from .plans import datasets, enrich, entity, history, hybrid, lookup, performance, ranking, rollup, taxlots, trends
@@ -537,9 +537,9 @@ def _(t: Tables) -> DataFrame:
     prices = temporal.latest_per_key(t.trades(sold=True), ["ticker_symbol", "day"], "day", ["price"])
     prices = prices.select("ticker_symbol", "day", F.col("price").alias("last_price"))
     lots = t.customer_holdings.select("customer_id", "ticker_symbol", "shares_held", "purchase_date")
-    # The as-of join reads both sides more than once: work out the lots (lineitem joined with orders) and prices once.
+    # Hot tickers are looked up and joined apart: work out the lots (lineitem joined with orders) and prices once.
     lots, prices = history.kept(lots), history.kept(prices)
-    found = asof_join(lots, prices, ["ticker_symbol"], "purchase_date", "day", ["day", "last_price"], cut=by_days(366))
+    found = asof_join_along(lots, prices, ["ticker_symbol"], "purchase_date", "day", ["day", "last_price"], cut=by_days(366))
     return doubles(found)
 
 

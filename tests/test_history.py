@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from foliospark import publish, queries as registered
 from foliospark.fixtures import Tables
-from foliospark.operators import skew
-from foliospark.operators.asof import asof_history, asof_join, by_days, by_width, histories
+from foliospark.operators import asof, skew
+from foliospark.operators.asof import asof_history, asof_join, asof_join_along, by_days, by_width, histories
 from foliospark.operators.changes import change_set
 from foliospark.operators.intervals import interval_join
 from foliospark.operators.prefix import running
@@ -91,6 +91,38 @@ def test_asof_of_rows_that_ride_along_equals_a_loop(spark, forward, cut):
     assert "Join" not in text
 
 
+@pytest.mark.parametrize("along", [0, 40, 10_000])
+@pytest.mark.parametrize("cut", [None, by_days(10)])
+def test_asof_of_repeated_rows_that_ride_along_equals_a_loop(spark, monkeypatch, along, cut):
+    """All keys, the hot one or none ask apart; rows may come twice, and keys and times may be null."""
+    random = Random(8)
+    left = [(n // 2, random.choice(["hot", "hot", "a", "b", None]), day(random.choice([*range(60), None]))) for n in range(200)]
+    left += left[:20]
+    moments = {(key, random.randrange(60)) for key in ["hot"] * 15 + ["a"] * 4 + ["c"] * 4 + [None] * 3}
+    right = [(key, day(n), n if n % 3 else None) for key, n in moments] + [("a", None, 1)]
+    monkeypatch.setattr(asof, "ROWS_ALONG", along)
+    joined = asof_join_along(
+        spark.createDataFrame(left, "id int, key string, at date"),
+        spark.createDataFrame(right, "key string, known date, number int"),
+        ["key"],
+        "at",
+        "known",
+        ["known", "number"],
+        cut=cut,
+    )
+    assert joined.columns == ["id", "key", "at", "known", "number"]
+    wanted = []
+    for n, key, at in left:
+        fit = [r for r in right if r[0] == key and key and at and r[1] and r[1] <= at]
+        wanted.append((n, key, at, *max(fit, key=lambda r: r[1], default=(None,) * 3)[1:]))
+    assert Counter(map(tuple, joined.collect())) == Counter(wanted)
+    assert sum(row[3] is not None for row in wanted) > 50
+    text = introspect.explain_text(joined, "simple")
+    assert ("Join" in text) == (along < 10_000) and ("Union" in text)
+    nothing = joined.limit(0).drop("known", "number")
+    assert asof_join_along(nothing, nothing.select("key", "at", F.lit(1).alias("v")), ["key"], "at", "at", ["v"]).collect() == []
+
+
 def test_asof_in_histories_equals_a_loop(spark):
     random = Random(7)
     left = [(n, random.choice(["a", "a", "b", "c", None]), day(random.choice([*range(60), None]))) for n in range(200)]
@@ -238,6 +270,12 @@ def test_asof_price_derives_each_side_once(spark):
     assert not any("Scan" in line and ("orders" in line or "lineitem" in line) for line in text.splitlines())
 
 
+def test_asof_price_shuffles_lots_and_prices_once(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    frame = registered.BUILDERS["asof_price"](Tables(spark, "/root/testdata/sf0.001"))
+    assert len(exchanges(frame)) == 1
+
+
 # Intervals.
 
 
