@@ -87,6 +87,32 @@ def test_attribution_equals_a_loop(spark, seed):
         assert (row.allocation, row.selection, row.interaction) == pytest.approx(effects, abs=1e-8)
 
 
+def test_a_benchmark_of_all_portfolios_together_equals_its_rows_by_themselves(spark):
+    """Null and NaN accounts are no portfolio but count in the benchmark; rows may come twice and lack anything."""
+    held, _ = some_rows(4)
+    held = decimals([(0.5 if row[0] == "x" else 1.5, *row[1:]) for row in held + held[:10]])
+    odd = [(None, 2015, "tech", "north", 7, 9), (float("nan"), 2016, "oil", "north", 7, 9), (0.5, None, "tech", "north", 5, 9)]
+    odd += [(0.5, 2015, "tech", "north", None, 9), (0.5, 2016, None, None, 0, 9), (1.5, 2017, "tech", "north", 5, None)]
+    fields = "account double, " + FIELDS
+    rows = spark.createDataFrame(held + decimals(odd), fields)
+    market = spark.createDataFrame([row[1:] for row in held + decimals(odd)], FIELDS)
+    together = performance.attribution(rows, rows.drop("account"), ["account"], "year", DIMS).collect()
+    apart = performance.attribution(rows, market, ["account"], "year", DIMS).collect()
+    assert {row.account for row in together} == {0.5, 1.5}
+    assert {row.sector for row in together} == {"tech", "food", "oil", None}
+    assert sorted(map(str, together)) == sorted(map(str, apart))
+
+
+def test_a_benchmark_of_other_rows_is_added_up_by_itself(spark):
+    """A benchmark made from the held rows but not all of them is not taken for their sums."""
+    held, _ = some_rows(5)
+    rows = spark.createDataFrame(decimals(held), "account string, " + FIELDS)
+    some = rows.filter("sector = 'tech'").drop("account")
+    market = spark.createDataFrame([row[1:] for row in decimals(held) if row[2] == "tech"], FIELDS)
+    found = performance.attribution(rows, some, ["account"], "year", DIMS).collect()
+    assert sorted(map(str, found)) == sorted(map(str, performance.attribution(rows, market, ["account"], "year", DIMS).collect()))
+
+
 def test_parts_add_up_at_every_level(spark):
     held, market = some_rows(3)
     rows = attributed(spark, decimals(held), decimals(market)).collect()

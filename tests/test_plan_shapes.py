@@ -247,6 +247,13 @@ def test_attribution_reads_the_lots_once(tables, no_broadcast):
     assert len(re.findall(r"FileScan parquet [^\n]*orders\.parquet", text)) == 1
 
 
+def test_attribution_shuffles_the_positions_once(tables, no_broadcast):
+    """The benchmark is added up from the portfolios' sums, so the positions' windows are not shuffled for it again."""
+    text = executed(registered.BUILDERS["q44_attribution"](tables))
+    for keys in ("account_type", "year"):
+        assert len(re.findall(rf"- Exchange hashpartitioning\(ticker_symbol#\d+, {keys}", text)) == 1
+
+
 def test_fifo_works_out_lots_and_sales_once(tables):
     """The segments read the trades only through the two materialised sides, and the realised sums read the sales once more."""
     text = registered.BUILDERS["q43_realised_gains_fifo"](tables)._jdf.queryExecution().executedPlan().toString()
