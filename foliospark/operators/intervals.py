q42_security_at_date: lots meet their symbol's intervals in one join

Symptom: q42_security_at_date wrote and read 65 MB of shuffle over 14 MB of lines, orders and parts (tables of sf0.1); the lots were worked out twice, and one copy of them was shuffled three more times.
Evidence: the profiler, 9 exchanges and 4 sort-merge joins in the plan: distinct symbols and days from a second join of lines and orders, shuffled by day, by stretch, and by day again to be joined back to the lots. Event log, tables repeated 20 times: 1,256 MB written, 139 CPU s.
Fix: interval_join joins the left rows themselves to the intervals by key and stretch of days, with the exact limits in the join's condition. The stretch is worked out from the day, so it is not shuffled beside it. A hot key is spread over its stretches, and adaptive execution splits them as in any other join.
Effect, together with 5 more commits on this code: at 1 GB of input CPU 642 -> 353 s, shuffle 4.36 -> 2.27 GB, spill 0.00 -> 0.00 GB, read 0.95 -> 0.70 GB, longest task 12 -> 11 s, most memory of a task 604 -> 336 MB; at 6 GB of input CPU 2647 -> 1426 s, shuffle 26.49 -> 13.62 GB, spill 0.03 -> 0.00 GB, read 6.04 -> 4.44 GB, longest task 13 -> 17 s, most memory of a task 1040 -> 336 MB; with hot keys, at 1 GB of input CPU 642 -> 385 s, shuffle 3.89 -> 2.15 GB, spill 0.00 -> 0.00 GB, read 0.90 -> 0.66 GB, longest task 14 -> 11 s, most memory of a task 604 -> 336 MB.

@@ -1,7 +1,7 @@
 """Joins with rows that hold for a time: each row's interval is filed under the stretches of days it touches.
 
-The join is an equi-join on the keys and the stretch, so it is hashed and split like any other; the exact limits are checked on
-the few rows that meet. Open ends are closed at the days the other table spans.
+The join is one equi-join on the keys and the stretch, so each side is shuffled once and a hot key is spread over its stretches and split
+like any other; the exact limits are checked on the few rows that meet. Open ends are closed at the days the other table spans.
 """
 
 from __future__ import annotations
@@ -49,10 +49,9 @@ def interval_join(
     high = F.least(F.coalesce(F.date_sub(F.col(end), 1), last), last)
     held = right.withColumns({"_low": low, "_high": high}).filter("_low <= _high")
     held = held.withColumn("_stretch", F.explode(F.sequence(stretch(F.col("_low")), stretch(F.col("_high")))))
-    # Rows of one key and day ask once, so a hot key asks as often as there are days.
-    asked = left.select(*keys, day).distinct().withColumn("_stretch", stretch(F.col(day)))
-    # The plan sizes ``held`` by its scan, not by the stretches it is exploded into: never broadcast it.
-    met = asked.join(held.hint("merge"), [*keys, "_stretch"])
-    met = met.filter(F.col(day).cast("date").between(F.col("_low"), F.col("_high")))
     rest = [name for name in right.columns if name not in keys]
-    return left.join(met.select(*keys, day, *rest), [*keys, day], how).select(*left.columns, *rest)
+    held = held.select(*(F.col(name).alias(f"_held_{name}") for name in keys), "_stretch", "_low", "_high", *rest)
+    meets = [F.col(name) == F.col(f"_held_{name}") for name in keys]
+    meets += [stretch(F.col(day)) == F.col("_stretch"), F.col(day).cast("date").between(F.col("_low"), F.col("_high"))]
+    # The plan sizes ``held`` by its scan, not by the stretches it is exploded into: never broadcast it.
+    return left.join(held.hint("merge"), meets, how).select(*left.columns, *rest)

@@ -303,6 +303,35 @@ def test_intervals_equal_a_range_join(spark, how, stretch_days):
     assert Counter(map(tuple, found.collect())) == Counter(wanted)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("finer", [False, True])
+def test_repeated_rows_and_overlaps_equal_a_range_join(spark, how, finer):
+    """Every left row meets every interval that holds on its day, also where rows come twice or intervals overlap."""
+    left = [(n % 4, key, day(at)) for key in ("a", "b", None) for at in (3, 3, 40, 70, None) for n in range(3)]
+    right = [("a", "x", None, day(50)), ("a", "y", day(30), day(80)), ("a", "y", day(30), day(80)), ("b", "z", day(71), None)]
+    right += [(None, "n", None, None)]
+    asked = spark.createDataFrame(left, "id int, key string, at date")
+    if finer:
+        asked = asked.withColumn("at", F.expr("cast(at as timestamp_ntz) + interval 5 hours"))
+    intervals = spark.createDataFrame(right, "key string, name string, since date, until date")
+    found = interval_join(asked, intervals, ["key"], "at", "since", "until", how=how, stretch_days=20)
+    assert found.columns == ["id", "key", "at", "name", "since", "until"]
+    wanted = []
+    for n, key, at in left:
+        fit = [r[1:] for r in right if r[0] == key and key and at and (not r[2] or r[2] <= at) and (not r[3] or at < r[3])]
+        wanted += [(n, key, at, *r) for r in fit] or ([(n, key, at, None, None, None)] if how == "left" else [])
+    found = found.withColumn("at", F.col("at").cast("date"))
+    assert Counter(map(tuple, found.collect())) == Counter(wanted)
+    assert max(Counter(wanted).values()) == 2 and len(wanted) > 20
+
+
+def test_security_at_date_shuffles_lots_and_history_once(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    frame = registered.BUILDERS["q42_security_at_date"](Tables(spark, "/root/testdata/sf0.001"))
+    # Lines and orders by order, lots and symbols by symbol and stretch.
+    assert len(exchanges(frame)) == 4
+
+
 def test_a_symbol_and_day_meet_one_security(spark):
     tables = Tables(spark, "/root/testdata/sf0.001")
     frame = registered.BUILDERS["q42_security_at_date"](tables)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from foliospark import queries as registered
 from foliospark.fixtures import Tables
 from foliospark.operators import resolve, temporal
-from foliospark.plans import enrich, entity, hybrid
+from foliospark.plans import enrich, entity, history, hybrid
 from foliospark.sources import introspect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -229,6 +229,22 @@ def test_a_hot_customer_and_ticker_in_the_rollup(spark, skew_sensitive, table):
     assert "partial_sum" in above[above.index("Exchange hashpartitioning(customer_id") :]
 
 
+def test_a_hot_symbol_is_split_where_it_meets_its_securities(spark, skew_sensitive):
+    lots = hot_lots(spark, "HOT", ["AAPL", "MSFT", "GOOGL", "LOSS"]).select(
+        F.col("lot").alias("customer_id"),
+        F.col("symbol").alias("ticker_symbol"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.xxhash64("lot") % 300).cast("int")).alias("purchase_date"),
+    )
+    changed = F.lit("2020-02-01").cast("date")
+    symbols = lots.select(F.concat("ticker_symbol", F.lit("-US")).alias("ticker_region")).distinct()
+    old = symbols.select("ticker_region", F.lit("old").alias("fsym_id"), F.lit(None).cast("date").alias("valid_from"), changed.alias("valid_to"))
+    new = symbols.select("ticker_region", F.lit("new").alias("fsym_id"), changed.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    found = history.securities_at(lots, old.unionByName(new), how="left")
+    assert re.search(r"SortMergeJoin\(skew=true\)", executed(found))
+    counts = {r.fsym_id: r["count"] for r in found.groupBy("fsym_id").count().collect()}
+    assert counts == {"old": lots.filter(F.col("purchase_date") < changed).count(), "new": lots.filter(F.col("purchase_date") >= changed).count()}
+
+
 def test_a_hot_ticker_is_split_in_the_anti_join(spark, market, skew_sensitive):
     lots = hot_lots(spark, "NONE", ["AAPL", "MSFT", "GOOGL", "LOSS"])
     lots = lots.select(F.col("symbol").alias("ticker_symbol"))
