asof_price: count finer hash buckets where common tickers fill them all

Symptom: asof_price would shuffle as much as it once did on tables so large that common tickers alone put more than 100,000 lots into each of 65,536 hash buckets, since then every ticker counted as hot.
Evidence: event log, tables repeated 20 times, the limit lowered from 100,000 to 150 lots so that the buckets are full: 1,491 MB written and read, 212 CPU s.
Fix: skew.hot counts 16 times as many buckets when more than 4,096 are full, once, and takes all keys as hot only if those are full too. The driver gets at most 4,097 numbers (65,536 before). q43_realised_gains_fifo counts its hot tickers the same way.
Effect, together with 5 more commits on this code: at 1 GB of input CPU 822 -> 509 s, shuffle 5.05 -> 2.23 GB, spill 0.00 -> 0.00 GB, read 1.01 -> 1.01 GB, longest task 8 -> 10 s, most memory of a task 503 -> 336 MB; at 6 GB of input CPU 3997 -> 2063 s, shuffle 31.03 -> 13.62 GB, spill 0.00 -> 0.00 GB, read 6.28 -> 6.28 GB, longest task 11 -> 9 s, most memory of a task 638 -> 638 MB; with hot keys, at 1 GB of input CPU 765 -> 563 s, shuffle 4.36 -> 2.02 GB, spill 0.00 -> 0.00 GB, read 0.97 -> 0.97 GB, longest task 8 -> 11 s, most memory of a task 403 -> 336 MB.

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 BUCKETS = 1 << 16
+MOST_BUCKETS = 1 << 20
+MOST_FULL = 1 << 12
 
 
 def splittable(df: DataFrame, key: str) -> DataFrame:
@@ -25,12 +27,19 @@ def splittable(df: DataFrame, key: str) -> DataFrame:
 def hot(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> Column | None:
     """A condition on the keys that holds for those with more rows in ``df`` than one task should sort; None if there are none.
 
-    Keys are counted by buckets of their hash, so the driver gets a number per full bucket and nothing is joined. Keys that share a bucket
-    with a hot one count as hot. Reads ``df``: hand in the keys only.
+    Keys are counted by buckets of their hash, so the driver gets a number per full bucket, ``MOST_FULL`` at most, and nothing is joined.
+    Keys that share a bucket with a hot one count as hot. Where more buckets are full, as they are when even common keys add up to that many
+    rows, finer ones are counted; if those do not tell the hot keys either, all keys count as hot. Reads ``df``: hand in the keys only.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
-    counts = df.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > (HOT_ROWS if rows is None else rows))
-    full = [row["bucket"] for row in counts.collect()]
-    if not full:
-        return None
-    return bucket.isin(full) if len(full) * 16 < BUCKETS else F.lit(True)
+    buckets = BUCKETS
+    while True:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+        counts = df.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > (HOT_ROWS if rows is None else rows))
+        full = [row["bucket"] for row in counts.orderBy(F.desc("count")).limit(MOST_FULL + 1).collect()]
+        if not full:
+            return None
+        if len(full) <= MOST_FULL:
+            return bucket.isin(full)
+        if buckets >= MOST_BUCKETS:
+            return F.lit(True)
+        buckets *= 16

@@ -473,6 +473,19 @@ def test_hot_tickers_are_cut_and_give_the_same_gains(spark, monkeypatch, rows):
     assert Counter(map(tuple, build(tables).collect())) == Counter(map(tuple, usual.collect()))
 
 
+def test_only_hot_keys_are_hot_where_every_bucket_is_full(spark, monkeypatch):
+    """Common keys that share few buckets fill them: finer buckets tell the hot key, up to a limit."""
+    monkeypatch.setattr(skew, "BUCKETS", 4)
+    monkeypatch.setattr(skew, "MOST_FULL", 3)
+    keys = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("key"))
+    hot = skew.hot(keys, ["key"], 100)
+    found = {row.key for row in keys.filter(hot).collect()}
+    assert 7 in found and len(found) < 50
+    assert skew.hot(keys, ["key"], 2000) is None
+    monkeypatch.setattr(skew, "MOST_BUCKETS", 4)
+    assert keys.filter(skew.hot(keys, ["key"], 100)).count() == 3000
+
+
 def test_highest_cost_first_equals_a_loop(spark):
     buys, sales = made_trades(9, 60)
     sales = [(key, d + dt.timedelta(days=100), n, q, p) for key, d, n, q, p in sales]
