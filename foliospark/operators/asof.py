@@ -25,8 +25,8 @@ Cut = Callable[[Column], Column]
 ROWS_ALONG = 100_000  # left rows of one key that a task may sort and hold at once: about 10 MB
 
 
-def by_days(days: int) -> Cut:
-    """Stretches of so many days, for dates and timestamps."""
+def by_days(days: int | Column) -> Cut:
+    """Stretches of so many days, for dates and timestamps; a column gives each key stretches of its own."""
     return lambda time: F.floor(F.unix_date(time.cast("date")) / F.lit(days))
 
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .asof import by_days
 
 STRETCH_DAYS = 366
+HOT_STRETCH_DAYS = 7
 
 
 def span_of(df: DataFrame, day: str) -> tuple[dt.date, dt.date] | None:
@@ -34,17 +35,20 @@ def interval_join(
     span: tuple[dt.date, dt.date] | None = None,
     how: str = "inner",
     stretch_days: int = STRETCH_DAYS,
+    hot: Column | None = None,
 ) -> DataFrame:
     """``left`` with the right rows of the same keys that hold on ``day``: from ``start`` to before ``end``.
 
     A null start or end is open. ``span``, the days ``left`` may lie in, is looked up if not given. A left row meets
     each interval that holds, one if the intervals of a key do not overlap; with ``how="left"`` it stays if none does.
+    Keys for which the condition ``hot`` holds get stretches of a week, so that no task sorts a large part of one key's rows; it must
+    come out alike for both sides' keys, as that of ``skew.hot`` does for keys of one type.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     span = span or span_of(left, day) or (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
     first, last = (F.lit(value) for value in span)
-    stretch = by_days(stretch_days)
+    stretch = by_days(stretch_days if hot is None else F.when(hot, HOT_STRETCH_DAYS).otherwise(stretch_days))
     low = F.greatest(F.coalesce(F.col(start), first), first)
     high = F.least(F.coalesce(F.date_sub(F.col(end), 1), last), last)
     held = right.withColumns({"_low": low, "_high": high}).filter("_low <= _high")

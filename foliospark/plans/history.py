@@ -17,6 +17,7 @@ from ..functions.symbols import normalize_symbol
 from ..operators.asof import Cut, asof_history, asof_join, by_days, histories
 from ..operators.intervals import interval_join
 from ..operators.resolve import securities
+from ..operators.skew import hot as hot_keys
 from ..operators.skew import splittable
 from ..operators.temporal import latest_per_key
 
@@ -179,12 +180,17 @@ def securities_at(
     symbol_col: str = "ticker_symbol",
     region: str | None = "US",
     how: str = "inner",
+    traded: DataFrame | None = None,
     **span: object,
 ) -> DataFrame:
     """Each lot with the security its symbol stood for on the lot's day.
 
     ``symbol_history``: ``ticker_region, fsym_id, valid_from, valid_to``; a symbol's intervals do not overlap, open
-    ends are null, ``valid_to`` is the first day it no longer holds.
+    ends are null, ``valid_to`` is the first day it no longer holds. Symbols that come up too often in ``traded``, the symbol column of
+    the lots or of what they are made from, are joined in shorter stretches.
     """
-    held = lots.withColumn("ticker_region", normalize_symbol(F.col(symbol_col), region))
-    return interval_join(held, symbol_history, ["ticker_region"], date_col, "valid_from", "valid_to", how=how, **span)
+    symbol = normalize_symbol(F.col(symbol_col), region).alias("ticker_region")
+    held = lots.withColumn("ticker_region", symbol)
+    keys = ["ticker_region"]
+    hot = None if traded is None else hot_keys(traded.select(symbol), keys)
+    return interval_join(held, symbol_history, keys, date_col, "valid_from", "valid_to", how=how, hot=hot, **span)

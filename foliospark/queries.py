@@ -484,7 +484,7 @@ def _(t: Tables) -> DataFrame:
 
 @_register("q42_security_at_date")
 def _(t: Tables) -> DataFrame:
-    lots = history.securities_at(t.customer_holdings, t.symbol_history, how="left", span=LOT_SPAN)
+    lots = history.securities_at(t.customer_holdings, t.symbol_history, how="left", traded=t.traded_tickers, span=LOT_SPAN)
     return doubles(lots.select("customer_id", "ticker_symbol", "purchase_date", "shares_held", "fsym_id"))
 
 

@@ -304,8 +304,9 @@ def test_intervals_equal_a_range_join(spark, how, stretch_days):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot", [None, "key = 'a'", "true"])
 @pytest.mark.parametrize("finer", [False, True])
-def test_repeated_rows_and_overlaps_equal_a_range_join(spark, how, finer):
+def test_repeated_rows_and_overlaps_equal_a_range_join(spark, how, hot, finer):
     """Every left row meets every interval that holds on its day, also where rows come twice or intervals overlap."""
     left = [(n % 4, key, day(at)) for key in ("a", "b", None) for at in (3, 3, 40, 70, None) for n in range(3)]
     right = [("a", "x", None, day(50)), ("a", "y", day(30), day(80)), ("a", "y", day(30), day(80)), ("b", "z", day(71), None)]
@@ -314,7 +315,8 @@ def test_repeated_rows_and_overlaps_equal_a_range_join(spark, how, finer):
     if finer:
         asked = asked.withColumn("at", F.expr("cast(at as timestamp_ntz) + interval 5 hours"))
     intervals = spark.createDataFrame(right, "key string, name string, since date, until date")
-    found = interval_join(asked, intervals, ["key"], "at", "since", "until", how=how, stretch_days=20)
+    hot = None if hot is None else F.expr(hot)
+    found = interval_join(asked, intervals, ["key"], "at", "since", "until", how=how, stretch_days=20, hot=hot)
     assert found.columns == ["id", "key", "at", "name", "since", "until"]
     wanted = []
     for n, key, at in left:
@@ -332,6 +334,19 @@ def test_security_at_date_shuffles_lots_and_history_once(spark, settings):
     assert len(exchanges(frame)) == 4
 
 
+@pytest.mark.parametrize("rows", [0, 30])
+def test_hot_symbols_get_shorter_stretches_and_the_same_securities(spark, monkeypatch, rows):
+    build = registered.BUILDERS["q42_security_at_date"]
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    usual = build(tables)
+    assert "ELSE 366" not in introspect.explain_text(usual, "simple")  # no symbol is hot
+    monkeypatch.setattr(skew, "HOT_ROWS", rows)
+    shorter = build(tables)
+    assert Counter(map(tuple, shorter.collect())) == Counter(map(tuple, usual.collect()))
+    text = introspect.explain_text(shorter, "simple")
+    assert "THEN 7 ELSE 366" in text.replace("7.0", "7").replace("366.0", "366") and len(exchanges(shorter)) <= 4
+
+
 def test_a_symbol_and_day_meet_one_security(spark):
     tables = Tables(spark, "/root/testdata/sf0.001")
     frame = registered.BUILDERS["q42_security_at_date"](tables)
