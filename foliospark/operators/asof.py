@@ -81,7 +81,8 @@ def asof_join_along(
     """``asof_join`` in which left rows ride along, however many have one moment, so that each side is shuffled once.
 
     Keys with more than ``ROWS_ALONG`` left rows are looked up first and ask once for each moment in stretches of ``cut``, so that none
-    of them fills a task. Reads ``left`` twice, so it should be worked out already.
+    of them fills a task; ``right`` should hold no more rows per key than that, as one row per day does. Reads ``left`` twice, so it should be
+    worked out already.
     """
     hot = skew.hot(left.select(*keys), keys, ROWS_ALONG)
     if hot is None:
